@@ -235,4 +235,6 @@ def rnd(c: str | Column, digits: int) -> Column:
     every engine gives the same bits (engine ``round`` functions differ on
     values such as 1.005)."""
     scale = float(10 ** digits)
-    return F.floor(col_(c).cast("double") * dlit(scale) + dlit(0.5)) / dlit(scale)
+    x = col_(c).cast("double")
+    return F.when(F.abs(x) * dlit(scale) < dlit(9e15),
+                  F.floor(x * dlit(scale) + dlit(0.5)) / dlit(scale)).otherwise(x)

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import params as P
-from ..functions.columns import count_edges_le, dlit, safe_div
+from ..functions.columns import count_edges_le, dlit, rnd, safe_div
 from .ordered import running_sums
 
 
@@ -106,7 +106,7 @@ def auc_scores(df: DataFrame, y: str = "y", p: str = "p", n_buckets: int = 64) -
     dec = "decimal(38,0)"
     agg = cp.agg(
         F.sum("pos").alias("P"), F.sum("neg").alias("N"),
-        F.sum(F.col("neg").cast(dec) * (dlit(2) .cast(dec) * (F.col("tp") - F.col("pos")).cast(dec)
+        F.sum(F.col("neg").cast(dec) * (F.lit(2).cast(dec) * (F.col("tp") - F.col("pos")).cast(dec)
                                          + F.col("pos").cast(dec))).alias("auc_num"),
         F.sum(F.col("pos").cast("double") * F.col("tp").cast("double")
               / (F.col("tp") + F.col("fp")).cast("double")).alias("ap_num"),
@@ -114,7 +114,7 @@ def auc_scores(df: DataFrame, y: str = "y", p: str = "p", n_buckets: int = 64) -
     P_, N_ = F.col("P"), F.col("N")
     return agg.select(
         F.when((P_ > 0) & (N_ > 0),
-               (F.col("auc_num") / (F.lit(2).cast(dec) * P_.cast(dec) * N_.cast(dec))).cast("double"))
+               F.col("auc_num").cast("double") / (dlit(2.0) * P_.cast("double") * N_.cast("double")))
         .otherwise(dlit(0.0)).alias("roc_auc"),
         F.when(P_ > 0, F.col("ap_num") / P_.cast("double")).otherwise(dlit(0.0)).alias("pr_auc"),
     )
@@ -251,11 +251,11 @@ def gate_failures(gates: dict = P.MIN_GATES) -> Column:
     """Array of failure messages (empty = passes)."""
     checks = [
         F.when(F.col("recall") < dlit(gates["recall"]),
-               F.format_string(f"recall=%.4f < {gates['recall']:.2f}", F.col("recall"))),
+               F.format_string(f"recall=%.4f < {gates['recall']:.2f}", rnd(F.col("recall"), 4))),
         F.when(F.col("precision") < dlit(gates["precision"]),
-               F.format_string(f"precision=%.4f < {gates['precision']:.2f}", F.col("precision"))),
+               F.format_string(f"precision=%.4f < {gates['precision']:.2f}", rnd(F.col("precision"), 4))),
         F.when(F.col("roc_auc") < dlit(gates["roc_auc"]),
-               F.format_string(f"roc_auc=%.4f < {gates['roc_auc']:.2f}", F.col("roc_auc"))),
+               F.format_string(f"roc_auc=%.4f < {gates['roc_auc']:.2f}", rnd(F.col("roc_auc"), 4))),
     ]
     return F.filter(F.array(*checks), lambda x: x.isNotNull())
 

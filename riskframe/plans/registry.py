@@ -51,7 +51,8 @@ def finish(df: DataFrame, digits: int | None = 6) -> DataFrame:
 def R(expr: str, d: int = 6) -> str:
     """Oracle twin of ``functions.columns.rnd``."""
     s = float(10 ** d)
-    return f"(floor(({expr}) * {s!r}::DOUBLE + 0.5::DOUBLE) / {s!r}::DOUBLE)"
+    return (f"(CASE WHEN abs({expr}) * {s!r}::DOUBLE < 9e15::DOUBLE "
+            f"THEN floor(({expr}) * {s!r}::DOUBLE + 0.5::DOUBLE) / {s!r}::DOUBLE ELSE ({expr}) END)")
 
 
 TX = """(SELECT event_id AS id, user_id AS entity, ts,
