@@ -238,3 +238,17 @@ def rnd(c: str | Column, digits: int) -> Column:
     x = col_(c).cast("double")
     return F.when(F.abs(x) * dlit(scale) < dlit(9e15),
                   F.floor(x * dlit(scale) + dlit(0.5)) / dlit(scale)).otherwise(x)
+
+
+def sig(c: str | Column, digits: int = 9) -> Column:
+    """Round to ``digits`` significant digits with exact powers of ten only
+    (statistics summed in different orders agree to ~1e-15 relative, so
+    comparing them needs significant-digit rounding, not decimal places)."""
+    x = col_(c).cast("double")
+    e = F.floor(F.log10(F.abs(x)))
+    k = F.lit(digits - 1) - e
+    up = F.pow(dlit(10.0), k.cast("double"))
+    down = F.pow(dlit(10.0), (-k).cast("double"))
+    return (F.when(x.isNull() | F.isnan(x) | (x == 0) | (F.abs(x) == dlit(float("inf"))), x)
+            .when(k >= 0, F.floor(x * up + dlit(0.5)) / up)
+            .otherwise(F.floor(x / down + dlit(0.5)) * down))

@@ -80,3 +80,24 @@ def values_table(name: str, cols: tuple[str, ...], rows: list[tuple]) -> str:
 
     body = ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows)
     return f"(SELECT * FROM (VALUES {body}) AS {name}({', '.join(cols)}))"
+
+
+def S(expr: str, d: int = 9) -> str:
+    """Oracle twin of ``functions.columns.sig``."""
+    x = f"({expr})"
+    k = f"({d - 1} - floor(log10(abs{x})))"
+    return (f"(CASE WHEN {x} IS NULL OR isnan({x}) OR {x} = 0 OR isinf({x}) THEN {x} "
+            f"WHEN {k} >= 0 THEN floor({x} * pow(10.0::DOUBLE, {k}) + 0.5::DOUBLE) / pow(10.0::DOUBLE, {k}) "
+            f"ELSE floor({x} / pow(10.0::DOUBLE, -{k}) + 0.5::DOUBLE) * pow(10.0::DOUBLE, -{k}) END)")
+
+
+def card_sql(n: int = 28) -> str:
+    vs = ", ".join(f'CAST(m.embedding[{k}] AS DOUBLE) AS "V{k}"' for k in range(1, n + 1))
+    return f"""(SELECT e.event_id AS id, e.user_id AS entity, e.ts,
+    (epoch_us(e.ts) - epoch_us(TIMESTAMP '2024-01-01 00:00:00')) / 1000000.0::DOUBLE AS "Time", {vs},
+    e.value AS "Amount", CAST(e.event_type = 'error' AS INTEGER) AS "Class", e.value / (e.value + 50.0::DOUBLE) AS p
+  FROM events e JOIN embeddings m
+    ON e.event_id % (SELECT count(*) FROM embeddings) = m.vec_id % (SELECT count(*) FROM embeddings))"""
+
+
+CARD = card_sql()
