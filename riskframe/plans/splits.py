@@ -60,7 +60,7 @@ def _scale_sql() -> str:
                    f'ELSE stddev_pop("{c}") END AS s_{c}' for c in SCALE)
     cols = ", ".join(f"{R(f'(s.\"{c}\" - st.m_{c}) / st.s_{c}')} AS \"{c}\"" for c in SCALE)
     return f"""WITH s AS {SPLIT_SQL}, st AS (SELECT {st} FROM s WHERE split = 'train')
-SELECT s.id, s.split, {cols}, s."V14", CAST(s.hour_of_day < 6.0::DOUBLE AS INTEGER) AS is_night FROM s, st"""
+SELECT s.id, s.split, {cols}, {R('s."V14"')} AS "V14", CAST(s.hour_of_day < 6.0::DOUBLE AS INTEGER) AS is_night FROM s, st"""
 
 
 @register("p03_scale", _scale_sql())
