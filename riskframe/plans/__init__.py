@@ -5,4 +5,4 @@ from .registry import ORACLE, QUERIES  # noqa: F401
 
 def load_all() -> None:
     """Import every plan module so its queries register themselves."""
-    from . import cost, evaluation, monitoring, quality, queue, risk, splits, velocity  # noqa: F401
+    from . import cost, evaluation, explain, monitoring, quality, queue, risk, splits, velocity  # noqa: F401
