@@ -267,9 +267,9 @@ def metrics_report(df: DataFrame, threshold: float | None = None,
     """One row with counts, rates, AUCs, threshold (searched when None),
     composite and gate outcome."""
     if threshold is None:
-        t = threshold_search(df, search, y, p).select("threshold").scalar()
-    else:
-        t = dlit(threshold)
+        # one number reaches the driver; keeps the report plan deterministic
+        threshold = float(threshold_search(df, search, y, p).first()["threshold"])
+    t = dlit(threshold)
     scored = df.select(F.col(y).alias("_y"), F.col(p).cast("double").alias("_p"))
     pred = F.col("_p") >= t
     pos = F.col("_y") == 1
