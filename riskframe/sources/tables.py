@@ -33,14 +33,13 @@ def ts_utc(c: str = "ts"):
     return F.col(c).cast("timestamp")
 
 
-def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scored transaction view of ``events``.
+def map_events(ev: DataFrame) -> DataFrame:
+    """Scored transaction view of ``events`` rows (batch or stream).
 
     Amount = value; Time = seconds since 2024-01-01; y = event_type is 'error';
     p = value / (value + 50) is a score without transcendental functions so any
     engine reproduces it bit for bit; p2 = floor(p*100)/100 has many ties.
     """
-    ev = table(spark, sf_dir, "events")
     p = F.col("value") / (F.col("value") + dlit(50.0))
     return ev.select(
         F.col("event_id").alias("id"),
@@ -56,6 +55,11 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`map_events` over the ``events`` table."""
+    return map_events(table(spark, sf_dir, "events"))
+
+
 def feature_rows(spark: SparkSession, sf_dir: str, n_v: int = N_V) -> DataFrame:
     """V1..V28 from the first 28 embedding dimensions; Class = (label = 0)."""
     em = table(spark, sf_dir, "embeddings")
