@@ -6,4 +6,4 @@ from .registry import ORACLE, QUERIES  # noqa: F401
 def load_all() -> None:
     """Import every plan module so its queries register themselves."""
     from . import (cost, evaluation, explain, models, monitoring, quality, queue, risk, splits,  # noqa: F401
-                   streaming, velocity)
+                   io, streaming, velocity)
