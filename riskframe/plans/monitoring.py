@@ -319,3 +319,26 @@ def l07_empty_state(spark, sf_dir):
     """Telemetry of an empty log: zero counts, 0.0 rate, nothing invented."""
     log = _log(spark, sf_dir).filter(F.col("ts") > F.lit("2100-01-01").cast("timestamp_ntz"))
     return TL.rolling_summary(log, P.TELEMETRY_WINDOW)
+
+
+@register("l04_overview", f"""
+WITH roll AS ({_rolling_sql(P.TELEMETRY_WINDOW)}),
+g AS (SELECT p::DOUBLE AS score, sum(y)::BIGINT AS pos, count(*)::BIGINT AS n FROM {TX} GROUP BY 1),
+c AS (SELECT score, pos, n - pos AS neg,
+        sum(pos) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS tp,
+        sum(n - pos) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS fp FROM g),
+t AS (SELECT sum(pos) AS "P", sum(neg) AS "N" FROM c),
+a AS (SELECT {R('sum(neg * (2 * (tp - pos) + pos))::DOUBLE / (2.0::DOUBLE * any_value(t."P") * any_value(t."N"))')} AS roc_auc FROM c, t)
+SELECT roll.total_processed, roll.suspected_fraud_count, roll.fraud_rate_pct, a.roc_auc,
+  (SELECT count(*) FROM {SCORES_SQL} WHERE p >= 0.2773::DOUBLE)::BIGINT AS queue_candidates
+FROM roll, a""")
+def l04_overview(spark, sf_dir):
+    """L4: KPI row combining rolling telemetry, the score's ROC-AUC and the queue size."""
+    from ..operators import metrics as M
+    log = _log(spark, sf_dir)
+    roll = TL.rolling_summary(log, P.TELEMETRY_WINDOW)
+    auc = M.auc_scores(transactions(spark, sf_dir))
+    queue = log.agg(F.count_if(F.col("is_flagged")).cast("bigint").alias("n"))
+    return roll.select("total_processed", "suspected_fraud_count", "fraud_rate_pct",
+                       auc.select("roc_auc").scalar().alias("roc_auc"),
+                       queue.select("n").scalar().alias("queue_candidates"))
