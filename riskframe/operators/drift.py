@@ -104,7 +104,7 @@ def psi(ref: DataFrame, live: DataFrame, n_bins: int = 10, outer: tuple[float, f
                       C.psi_status(score, status_labels).alias("status"), C.psi_color(score).alias("color"))
 
 
-def ecdf_distances(ref: DataFrame, live: DataFrame, n_buckets: int = 64) -> DataFrame:
+def ecdf_distances(ref: DataFrame, live: DataFrame, n_buckets: int | None = None) -> DataFrame:
     """D4 + D6 per feature: KS statistic and Wasserstein-1 on reference-standardised
     values (population std of the reference; std <= 1e-6 -> 1)."""
     both = ref.select("feature", "value", F.lit(1).alias("_r")).unionByName(
@@ -150,7 +150,7 @@ def moments(ref: DataFrame, live: DataFrame) -> DataFrame:
 
 
 def feature_drift(ref_df: DataFrame, live_df: DataFrame, features: Sequence[str] = P.DRIFT_FEATURES,
-                  min_live: int = 3, edge_digits: int | None = None, n_buckets: int = 64) -> DataFrame:
+                  min_live: int = 3, edge_digits: int | None = None, n_buckets: int | None = None) -> DataFrame:
     """D2-D9 combined: one row per monitored feature with psi, KS, p-value,
     Wasserstein, status, colour and moments."""
     ref = to_long(ref_df, features)

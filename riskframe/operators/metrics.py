@@ -80,7 +80,7 @@ def score_groups(df: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
     ).withColumn("neg", F.col("n") - F.col("pos"))
 
 
-def curve_points(df: DataFrame, y: str = "y", p: str = "p", n_buckets: int = 64) -> DataFrame:
+def curve_points(df: DataFrame, y: str = "y", p: str = "p", n_buckets: int | None = None) -> DataFrame:
     """One row per distinct score (descending): pos/neg at that score and
     cumulative tp/fp/point_no for 'predict positive when p >= score'."""
     g = score_groups(df, y, p)
@@ -96,7 +96,7 @@ def _totals(cp: DataFrame) -> DataFrame:
     return cp.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
 
 
-def auc_scores(df: DataFrame, y: str = "y", p: str = "p", n_buckets: int = 64) -> DataFrame:
+def auc_scores(df: DataFrame, y: str = "y", p: str = "p", n_buckets: int | None = None) -> DataFrame:
     """E4 ROC-AUC (ties get half credit) and E5 average precision (step sum).
 
     ROC-AUC = Σ neg_i (2 tp_above_i + pos_i) / (2 P N), computed in exact
@@ -120,7 +120,7 @@ def auc_scores(df: DataFrame, y: str = "y", p: str = "p", n_buckets: int = 64) -
     )
 
 
-def pr_curve(df: DataFrame, y: str = "y", p: str = "p", n_buckets: int = 64) -> DataFrame:
+def pr_curve(df: DataFrame, y: str = "y", p: str = "p", n_buckets: int | None = None) -> DataFrame:
     """precision/recall per distinct score plus the final (1, 0) point.
 
     ``point_no`` 1 is the highest score; the closing point has NULL threshold.
@@ -139,7 +139,7 @@ def pr_curve(df: DataFrame, y: str = "y", p: str = "p", n_buckets: int = 64) ->
     return pts.unionByName(closing)
 
 
-def roc_curve(df: DataFrame, y: str = "y", p: str = "p", n_buckets: int = 64) -> DataFrame:
+def roc_curve(df: DataFrame, y: str = "y", p: str = "p", n_buckets: int | None = None) -> DataFrame:
     """fpr/tpr for every distinct score (all points kept) after the (0, 0) start."""
     cp = curve_points(df, y, p, n_buckets)
     tot = _totals(cp)
@@ -263,7 +263,7 @@ def gate_failures(gates: dict = P.MIN_GATES) -> Column:
 def metrics_report(df: DataFrame, threshold: float | None = None,
                    search: P.ThresholdSearch = P.ThresholdSearch(),
                    weights: dict = P.COMPOSITE_WEIGHTS, gates: dict = P.MIN_GATES,
-                   y: str = "y", p: str = "p", n_buckets: int = 64) -> DataFrame:
+                   y: str = "y", p: str = "p", n_buckets: int | None = None) -> DataFrame:
     """One row with counts, rates, AUCs, threshold (searched when None),
     composite and gate outcome."""
     if threshold is None:

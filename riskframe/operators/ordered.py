@@ -23,6 +23,17 @@ from ..functions.columns import count_edges_le
 BUCKET = "_rb"
 
 
+def default_buckets(spark) -> int:
+    """Range buckets per global order: twice the shuffle parallelism (at least
+    64), so each bucket's window task stays around one shuffle partition's
+    worth of rows as the cluster (and ``spark.sql.shuffle.partitions``) grows."""
+    try:
+        sp = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    except (TypeError, ValueError):
+        sp = 200
+    return max(64, 2 * sp)
+
+
 def range_edges(df: DataFrame, col: str, n_buckets: int) -> list[float]:
     """Interior bucket edges from approximate quantiles (distinct, sorted)."""
     if n_buckets <= 1:
@@ -35,13 +46,40 @@ def range_edges(df: DataFrame, col: str, n_buckets: int) -> list[float]:
     return sorted({float(v) for v in vals if v is not None and v == v})
 
 
+CASE_TREE_MAX = 256
+
+
+def assign_bucket(df: DataFrame, col: str, edges: Sequence[float], descending: bool = False) -> DataFrame:
+    """Add ``_rb`` = number of edges <= col (reversed when descending); NULL
+    order values go to the last bucket. Small edge sets compile to a
+    log-depth CASE tree inside whole-stage codegen; large ones (thousands of
+    buckets on a big cluster) use MLlib's ``Bucketizer`` binary search so the
+    expression stays small."""
+    n = len(edges)
+    x = F.col(col).cast("double")
+    if n <= CASE_TREE_MAX:
+        bucket = count_edges_le(x, edges)
+        out = df.withColumn(BUCKET, bucket)
+    else:
+        from pyspark.ml.feature import Bucketizer
+        tmp = "_rb_in"
+        bz = Bucketizer(splits=[float("-inf"), *edges, float("inf")], inputCol=tmp, outputCol=BUCKET,
+                        handleInvalid="keep")
+        out = bz.transform(df.withColumn(tmp, x)).drop(tmp)
+        # NaN lands in the extra bucket n + 1; order keeps it after +inf
+        out = out.withColumn(BUCKET, F.col(BUCKET).cast("int"))
+    if descending:
+        out = out.withColumn(BUCKET, F.lit(n + 1) - F.col(BUCKET))
+    return out.withColumn(BUCKET, F.coalesce(F.col(BUCKET), F.lit(n + 2)))
+
+
 def running_sums(
     df: DataFrame,
     order_cols: Sequence[str],
     sum_cols: dict[str, Column | str],
     partition_cols: Sequence[str] = (),
     descending: bool = False,
-    n_buckets: int = 64,
+    n_buckets: int | None = None,
     with_next: bool = False,
     edges: Sequence[float] | None = None,
 ) -> DataFrame:
@@ -57,13 +95,12 @@ def running_sums(
     """
     first = order_cols[0]
     part = list(partition_cols)
+    if n_buckets is None:
+        n_buckets = default_buckets(df.sparkSession)
     if edges is None:
         edges = range_edges(df, first, n_buckets)
-    bucket = count_edges_le(F.col(first).cast("double"), edges)
-    if descending:
-        bucket = F.lit(len(edges)) - bucket
     names = list(sum_cols)
-    base = df.withColumn(BUCKET, F.coalesce(bucket, F.lit(len(edges) + 1)))
+    base = assign_bucket(df, first, edges, descending)
     for n, c in sum_cols.items():
         base = base.withColumn(f"_v_{n}", F.col(c) if isinstance(c, str) else c)
 

@@ -22,7 +22,7 @@ MAX_BROADCAST_TARGETS = 2_000_000
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], group_cols: Sequence[str] = (),
-                    n_buckets: int = 64, n_groups_hint: int | None = None) -> DataFrame:
+                    n_buckets: int | None = None, n_groups_hint: int | None = None) -> DataFrame:
     """Rows (group..., q_index, prob, quantile); NULL and NaN values are ignored.
 
     Matches ``numpy.quantile(method='linear')``: h = (n-1) q, value =
@@ -64,7 +64,7 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], group_col
 
 
 def quantile_array(df: DataFrame, value: str, probs: Sequence[float], group_cols: Sequence[str] = (),
-                   n_buckets: int = 64) -> DataFrame:
+                   n_buckets: int | None = None) -> DataFrame:
     """Same, collected per group into an ordered array column ``quantiles``."""
     q = exact_quantiles(df, value, probs, group_cols, n_buckets)
     return q.groupBy(*group_cols).agg(

@@ -20,7 +20,7 @@ from pyspark.sql import Window
 
 from .. import params as P
 from ..functions.columns import dlit, hash_key60, rnd
-from .ordered import running_sums
+from .ordered import default_buckets, running_sums
 
 HASH_SPACE = float(2 ** 60)
 MAX_CLASSES = 10_000
@@ -53,9 +53,11 @@ def split_quotas(counts: dict, test_size: float, val_size: float) -> dict:
     return {c: (train[c], trainval[c] - train[c], counts[c] - trainval[c]) for c in counts}
 
 
-def class_rank(df: DataFrame, key: str, target: str, seed: int, n_buckets: int = 64) -> DataFrame:
+def class_rank(df: DataFrame, key: str, target: str, seed: int, n_buckets: int | None = None) -> DataFrame:
     """1-based rank of each row within its class in seeded-hash order."""
     h = df.withColumn("_h", hash_key60(key, seed))
+    if n_buckets is None:
+        n_buckets = default_buckets(df.sparkSession)
     edges = [i * HASH_SPACE / n_buckets for i in range(1, n_buckets)]
     r = running_sums(h, ["_h", key], {"rank": F.lit(1).cast("bigint")}, partition_cols=[target], edges=edges)
     return r.withColumnRenamed("cum_rank", "_rank")

@@ -33,7 +33,7 @@ def _micros(ts: str) -> Column:
 
 
 def sliding_stats(df: DataFrame, entity: str, ts: str, key: str, value: str | None,
-                  windows: dict[str, int], n_buckets: int = 64) -> DataFrame:
+                  windows: dict[str, int], n_buckets: int | None = None) -> DataFrame:
     """Per event and window name: ``{name}_count``, ``{name}_sum`` and
     ``{name}_sumsq`` of ``value`` over events of the same entity with time in
     [t - W, t] (W in seconds; peers at t included, as a RANGE frame)."""
@@ -95,7 +95,7 @@ def velocity_ratio(df: DataFrame, entity: str = "entity", ts: str = "ts", key: s
 
 
 def previous_event(df: DataFrame, entity: str = "entity", ts: str = "ts", key: str = "id",
-                   burst_seconds: float = 15.0, n_buckets: int = 64) -> DataFrame:
+                   burst_seconds: float = 15.0, n_buckets: int | None = None) -> DataFrame:
     """Seconds since the entity's previous event (order ts, id) and the
     burst flag (< 15 s). Rank by distributed prefix count, then an equi-join
     on (entity, rank - 1)."""
@@ -120,7 +120,7 @@ def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colu
 
 
 def travel_speed(df: DataFrame, entity: str, ts: str, key: str, lat: str, lon: str,
-                 max_kmh: float = 900.0, n_buckets: int = 64) -> DataFrame:
+                 max_kmh: float = 900.0, n_buckets: int | None = None) -> DataFrame:
     """km/h between consecutive events of an entity (haversine); above
     ``max_kmh`` is impossible travel and escalates to P1."""
     ev = df.select(F.col(entity).alias("_e"), F.col(key).alias("_k"), _micros(ts).alias("_m"),

@@ -129,3 +129,16 @@ def test_downsample_positions(spark):
     kept = sorted(r[0] for r in M.downsample_curve(df, "point_no", 30).collect())
     expected = sorted(set(int(x) for x in np.linspace(0, n - 1, 30)))
     assert kept == expected
+
+
+def test_running_sums_many_buckets_and_descending(spark):
+    rng = np.random.default_rng(12)
+    vals = np.round(rng.normal(size=4000), 4)
+    df = spark.createDataFrame([(float(v), i) for i, v in enumerate(vals)], "v double, k int")
+    for desc in (False, True):
+        got = running_sums(df, ["v", "k"], {"s": F.lit(1).cast("bigint")}, descending=desc, n_buckets=700)
+        order = [F.col("v").desc(), F.col("k").desc()] if desc else [F.col("v"), F.col("k")]
+        w = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        ref = df.withColumn("ref", F.sum(F.lit(1)).over(w))
+        j = got.join(ref, ["v", "k"])
+        assert j.count() == 4000 and j.filter(F.col("cum_s") != F.col("ref")).count() == 0
