@@ -128,3 +128,25 @@ def s09_cached_scores(spark, sf_dir):
     scores = spark.read.parquet(path)
     feats = card_transactions(spark, sf_dir).select("id", "V14")
     return scores.join(feats, "id", "inner").select("id", "p", "V14")
+
+
+@register("s06_actions_log", """
+WITH a AS (SELECT conv_id AS queue_id, turn AS action_seq,
+  upper(trim(CASE WHEN role = 'user' THEN ' confirmed_fraud ' WHEN role = 'assistant' THEN 'Dismissed_False_Alarm' ELSE 'archive' END)) AS status
+  FROM conversations)
+SELECT queue_id, arg_max(status, action_seq) AS status, count(*)::BIGINT AS n_actions
+FROM a WHERE status IN ('PENDING_REVIEW', 'CONFIRMED_FRAUD', 'DISMISSED_FALSE_ALARM', 'ESCALATED_TIER_2')
+GROUP BY queue_id""")
+def s06_actions_log(spark, sf_dir):
+    """Triage actions appended (two runs, one retried) to an append-only
+    table; the current status is derived from it, never rewritten in place."""
+    from ..operators import queue as Q
+    from .queue import _actions
+    path = _dir(spark, "actions")
+    acts = Q.clean_actions(_actions(spark, sf_dir)).select("queue_id", "action_seq", "status", "status_valid", "notes")
+    FS.append_log(acts.filter(F.col("action_seq") < 3), path, "run-1", fmt="parquet")
+    FS.append_log(acts.filter(F.col("action_seq") >= 3), path, "run-2", fmt="parquet")
+    FS.append_log(acts.filter(F.col("action_seq") >= 3), path, "run-2", fmt="parquet")  # retry: same rows
+    log = spark.read.parquet(path).filter(F.col("status_valid"))
+    return log.groupBy("queue_id").agg(F.max_by("status", "action_seq").alias("status"),
+                                       F.count(F.lit(1)).alias("n_actions"))

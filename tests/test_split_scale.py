@@ -83,3 +83,14 @@ def test_stratified_sample_sizes(spark):
     n_pos = s.filter("Class = 1").count()
     total_pos = df.filter("Class = 1").count()
     assert s.count() == 1000 and n_pos == max(1, int(1000 * total_pos / 5000))
+
+
+def test_preflight_rules():
+    import pytest
+    SP.preflight({0: 100, 1: 10})
+    with pytest.raises(ValueError):
+        SP.preflight({0: 100})
+    with pytest.raises(ValueError):
+        SP.preflight({0: 100, 1: 9})
+    with pytest.raises(ValueError):
+        SP.preflight({0: 1, 1: 20, 2: 3})
