@@ -16,7 +16,6 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from .. import params as P
 from ..functions.columns import dlit, hash_key60, rnd
@@ -204,15 +203,13 @@ def seeded_sample(df: DataFrame, n: int, key: str = "id", seed: int = 42) -> Dat
 
 
 def head_per_class(df: DataFrame, n: dict, key: str = "id", target: str = P.TARGET) -> DataFrame:
-    """The first n_c rows of each class by ``key``. The rank filter on a
-    per-class window becomes a per-partition group limit (WindowGroupLimit)
-    before the shuffle, so at most n_c rows per partition move."""
-    w = Window.partitionBy(target).orderBy(key)
-    lim = F.lit(None).cast("int")
+    """The first n_c rows of each class by ``key``: one top-n per class
+    (``TakeOrderedAndProject``: n rows per partition, never a full sort)."""
+    out = None
     for c, k in n.items():
-        lim = F.when(F.col(target) == F.lit(c), F.lit(int(k))).otherwise(lim)
-    rn = F.row_number().over(w)
-    return df.withColumn("_rn", rn).filter(F.col("_rn") <= lim).drop("_rn")
+        part = df.filter(F.col(target) == F.lit(c)).orderBy(key).limit(int(k))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def union_cohorts(df: DataFrame, n_pos: int = 12, n_neg: int = 8, key: str = "id",

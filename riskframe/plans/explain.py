@@ -31,7 +31,7 @@ ATT = _long_sql()
 @register("x02_linear_attributions", f"SELECT id, feature, {R('value')} AS value, {R('phi')} AS phi FROM {ATT}")
 def x02_linear_attributions(spark, sf_dir):
     """Linear SHAP coef_j (x_j - mean_j) as long rows."""
-    return attributions(spark, sf_dir).select("id", "feature", "value", "phi")
+    return XP.explode_attr(attributions(spark, sf_dir)).select("id", "feature", "value", "phi")
 
 
 def _topk_sql(k: int = 5) -> str:
@@ -99,8 +99,7 @@ r AS (SELECT *, row_number() OVER (PARTITION BY id, sign ORDER BY phi * -sign, f
 SELECT v.id, r.feature AS top_driver FROM {VROWS()} v LEFT JOIN r ON r.id = v.id AND r.rank = 1""")
 def x09_top_driver(spark, sf_dir):
     """Rank-1 risk-increasing feature per row (NULL when none)."""
-    ids = feature_rows(spark, sf_dir).select("id")
-    return XP.top_driver(ids, XP.top_factors(attributions(spark, sf_dir), 1))
+    return XP.top_driver(attributions(spark, sf_dir))
 
 
 @register("x10_attribution_spread", f"""
@@ -117,4 +116,4 @@ def x10_attribution_spread(spark, sf_dir):
 @register("x07_narrative", None)
 def x07_narrative(spark, sf_dir):
     """One summary line per row from its top-3 features."""
-    return XP.narrative(XP.rank_all(attributions(spark, sf_dir)), 3)
+    return XP.narrative(attributions(spark, sf_dir), 3)
