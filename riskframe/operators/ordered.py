@@ -82,6 +82,7 @@ def running_sums(
     n_buckets: int | None = None,
     with_next: bool = False,
     edges: Sequence[float] | None = None,
+    keep_bucket: bool = False,
 ) -> DataFrame:
     """Add ``cum_<name>`` (inclusive running sum) for each entry of ``sum_cols``.
 
@@ -127,4 +128,6 @@ def running_sums(
     cols += [(F.sum(f"_v_{n}").over(run) + F.col(f"_o_{n}")).alias(f"cum_{n}") for n in names]
     if with_next:
         cols.append(F.coalesce(F.lead(first).over(wl), F.col("_next_first")).alias("next_value"))
+    if keep_bucket:
+        cols.append(F.col(BUCKET))
     return out.select(*cols)

@@ -16,10 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import dlit
-from .ordered import running_sums
-
-MAX_BROADCAST_TARGETS = 2_000_000
-
+from .ordered import BUCKET, running_sums
 
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], group_cols: Sequence[str] = (),
                     n_buckets: int | None = None, n_groups_hint: int | None = None) -> DataFrame:
@@ -32,8 +29,12 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], group_col
     v = F.col(value).cast("double")
     clean = df.select(*groups, v.alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
     counts = clean.groupBy(*groups, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    ranked = running_sums(counts, ["_v"], {"c": "_c"}, partition_cols=groups, n_buckets=n_buckets)
-    ranked = ranked.select(*groups, "_v", (F.col("cum_c") - F.col("_c")).alias("_start"), F.col("cum_c").alias("_end"))
+    ranked = running_sums(counts, ["_v"], {"c": "_c"}, partition_cols=groups, n_buckets=n_buckets,
+                          keep_bucket=True)
+    ranked = ranked.select(*groups, "_v", (F.col("cum_c") - F.col("_c")).alias("_start"),
+                           F.col("cum_c").alias("_end"), F.col(BUCKET).alias("_b"))
+    # rank span of every (group, bucket): at most groups x buckets rows
+    spans = ranked.groupBy(*groups, "_b").agg(F.min("_start").alias("_bs"), F.max("_end").alias("_be"))
 
     parr = F.array(*[F.struct(F.lit(i).alias("q_index"), dlit(p).alias("prob")) for i, p in enumerate(probs)])
     n = counts.groupBy(*groups).agg(F.sum("_c").alias("_n"))
@@ -46,11 +47,17 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], group_col
         F.struct(F.lit(0).alias("side"), F.col("_lo").alias("rank")),
         F.struct(F.lit(1).alias("side"), F.col("_hi").alias("rank")))).alias("_s")) \
         .select(*groups, "q_index", "prob", "_t", "_s.side", "_s.rank")
-    picks = picks.select(*[F.col(g).alias(f"_g_{g}") for g in groups], "q_index", "prob", "_t", "side", "rank")
-    if not groups or (n_groups_hint is not None and n_groups_hint * len(probs) * 2 <= MAX_BROADCAST_TARGETS):
-        picks = F.broadcast(picks)
-    # equi keys on the groups plus the rank-range test, evaluated inside the join
-    cond = (F.col("rank") >= F.col("_start")) & (F.col("rank") < F.col("_end"))
+    # locate the bucket holding each target rank on the small span table, then
+    # join the ranked rows on (group, bucket): a huge group is spread over
+    # its buckets instead of meeting every target in one task
+    sp = spans.select(*[F.col(g).alias(f"_s_{g}") for g in groups], "_b", "_bs", "_be")
+    loc = (F.col("rank") >= F.col("_bs")) & (F.col("rank") < F.col("_be"))
+    for g in groups:
+        loc = loc & (F.col(g) == F.col(f"_s_{g}"))
+    picks = picks.join(sp, loc, "inner").select(*[F.col(g).alias(f"_g_{g}") for g in groups], "_b",
+                                                "q_index", "prob", "_t", "side", "rank")
+    picks = picks.withColumnRenamed("_b", "_pb")
+    cond = (F.col("_b") == F.col("_pb")) & (F.col("rank") >= F.col("_start")) & (F.col("rank") < F.col("_end"))
     for g in groups:
         cond = cond & (F.col(g) == F.col(f"_g_{g}"))
     joined = ranked.join(picks, cond, "inner")
