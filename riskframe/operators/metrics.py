@@ -92,8 +92,14 @@ def curve_points(df: DataFrame, y: str = "y", p: str = "p", n_buckets: int | Non
              F.col("cum_point").alias("point_no"))
 
 
-def _totals(cp: DataFrame) -> DataFrame:
-    return cp.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
+def _totals(df: DataFrame, y: str, p: str) -> Column:
+    """(P, N) over the scored rows as ONE struct scalar subquery: a single scan
+    with partial aggregation instead of re-running the curve pipeline once per
+    total."""
+    # same totals as summing the score groups: every row counts, N = rows - P
+    agg = df.agg(F.coalesce(F.sum(F.col(y).cast("bigint")), F.lit(0).cast("bigint")).alias("P"),
+                 F.count(F.lit(1)).alias("n"))
+    return agg.select(F.struct("P", (F.col("n") - F.col("P")).alias("N")).alias("t")).scalar()
 
 
 def auc_scores(df: DataFrame, y: str = "y", p: str = "p", n_buckets: int | None = None) -> DataFrame:
@@ -126,7 +132,7 @@ def pr_curve(df: DataFrame, y: str = "y", p: str = "p", n_buckets: int | None =
     ``point_no`` 1 is the highest score; the closing point has NULL threshold.
     """
     cp = curve_points(df, y, p, n_buckets)
-    P_ = _totals(cp).select("P").scalar()
+    P_ = _totals(df, y, p)["P"]
     pts = cp.select(
         F.col("point_no"),
         F.col("score").alias("threshold"),
@@ -142,12 +148,12 @@ def pr_curve(df: DataFrame, y: str = "y", p: str = "p", n_buckets: int | None =
 def roc_curve(df: DataFrame, y: str = "y", p: str = "p", n_buckets: int | None = None) -> DataFrame:
     """fpr/tpr for every distinct score (all points kept) after the (0, 0) start."""
     cp = curve_points(df, y, p, n_buckets)
-    tot = _totals(cp)
+    tot = _totals(df, y, p)
     pts = cp.select(
         F.col("point_no"),
         F.col("score").alias("threshold"),
-        safe_div(F.col("fp"), tot.select("N").scalar()).alias("fpr"),
-        safe_div(F.col("tp"), tot.select("P").scalar()).alias("tpr"),
+        safe_div(F.col("fp"), tot["N"]).alias("fpr"),
+        safe_div(F.col("tp"), tot["P"]).alias("tpr"),
     )
     start = cp.sparkSession.range(1).select(
         F.lit(0).cast("bigint").alias("point_no"), dlit(float("inf")).alias("threshold"),
@@ -161,9 +167,9 @@ def downsample_curve(curve: DataFrame, order_col: str = "point_no", max_points:
     ``order_col`` is a dense 0- or 1-based position. The selection is a
     filter against the count, so no rows move to the driver.
     """
-    stats = curve.agg(F.count(F.lit(1)).alias("_n"), F.min(order_col).alias("_o0"))
-    n = stats.select("_n").scalar()
-    pos = F.col(order_col) - stats.select("_o0").scalar()
+    stats = curve.agg(F.struct(F.count(F.lit(1)).alias("_n"), F.min(order_col).alias("_o0")).alias("s")).scalar()
+    n = stats["_n"]
+    pos = F.col(order_col) - stats["_o0"]
     m = max_points
     # position i is kept when some k in [0, m) has floor(k*(n-1)/(m-1)) == i;
     # the smallest candidate is k = ceil(i*(m-1)/(n-1)).
@@ -283,9 +289,9 @@ def metrics_report(df: DataFrame, threshold: float | None = None,
         F.count_if(~pred & pos).cast("bigint").alias("fn"),
     )
     counts = counts.withColumn("threshold", t)
-    auc = auc_scores(df, y, p, n_buckets)
-    rep = with_rates(counts).withColumns({"roc_auc": auc.select("roc_auc").scalar(),
-                                          "pr_auc": auc.select("pr_auc").scalar()})
+    # both AUCs from ONE struct scalar subquery (one curve pipeline, not two)
+    auc = auc_scores(df, y, p, n_buckets).select(F.struct("roc_auc", "pr_auc").alias("a")).scalar()
+    rep = with_rates(counts).withColumns({"roc_auc": auc["roc_auc"], "pr_auc": auc["pr_auc"]})
     rep = rep.withColumn("composite_score", composite(weights))
     fails = gate_failures(gates)
     return rep.withColumn("gate_failures", fails).withColumn("passes_gates", F.size(fails) == 0)

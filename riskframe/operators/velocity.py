@@ -33,16 +33,22 @@ def _micros(ts: str) -> Column:
 
 
 def sliding_stats(df: DataFrame, entity: str, ts: str, key: str, value: str | None,
-                  windows: dict[str, int], n_buckets: int | None = None) -> DataFrame:
-    """Per event and window name: ``{name}_count``, ``{name}_sum`` and
-    ``{name}_sumsq`` of ``value`` over events of the same entity with time in
-    [t - W, t] (W in seconds; peers at t included, as a RANGE frame)."""
+                  windows: dict[str, int], n_buckets: int | None = None,
+                  with_sumsq: bool = True) -> DataFrame:
+    """Per event and window name: ``{name}_count``, ``{name}_sum`` and (with
+    ``with_sumsq``) ``{name}_sumsq`` of ``value`` over events of the same
+    entity with time in [t - W, t] (W in seconds; peers at t included, as a
+    RANGE frame). Without ``with_sumsq`` the wide-decimal square column is
+    never built, shuffled or summed."""
     v = F.col(value).cast(DEC) if value else F.lit(0).cast(DEC)
     ev = df.select(F.col(entity).alias("_e"), F.col(key).alias("_k"), _micros(ts).alias("_m"), v.alias("_v"))
+    sq = [(F.col("_v") * F.col("_v")).cast(DEC_SQ).alias("_q")] if with_sumsq else []
     events = ev.select("_e", "_k", "_m", F.lit(1).alias("_kind"), F.lit(-1).alias("_w"),
-                       F.lit(1).cast("bigint").alias("_c"), F.col("_v").alias("_s"),
-                       (F.col("_v") * F.col("_v")).cast(DEC_SQ).alias("_q"))
-    zero = [F.lit(0).cast("bigint").alias("_c"), F.lit(0).cast(DEC).alias("_s"), F.lit(0).cast(DEC_SQ).alias("_q")]
+                       F.lit(1).cast("bigint").alias("_c"), F.col("_v").alias("_s"), *sq)
+    zero = [F.lit(0).cast("bigint").alias("_c"), F.lit(0).cast(DEC).alias("_s")]
+    if with_sumsq:
+        zero.append(F.lit(0).cast(DEC_SQ).alias("_q"))
+    stats = "csq" if with_sumsq else "cs"
     names = list(windows)
     probes = [ev.select("_e", "_k", "_m", F.lit(2).alias("_kind"), F.lit(-1).alias("_w"), *zero)]
     for i, n in enumerate(names):
@@ -51,19 +57,19 @@ def sliding_stats(df: DataFrame, entity: str, ts: str, key: str, value: str | No
     allr = events
     for p in probes:
         allr = allr.unionByName(p)
-    rs = running_sums(allr, ["_m", "_kind", "_k", "_w"], {"c": "_c", "s": "_s", "q": "_q"},
+    rs = running_sums(allr, ["_m", "_kind", "_k", "_w"], {x: f"_{x}" for x in stats},
                       partition_cols=["_e"], n_buckets=n_buckets)
     rs = rs.filter(F.col("_kind") != 1)
-    aggs = [F.max(F.when(F.col("_kind") == 2, F.col(f"cum_{x}"))).alias(f"hi_{x}") for x in "csq"]
+    aggs = [F.max(F.when(F.col("_kind") == 2, F.col(f"cum_{x}"))).alias(f"hi_{x}") for x in stats]
     for i, n in enumerate(names):
         aggs += [F.max(F.when((F.col("_kind") == 0) & (F.col("_w") == i), F.col(f"cum_{x}"))).alias(f"lo{i}_{x}")
-                 for x in "csq"]
+                 for x in stats]
     per = rs.groupBy("_k").agg(*aggs)
+    suffix = {"c": "count", "s": "sum", "q": "sumsq"}
     cols = [F.col("_k").alias(key)]
     for i, n in enumerate(names):
-        cols += [(F.col("hi_c") - F.coalesce(F.col(f"lo{i}_c"), F.lit(0))).alias(f"{n}_count"),
-                 (F.col("hi_s") - F.coalesce(F.col(f"lo{i}_s"), F.lit(0))).alias(f"{n}_sum"),
-                 (F.col("hi_q") - F.coalesce(F.col(f"lo{i}_q"), F.lit(0))).alias(f"{n}_sumsq")]
+        cols += [(F.col(f"hi_{x}") - F.coalesce(F.col(f"lo{i}_{x}"), F.lit(0))).alias(f"{n}_{suffix[x]}")
+                 for x in stats]
     return df.join(per.select(*cols), key, "inner")
 
 
@@ -71,11 +77,8 @@ def sliding_features(df: DataFrame, entity: str = "entity", ts: str = "ts", key:
                      amount: str = "Amount", windows: dict[str, int] | None = None) -> DataFrame:
     """W1+W2: event counts and amount sums per window (default 5m ... 7d)."""
     windows = windows or {"w5m": 300, "w30m": 1800, "w1h": 3600, "w24h": 86400, "w7d": 604800}
-    st = sliding_stats(df, entity, ts, key, amount, windows)
-    out = st
-    for n in windows:
-        out = out.withColumn(f"{n}_sum", F.col(f"{n}_sum").cast("double")).drop(f"{n}_sumsq")
-    return out
+    out = sliding_stats(df, entity, ts, key, amount, windows, with_sumsq=False)
+    return out.withColumns({f"{n}_sum": F.col(f"{n}_sum").cast("double") for n in windows})
 
 
 def velocity_ratio(df: DataFrame, entity: str = "entity", ts: str = "ts", key: str = "id",
@@ -141,8 +144,9 @@ def named_windows(df: DataFrame, card: str, merchant: str, ts: str = "ts", key:
                   amount: str = "Amount", label: str = "y") -> DataFrame:
     """Card count over 10 minutes, card amount over 1 hour, merchant fraud
     rate over 24 hours excluding the current row (NULL without history)."""
-    c = sliding_stats(df, card, ts, key, amount, {"c10m": 600, "a1h": 3600})
-    m = sliding_stats(df.select(key, merchant, ts, label), merchant, ts, key, label, {"m24h": 86400})
+    c = sliding_stats(df, card, ts, key, amount, {"c10m": 600, "a1h": 3600}, with_sumsq=False)
+    m = sliding_stats(df.select(key, merchant, ts, label), merchant, ts, key, label, {"m24h": 86400},
+                      with_sumsq=False)
     rate = (F.col("m24h_sum") - F.col(label).cast(DEC)).cast("double") / (F.col("m24h_count") - 1).cast("double")
     m = m.select(key, F.when(F.col("m24h_count") > 1, rate).alias("merchant_fraud_rate_24h"))
     return c.select(*df.columns, F.col("c10m_count").alias("card_count_10m"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,6 +51,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as a Parquet table under the shared checkpoint folder
+    and read it back: the lineage runs exactly once (a reliable RDD checkpoint
+    would run it twice, once to count and once to write), later scans prune
+    columns and push filters, and a lost executor re-reads files instead of
+    recomputing the plan. Each call writes a fresh folder."""
+    path = scratch_path(df.sparkSession, f"tables/{name}-{uuid.uuid4().hex[:12]}")
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for written intermediate tables."""
     base = ensure_checkpoint_dir(spark)
