@@ -14,14 +14,43 @@ def col_(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def sql_double(x: float) -> str:
+    """SQL text of a double literal that parses back to exactly ``x``
+    (``repr`` round-trips; the ``D`` suffix keeps it a double, not a decimal)."""
+    x = float(x)
+    if x != x:
+        return "CAST('NaN' AS DOUBLE)"
+    if x == float("inf"):
+        return "CAST('Infinity' AS DOUBLE)"
+    if x == float("-inf"):
+        return "CAST('-Infinity' AS DOUBLE)"
+    return f"{x!r}D"
+
+
+def sql_name(c: str) -> str:
+    """Column reference for SQL text with ``F.col`` semantics: dots address
+    struct fields (each part back-quoted); an already back-quoted name is
+    used as written."""
+    if "`" in c:
+        return c
+    return ".".join("`" + part + "`" for part in c.split("."))
+
+
 def dlit(x: float) -> Column:
-    """Double literal (a bare ``0.5`` literal would be a decimal in SQL)."""
-    return F.lit(float(x)).cast("double")
+    """Double literal, parsed JVM-side from SQL text in one call (building
+    it from ``lit(..).cast(..)`` costs several Python->JVM round trips, which
+    dominates plan construction when grids have hundreds of points)."""
+    return F.expr(sql_double(x))
 
 
 # --------------------------------------------------------------------------
 # Binning
 # --------------------------------------------------------------------------
+def darray(values: Sequence[float]) -> Column:
+    """array<double> literal from SQL text in one call."""
+    return F.expr("array(" + ", ".join(sql_double(v) for v in values) + ")")
+
+
 def count_edges_le(c: str | Column, edges: Sequence[float]) -> Column:
     """Number of ``edges`` that are <= c, as a balanced CASE tree.
 
@@ -29,16 +58,27 @@ def count_edges_le(c: str | Column, edges: Sequence[float]) -> Column:
     ``log2(n)`` comparisons per row; NaN counts as larger than every edge, NULL
     stays NULL.
     """
-    x = col_(c)
     es = sorted(float(e) for e in edges)
+    if isinstance(c, str):
+        # a column name: the whole tree is SQL text parsed in one call
+        x = f"CAST({sql_name(c)} AS DOUBLE)"
+
+        def build_sql(lo: int, hi: int) -> str:
+            if lo == hi:
+                return str(lo)
+            mid = (lo + hi) // 2
+            return f"CASE WHEN {x} >= {sql_double(es[mid])} THEN {build_sql(mid + 1, hi)} ELSE {build_sql(lo, mid)} END"
+
+        return F.expr(f"CASE WHEN {x} IS NULL THEN CAST(NULL AS INT) ELSE {build_sql(0, len(es))} END")
+    xc = col_(c)
 
     def build(lo: int, hi: int) -> Column:
         if lo == hi:
             return F.lit(lo)
         mid = (lo + hi) // 2
-        return F.when(x >= dlit(es[mid]), build(mid + 1, hi)).otherwise(build(lo, mid))
+        return F.when(xc >= dlit(es[mid]), build(mid + 1, hi)).otherwise(build(lo, mid))
 
-    return F.when(x.isNull(), F.lit(None).cast("int")).otherwise(build(0, len(es)))
+    return F.when(xc.isNull(), F.lit(None).cast("int")).otherwise(build(0, len(es)))
 
 
 def histogram_bin(c: str | Column, edges: Sequence[float]) -> Column:
@@ -48,10 +88,10 @@ def histogram_bin(c: str | Column, edges: Sequence[float]) -> Column:
     equal to the repeated edge into the last bin starting there, which interior
     edge counting reproduces.
     """
-    x = col_(c)
+    x = F.col(c).cast("double") if isinstance(c, str) else c
     es = sorted(float(e) for e in edges)
     n_bins = len(es) - 1
-    inner = count_edges_le(x, es[1:-1])
+    inner = count_edges_le(c, es[1:-1])
     return (F.when(x.isNull() | F.isnan(x), F.lit(None).cast("int"))
             .when((x < dlit(es[0])) | (x > dlit(es[-1])), F.lit(None).cast("int"))
             .otherwise(F.least(inner, F.lit(n_bins - 1))))
@@ -235,6 +275,11 @@ def rnd(c: str | Column, digits: int) -> Column:
     every engine gives the same bits (engine ``round`` functions differ on
     values such as 1.005)."""
     scale = float(10 ** digits)
+    if isinstance(c, str):
+        # same expression as below, parsed from SQL text in one JVM call
+        x, sc = f"CAST({sql_name(c)} AS DOUBLE)", sql_double(scale)
+        return F.expr(f"CASE WHEN abs({x}) * {sc} < {sql_double(9e15)} "
+                      f"THEN floor({x} * {sc} + 0.5D) / {sc} ELSE {x} END")
     x = col_(c).cast("double")
     return F.when(F.abs(x) * dlit(scale) < dlit(9e15),
                   F.floor(x * dlit(scale) + dlit(0.5)) / dlit(scale)).otherwise(x)
@@ -244,6 +289,15 @@ def sig(c: str | Column, digits: int = 9) -> Column:
     """Round to ``digits`` significant digits with exact powers of ten only
     (statistics summed in different orders agree to ~1e-15 relative, so
     comparing them needs significant-digit rounding, not decimal places)."""
+    if isinstance(c, str):
+        # same expression as below, parsed from SQL text in one JVM call
+        x = f"CAST({sql_name(c)} AS DOUBLE)"
+        k = f"({digits - 1} - floor(log10(abs({x}))))"
+        up = f"pow(10.0D, CAST({k} AS DOUBLE))"
+        down = f"pow(10.0D, CAST((- {k}) AS DOUBLE))"
+        return F.expr(f"CASE WHEN {x} IS NULL OR isnan({x}) OR {x} = 0 OR abs({x}) = CAST('Infinity' AS DOUBLE) "
+                      f"THEN {x} WHEN {k} >= 0 THEN floor({x} * {up} + 0.5D) / {up} "
+                      f"ELSE floor({x} / {down} + 0.5D) * {down} END")
     x = col_(c).cast("double")
     e = F.floor(F.log10(F.abs(x)))
     k = F.lit(digits - 1) - e

@@ -43,7 +43,7 @@ def _dense_hist(df: DataFrame, bin_col, labels: Sequence[str]) -> DataFrame:
 def score_histogram(df: DataFrame, score: str = "risk_score", edges: Sequence[int] = P.SCORE_HIST_EDGES) -> DataFrame:
     """B2: bins [0,10), [10,20) ... [90,101] (last closed), labels '0-9' .. '90-100'."""
     labels = [f"{edges[i]}-{edges[i + 1] - 1}" for i in range(len(edges) - 1)]
-    return _dense_hist(df, C.histogram_bin(F.col(score).cast("double"), edges), labels)
+    return _dense_hist(df, C.histogram_bin(score, edges), labels)
 
 
 def score_ecdf(df: DataFrame, score: str = "risk_score", step: int = 5, top: int = 100) -> DataFrame:
@@ -77,4 +77,4 @@ def probability_histogram(df: DataFrame, p: str = "p", n_bins: int = 10) -> Data
     edges = [i * step for i in range(n_bins + 1)]
     edges[-1] = 1.0
     labels = [f"{i * 100 // n_bins}-{(i + 1) * 100 // n_bins}%" for i in range(n_bins)]
-    return _dense_hist(df, C.histogram_bin(F.col(p).cast("double"), edges), labels)
+    return _dense_hist(df, C.histogram_bin(p, edges), labels)

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import params as P
-from ..functions.columns import count_edges_le, dlit, rnd, safe_div
+from ..functions.columns import darray, count_edges_le, dlit, rnd, safe_div
 from .ordered import running_sums
 
 
@@ -184,7 +184,7 @@ def downsample_curve(curve: DataFrame, order_col: str = "point_no", max_points:
 def grid_frame(spark: SparkSession, grid: Sequence[float]) -> DataFrame:
     """Small table (i, threshold) from literals, sorted ascending."""
     g = sorted(float(x) for x in grid)
-    arr = F.array(*[dlit(x) for x in g])
+    arr = darray(g)
     return spark.range(len(g)).select(F.col("id").cast("int").alias("i"),
                                       F.element_at(arr, F.col("id").cast("int") + 1).alias("threshold"))
 
@@ -196,7 +196,7 @@ def grid_counts(df: DataFrame, grid: Sequence[float], y: str = "y", p: str = "p"
     g = sorted(float(x) for x in grid)
     T = len(g)
     spark = df.sparkSession
-    b = count_edges_le(F.col(p).cast("double"), g)
+    b = count_edges_le(p, g)
     aggs = [F.sum(F.col(y).cast("bigint")).alias("pos"), F.count(F.lit(1)).alias("n")]
     if amount:
         aggs.append(F.sum(F.when(F.col(y) == 1, F.col(amount).cast("decimal(18,2)"))).alias("amt_pos"))
@@ -257,11 +257,11 @@ def gate_failures(gates: dict = P.MIN_GATES) -> Column:
     """Array of failure messages (empty = passes)."""
     checks = [
         F.when(F.col("recall") < dlit(gates["recall"]),
-               F.format_string(f"recall=%.4f < {gates['recall']:.2f}", rnd(F.col("recall"), 4))),
+               F.format_string(f"recall=%.4f < {gates['recall']:.2f}", rnd("recall", 4))),
         F.when(F.col("precision") < dlit(gates["precision"]),
-               F.format_string(f"precision=%.4f < {gates['precision']:.2f}", rnd(F.col("precision"), 4))),
+               F.format_string(f"precision=%.4f < {gates['precision']:.2f}", rnd("precision", 4))),
         F.when(F.col("roc_auc") < dlit(gates["roc_auc"]),
-               F.format_string(f"roc_auc=%.4f < {gates['roc_auc']:.2f}", rnd(F.col("roc_auc"), 4))),
+               F.format_string(f"roc_auc=%.4f < {gates['roc_auc']:.2f}", rnd("roc_auc", 4))),
     ]
     return F.filter(F.array(*checks), lambda x: x.isNotNull())
 

@@ -58,7 +58,7 @@ def assign_bucket(df: DataFrame, col: str, edges: Sequence[float], descending: b
     n = len(edges)
     x = F.col(col).cast("double")
     if n <= CASE_TREE_MAX:
-        bucket = count_edges_le(x, edges)
+        bucket = count_edges_le(col, edges)
         out = df.withColumn(BUCKET, bucket)
     else:
         from pyspark.ml.feature import Bucketizer

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .. import params as P
 from ..functions import columns as C
-from ..functions.columns import dlit
+from ..functions.columns import darray, dlit
 
 
 def quarantine_probability(df: DataFrame, p: str = "p") -> tuple[DataFrame, DataFrame]:
@@ -96,7 +96,7 @@ def policy_as_of(df: DataFrame, ts: str, changes: Sequence[tuple[str, float]]) -
     idx = F.lit(0)
     for e in edges:  # a handful of policy changes: linear is fine and exact
         idx = idx + (micros >= e).cast("int")
-    arr = F.array(*[dlit(b) for _, b in ch])
+    arr = darray([b for _, b in ch])
     return df.withColumns({
         "policy_index": idx,
         "policy_threshold": F.when(idx > 0, F.element_at(arr, F.greatest(idx, F.lit(1)))),

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import params as P
-from ..functions.columns import count_edges_le, dlit, rnd
+from ..functions.columns import darray, count_edges_le, dlit, rnd
 from .metrics import grid_counts
 
 
@@ -40,7 +40,7 @@ def tradeoff_curve(df: DataFrame, cost: P.CostParams = P.CostParams(),
     net = alert + escaped * dlit(cost.fraud_multiplier) + fp * dlit(cost.friction_per_alert)
     return gc.select(
         F.col("i").alias("grid_index"),
-        rnd(F.col("threshold"), 4).alias("threshold"),
+        rnd("threshold", 4).alias("threshold"),
         rnd(recall * 100, 2).alias("recall"),
         rnd(precision * 100, 2).alias("precision"),
         rnd(f1, 4).alias("f1_score"),
@@ -86,10 +86,10 @@ def nearest_rows(curve: DataFrame, targets: Sequence[float], keys: Sequence[floa
     """
     spark = curve.sparkSession
     ks = sorted(round(float(k), 4) for k in keys)
-    arr = F.array(*[dlit(t) for t in targets])
+    arr = darray(targets)
     tg = spark.range(len(targets)).select(F.col("id").cast("int").alias("target_index"),
                                           F.element_at(arr, F.col("id").cast("int") + 1).alias("target"))
-    j = count_edges_le(F.col("target"), ks)
+    j = count_edges_le("target", ks)
     tg = tg.select("*", F.explode(F.array(j - 1, j)).alias("grid_index"))
     cand = tg.join(curve, "grid_index", "inner")
     best = cand.groupBy("target_index", "target").agg(

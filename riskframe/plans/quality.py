@@ -127,8 +127,8 @@ def _stats_sql(col: str, src: str) -> str:
 def _stats_spark(df: DataFrame, col: str) -> DataFrame:
     st = QL.amount_stats(df, col)
     return st.select("n", *[sig(F.col(c)).alias(c) for c in ("mean", "std", "min", "max")],
-                     sig(F.col("skewness"), 6).alias("skewness"), sig(F.col("kurtosis"), 6).alias("kurtosis"),
-                     "zeros", sig(F.col("median")).alias("median"))
+                     sig("skewness", 6).alias("skewness"), sig("kurtosis", 6).alias("kurtosis"),
+                     "zeros", sig("median").alias("median"))
 
 
 @register("q10_amount_stats", _stats_sql("Amount", CARD), digits=None)
@@ -186,7 +186,7 @@ def q14_top_correlations(spark, sf_dir):
     """Q14: top-10 |Pearson r| with the target."""
     df = card(spark, sf_dir).drop("id")
     out = QL.top_correlations(df)
-    return out.select("feature", sig(F.col("abs_corr"), 6).alias("abs_corr"))
+    return out.select("feature", sig("abs_corr", 6).alias("abs_corr"))
 
 
 @register("q15_class_stats", f"""
