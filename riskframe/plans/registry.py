@@ -3,6 +3,7 @@ DuckDB oracle SQL string. ``__spark_entry__`` exposes this registry."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +12,8 @@ from pyspark.sql import types as T
 
 from ..functions.columns import rnd
 
+_PLAIN = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
+
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, QueryFn] = {}
@@ -41,7 +44,9 @@ def finish(df: DataFrame, digits: int | None = 6) -> DataFrame:
         if f.name.startswith("_"):
             continue
         if digits is not None and isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            cols.append(rnd(F.col(f.name), digits).alias(f.name))
+            # plain names take the one-call SQL-text form of the same expression
+            c = f.name if _PLAIN.fullmatch(f.name) else F.col(f"`{f.name}`")
+            cols.append(rnd(c, digits).alias(f.name))
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)
