@@ -249,7 +249,32 @@ def q19_column_catalogue(spark, sf_dir):
     return roles.join(QL.missing_counts(df).select("column", "n_missing"), "column", "inner")
 
 
-@register("q20_validation_report", None)
+def _report_sql() -> str:
+    floats = set(CARD_COLS) - {"id", "Class"}
+    keys = ", ".join(f'"{c}"' for c in CARD_COLS)
+    pct = R('n_fraud::DOUBLE / n_rows * 100.0::DOUBLE', 6)
+    return f"""
+WITH c AS (SELECT {CARD_SEL} FROM {CARD}),
+m AS ({_missing_sql('c', CARD_COLS, floats)}),
+k AS (SELECT count(*)::BIGINT AS n_rows, coalesce(sum("Class"), 0)::BIGINT AS n_fraud,
+        count(*) FILTER (WHERE "Class" IS NOT NULL AND "Class" NOT IN (0, 1))::BIGINT AS n_unexpected FROM c),
+b AS (SELECT {pct} AS pct, '1:' || CAST(trunc((n_rows - n_fraud) / greatest(n_fraud, 1)) AS BIGINT) AS ratio,
+        (n_fraud::DOUBLE / n_rows < 0.001::DOUBLE OR n_fraud::DOUBLE / n_rows > 0.005::DOUBLE) AS outside FROM k),
+d AS (SELECT coalesce(sum(cnt - 1), 0)::BIGINT AS dup FROM (SELECT count(*) AS cnt FROM c GROUP BY {keys}))
+SELECT 'min_rows' AS "check", CASE WHEN n_rows >= 200000 THEN 'info' ELSE 'error' END AS severity,
+  {R('n_rows::DOUBLE')} AS observed, printf('Row count %d (minimum 200000)', n_rows) AS message FROM k
+UNION ALL SELECT 'target_binary', CASE WHEN n_unexpected = 0 THEN 'info' ELSE 'error' END, {R('n_unexpected::DOUBLE')},
+  printf('%d target values outside {{0,1}}', n_unexpected) FROM k
+UNION ALL SELECT 'fraud_rate_band', CASE WHEN outside THEN 'warning' ELSE 'info' END, {R('pct')},
+  'Fraud rate ' || CAST(pct AS VARCHAR) || '% (ratio ' || ratio || ')' FROM b
+UNION ALL SELECT 'all_null_column', 'error', {R('n_missing::DOUBLE')}, 'Column entirely missing: ' || "column"
+  FROM m WHERE n_missing = n AND n > 0
+UNION ALL SELECT 'missing_values', 'warning', {R('n_missing::DOUBLE')}, 'Missing values in ' || "column" FROM m WHERE n_missing > 0
+UNION ALL SELECT 'duplicate_rows', CASE WHEN dup > 0 THEN 'warning' ELSE 'info' END, {R('dup::DOUBLE')},
+  printf('%d duplicate rows', dup) FROM d"""
+
+
+@register("q20_validation_report", _report_sql())
 def q20_validation_report(spark, sf_dir):
     """Q20: long (check, severity, observed, message) report; hard rows are errors."""
     return QL.validation_report(card(spark, sf_dir).select(*CARD_COLS))
