@@ -167,9 +167,10 @@ def downsample_curve(curve: DataFrame, order_col: str = "point_no", max_points:
     ``order_col`` is a dense 0- or 1-based position. The selection is a
     filter against the count, so no rows move to the driver.
     """
-    stats = curve.agg(F.struct(F.count(F.lit(1)).alias("_n"), F.min(order_col).alias("_o0")).alias("s")).scalar()
-    n = stats["_n"]
-    pos = F.col(order_col) - stats["_o0"]
+    # two numbers reach the driver (one run of the curve for the stats)
+    st = curve.agg(F.count(F.lit(1)).alias("_n"), F.min(order_col).alias("_o0")).first()
+    n = F.lit(int(st["_n"])).cast("bigint")
+    pos = F.col(order_col) - F.lit(int(st["_o0"] or 0)).cast("bigint")
     m = max_points
     # position i is kept when some k in [0, m) has floor(k*(n-1)/(m-1)) == i;
     # the smallest candidate is k = ceil(i*(m-1)/(n-1)).
@@ -273,7 +274,8 @@ def metrics_report(df: DataFrame, threshold: float | None = None,
     """One row with counts, rates, AUCs, threshold (searched when None),
     composite and gate outcome."""
     if threshold is None:
-        # one number reaches the driver; keeps the report plan deterministic
+        # one number reaches the driver; as a scalar subquery Spark would
+        # re-run the search once per reference to it (no subquery reuse)
         threshold = float(threshold_search(df, search, y, p).first()["threshold"])
     t = dlit(threshold)
     scored = df.select(F.col(y).alias("_y"), F.col(p).cast("double").alias("_p"))
@@ -289,9 +291,10 @@ def metrics_report(df: DataFrame, threshold: float | None = None,
         F.count_if(~pred & pos).cast("bigint").alias("fn"),
     )
     counts = counts.withColumn("threshold", t)
-    # both AUCs from ONE struct scalar subquery (one curve pipeline, not two)
-    auc = auc_scores(df, y, p, n_buckets).select(F.struct("roc_auc", "pr_auc").alias("a")).scalar()
-    rep = with_rates(counts).withColumns({"roc_auc": auc["roc_auc"], "pr_auc": auc["pr_auc"]})
+    # both AUCs from ONE run of the curve pipeline: two numbers reach the
+    # driver (scalar subqueries are not reused, so each would re-run it)
+    a = auc_scores(df, y, p, n_buckets).first()
+    rep = with_rates(counts).withColumns({"roc_auc": dlit(a["roc_auc"]), "pr_auc": dlit(a["pr_auc"])})
     rep = rep.withColumn("composite_score", composite(weights))
     fails = gate_failures(gates)
     return rep.withColumn("gate_failures", fails).withColumn("passes_gates", F.size(fails) == 0)
