@@ -25,7 +25,7 @@ def _sig_all(df: DataFrame, skip=()) -> DataFrame:
     out = []
     for f in df.schema.fields:
         if f.dataType.simpleString() == "double" and f.name not in skip:
-            out.append(sig(F.col(f.name)).alias(f.name))
+            out.append(sig(f.name if f.name.isidentifier() else F.col(f"`{f.name}`")).alias(f.name))
         else:
             out.append(F.col(f.name))
     return df.select(*out)
