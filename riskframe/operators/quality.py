@@ -215,8 +215,10 @@ def column_ranges(df: DataFrame, features: Sequence[str]) -> DataFrame:
         aggs += [F.min(x).alias(f"min__{c}"), F.max(x).alias(f"max__{c}"),
                  F.avg(x).alias(f"mean__{c}"), F.stddev_samp(x).alias(f"std__{c}")]
     long = _long(df.agg(*aggs), features, ["min", "max", "mean", "std"])
-    g = long.agg(F.struct(F.min("min").alias("lo"), F.max("max").alias("hi")).alias("g")).scalar()
-    return long.withColumns({"global_min": g["lo"], "global_max": g["hi"]})
+    # two numbers reach the driver once (scalar subqueries would re-scan per use)
+    g = long.agg(F.min("min").alias("lo"), F.max("max").alias("hi")).first()
+    lit = lambda v: dlit(v) if v is not None else F.lit(None).cast("double")
+    return long.withColumns({"global_min": lit(g["lo"]), "global_max": lit(g["hi"])})
 
 
 def validation_report(df: DataFrame, target: str = P.TARGET, min_rows: int = 200_000,
