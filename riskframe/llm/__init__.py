@@ -12,10 +12,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    from .op1_license import op1_license
     from .op3_bpe import op3_bpe
+    from .op4_lm import op4_lm
+    from .op5_pii import op5_pii
+    from .op10_url import op10_url
 
-    return {f.__name__: f for f in (op3_bpe,)}
+    return {f.__name__: f for f in (op1_license, op3_bpe, op4_lm, op5_pii, op10_url)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from . import op10_url
+
+    return {"op10_url": op10_url.ORACLE}
