@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     from .op1_license import op1_license
+    from .op2_neardup import op2_neardup
     from .op3_bpe import op3_bpe
     from .op4_lm import op4_lm
     from .op5_pii import op5_pii
@@ -20,7 +21,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     from .op8_quality import op8_quality
     from .op10_url import op10_url
 
-    return {f.__name__: f for f in (op1_license, op3_bpe, op4_lm, op5_pii, op7_decontam, op8_quality, op10_url)}
+    return {f.__name__: f for f in (op1_license, op2_neardup, op3_bpe, op4_lm, op5_pii, op7_decontam, op8_quality, op10_url)}
 
 
 def oracle_sql() -> dict[str, str]:
