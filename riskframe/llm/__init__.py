@@ -17,11 +17,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     from .op3_bpe import op3_bpe
     from .op4_lm import op4_lm
     from .op5_pii import op5_pii
+    from .op6_quality_model import op6_quality_model
     from .op7_decontam import op7_decontam
     from .op8_quality import op8_quality
+    from .op9_html import op9_html
     from .op10_url import op10_url
 
-    return {f.__name__: f for f in (op1_license, op2_neardup, op3_bpe, op4_lm, op5_pii, op7_decontam, op8_quality, op10_url)}
+    return {f.__name__: f for f in (op1_license, op2_neardup, op3_bpe, op4_lm, op5_pii, op6_quality_model, op7_decontam,
+                                    op8_quality, op9_html, op10_url)}
 
 
 def oracle_sql() -> dict[str, str]:
