@@ -94,6 +94,9 @@ def with_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     return out.withColumns({f"__q_z{i}": z[k] for i, k in enumerate(STATS)} | {
         "__q_base_failed": (F.col("__q_n_words") < LEAST_WORDS)
         | (100 * F.col("__q_n_repeat_words") > MOST_REPEATED * F.col("__q_n_words")),
+        # keeps Spark from writing these expressions into a later filter, where an
+        # array that is used ten times would be computed ten times
+        "__q_row": F.monotonically_increasing_id(),
     }).drop("__q_capitals", "__q_n_lines")
 
 
@@ -175,7 +178,7 @@ def _grouped(docs: DataFrame) -> DataFrame:
 
 
 def _fit(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    narrow = materialize(_grouped(docs_of(docs, "doc_id", "text", "lang", "source")).drop("text", "lang", "source"), "quality-stats")
+    narrow = materialize(_grouped(docs_of(docs, "doc_id", "text", "lang", "source")).drop("text", "lang", "source", "__q_row"), "quality-stats")
     pools = materialize(with_pools(narrow), "quality-pools")
     stats = narrow.join(pools, ["__q_lang", "__q_source"])
     return stats, pools, fit_groups(stats)
@@ -195,7 +198,7 @@ def filter_quality(docs: DataFrame) -> DataFrame:
     again for the verdict rather than shuffled to it."""
     _, pools, groups = _fit(docs)
     judged = _judge(_grouped(docs).join(pools, ["__q_lang", "__q_source"]), groups)
-    return judged.where("__q_kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return judged.where("__q_kept AND __q_row >= 0").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
