@@ -33,9 +33,8 @@ from .common import WordHashes, docs_of, map_rows, materialize, table
 #: Parameters: words that insult, as two labellers.
 INSULTS = ("clown", "idiot", "loser", "moron", "scum", "trash")
 SLURS = ("disgusting", "pathetic", "stupid", "worthless")
-#: (bad from, good up to) of each ratio; between them a labeller abstains.
-LIMITS = {"symbols": (0.08, 0.02), "repeats": (0.2, 0.02), "capitals": (0.4, 0.15), "dup_lines": (0.4, 0.1),
-          "few_distinct": (0.75, 0.6)}
+#: From which ratio on a detector of one defect votes bad; it abstains below.
+LIMITS = {"symbols": 0.08, "repeats": 0.2, "capitals": 0.4, "dup_lines": 0.4, "few_distinct": 0.75}
 LEAST_WORDS, ENOUGH_WORDS, WORD_LENGTH = 10, 30, (3.0, 9.0)
 #: Expected sampled documents per side and target; hash size; passes; rate; ridge.
 SAMPLE, HASH_BITS, EPOCHS, RATE, RIDGE = 5000, 18, 6, 0.3, 1e-4
@@ -68,8 +67,8 @@ def votes(text: str | None) -> tuple[list[int], list[int]]:
     text = text or ""
     r = ratios(text)
     q = [NO if r["words"] < LEAST_WORDS else YES if r["words"] >= ENOUGH_WORDS else ABSTAIN]
-    q += [NO if r[k] >= bad else YES if r[k] <= good else ABSTAIN for k, (bad, good) in LIMITS.items()]
-    q.append(YES if WORD_LENGTH[0] <= r["word_length"] <= WORD_LENGTH[1] else NO)
+    q += [NO if r[k] >= bad else ABSTAIN for k, bad in LIMITS.items()]
+    q.append(ABSTAIN if WORD_LENGTH[0] <= r["word_length"] <= WORD_LENGTH[1] else NO)
     low = text.lower()
     t = [YES if any(w in low for w in ws) and p.search(text) else ABSTAIN for ws, p in ((INSULTS, INSULT), (SLURS, SLUR))]
     return q, t
@@ -99,15 +98,17 @@ def vote_rows(docs: DataFrame) -> DataFrame:
     return map_rows(rows, "doc_id long, key long, quality long, toxic long", make)
 
 
-def estimate(patterns: list[tuple[int, int]], n: int, prior: float = 0.5) -> dict[int, float]:
+def estimate(patterns: list[tuple[int, int]], n: int, prior: float = 0.5, no_weight: float = 1.0) -> dict[int, float]:
     """Posterior of the positive class per pattern: EM for labellers that are
-    independent given the class, each with its own distribution of votes."""
+    independent given the class, each with its own distribution of votes. It starts at
+    the share of positive votes; ``no_weight`` says how much a negative one counts
+    there (more than 1 where labellers are detectors of single defects)."""
     if not patterns:
         return {}
     v = np.array([decode(c, n) for c, _ in patterns])
     weight = np.array([k for _, k in patterns], float)
-    yes, no = (v == YES).sum(1), (v == NO).sum(1)
-    post = np.clip((yes + prior) / (yes + no + 1.0), 0.02, 0.98)  # start: share of the votes
+    yes, no = (v == YES).sum(1), no_weight * (v == NO).sum(1)
+    post = np.clip((yes + prior) / (yes + no + 1.0), 0.02, 0.98)
     onehot = np.stack([v == x for x in range(3)])
     for _ in range(ROUNDS):
         chance = (weight * post).sum() / weight.sum()
@@ -203,9 +204,9 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
         "toxic": F.col("toxic") + vote("l_toxic") * 3 ** (len(TOXIC) - 1)}).drop("l_quality", "l_toxic")
     voted = materialize(voted, "weak-patterns")
     posteriors = {}
-    for name, n, prior in (("quality", len(QUALITY), 0.5), ("toxic", len(TOXIC), 0.02)):
+    for name, n, prior, no_weight in (("quality", len(QUALITY), 0.5, 2.0), ("toxic", len(TOXIC), 0.02, 1.0)):
         counts = sorted((r[0], r[1]) for r in voted.groupBy(name).agg(F.count(F.lit(1))).collect())  # at most 3^n rows
-        posteriors[name] = estimate(counts, n, prior)
+        posteriors[name] = estimate(counts, n, prior, no_weight)
     weights = fit(docs, voted, posteriors)
     sent = spark.sparkContext.broadcast(weights)
 
