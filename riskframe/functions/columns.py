@@ -119,7 +119,9 @@ def is_night(hour: str | Column = "hour_of_day") -> Column:
 # Risk (R1-R6)
 # --------------------------------------------------------------------------
 def clamp01(p: str | Column) -> Column:
-    return F.greatest(dlit(0.0), F.least(dlit(1.0), col_(p).cast("double")))
+    """p limited to [0, 1]; NULL and NaN give NULL (``least`` would skip them)."""
+    x = col_(p).cast("double")
+    return F.when(x.isNotNull() & ~F.isnan(x), F.greatest(dlit(0.0), F.least(dlit(1.0), x)))
 
 
 def risk_score(p: str | Column) -> Column:
@@ -132,7 +134,7 @@ def risk_score(p: str | Column) -> Column:
 def _by_score(score: Column, low_max: int, medium_max: int, values: Sequence[str]) -> Column:
     return (F.when(score <= F.lit(low_max), F.lit(values[0]))
             .when(score <= F.lit(medium_max), F.lit(values[1]))
-            .otherwise(F.lit(values[2])))
+            .when(score.isNotNull(), F.lit(values[2])))
 
 
 def risk_category(score: str | Column, policy: P.RiskPolicy = P.RiskPolicy()) -> Column:
@@ -152,12 +154,17 @@ def flagged(p: str | Column, threshold: float | Column) -> Column:
     return clamp01(p) >= t
 
 
+def _by_flag(flag: Column, yes: str, no: str) -> Column:
+    """NULL stays NULL: without a probability there is no decision."""
+    return F.when(flag, F.lit(yes)).when(~flag, F.lit(no))
+
+
 def decision(p: str | Column, threshold: float | Column) -> Column:
-    return F.when(flagged(p, threshold), F.lit(P.DECISION_REVIEW)).otherwise(F.lit(P.DECISION_ACCEPT))
+    return _by_flag(flagged(p, threshold), P.DECISION_REVIEW, P.DECISION_ACCEPT)
 
 
 def status_label(p: str | Column, threshold: float | Column) -> Column:
-    return F.when(flagged(p, threshold), F.lit(P.STATUS_FLAGGED)).otherwise(F.lit(P.STATUS_CLEARED))
+    return _by_flag(flagged(p, threshold), P.STATUS_FLAGGED, P.STATUS_CLEARED)
 
 
 def canonical_category(c: str | Column) -> Column:

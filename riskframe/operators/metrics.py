@@ -73,8 +73,14 @@ def threshold_metrics(df: DataFrame, threshold: float = P.DEFAULT_THRESHOLD,
 # --------------------------------------------------------------------------
 # Score-group kernel
 # --------------------------------------------------------------------------
+def scored_rows(df: DataFrame, p: str = "p") -> DataFrame:
+    """The rows that have a score: NULL and NaN take no part in any metric."""
+    x = F.col(p).cast("double")
+    return df.filter(x.isNotNull() & ~F.isnan(x))
+
+
 def score_groups(df: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
-    return df.groupBy(F.col(p).cast("double").alias("score")).agg(
+    return scored_rows(df, p).groupBy(F.col(p).cast("double").alias("score")).agg(
         F.sum(F.col(y).cast("bigint")).alias("pos"),
         F.count(F.lit(1)).alias("n"),
     ).withColumn("neg", F.col("n") - F.col("pos"))
@@ -97,7 +103,7 @@ def _totals(df: DataFrame, y: str, p: str) -> Column:
     with partial aggregation instead of re-running the curve pipeline once per
     total."""
     # same totals as summing the score groups: every row counts, N = rows - P
-    agg = df.agg(F.coalesce(F.sum(F.col(y).cast("bigint")), F.lit(0).cast("bigint")).alias("P"),
+    agg = scored_rows(df, p).agg(F.coalesce(F.sum(F.col(y).cast("bigint")), F.lit(0).cast("bigint")).alias("P"),
                  F.count(F.lit(1)).alias("n"))
     return agg.select(F.struct("P", (F.col("n") - F.col("P")).alias("N")).alias("t")).scalar()
 
@@ -200,12 +206,12 @@ def grid_counts(df: DataFrame, grid: Sequence[float], y: str = "y", p: str = "p"
     b = count_edges_le(p, g)
     aggs = [F.sum(F.col(y).cast("bigint")).alias("pos"), F.count(F.lit(1)).alias("n")]
     if amount:
-        aggs.append(F.sum(F.when(F.col(y) == 1, F.col(amount).cast("decimal(18,2)"))).alias("amt_pos"))
-    buckets = df.filter(F.col(p).isNotNull()).groupBy(b.alias("b")).agg(*aggs)
+        aggs.append(F.sum(F.when(F.col(y) == 1, F.col(amount).cast("decimal(30,6)"))).alias("amt_pos"))
+    buckets = scored_rows(df, p).groupBy(b.alias("b")).agg(*aggs)
     dense = spark.range(T + 1).select(F.col("id").cast("int").alias("b"))
     full = dense.join(buckets, "b", "left").na.fill(0, ["pos", "n"])
     if amount:
-        full = full.withColumn("amt_pos", F.coalesce("amt_pos", F.lit(0).cast("decimal(18,2)")))
+        full = full.withColumn("amt_pos", F.coalesce("amt_pos", F.lit(0).cast("decimal(30,6)")))
     # suffix over buckets > i (rows with p >= t_i); the table has T+1 rows.
     w = Window.orderBy(F.col("b").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cols = [F.col("b"), F.sum("pos").over(w).alias("s_pos"), F.sum("n").over(w).alias("s_n"),
@@ -278,7 +284,7 @@ def metrics_report(df: DataFrame, threshold: float | None = None,
         # re-run the search once per reference to it (no subquery reuse)
         threshold = float(threshold_search(df, search, y, p).first()["threshold"])
     t = dlit(threshold)
-    scored = df.select(F.col(y).alias("_y"), F.col(p).cast("double").alias("_p"))
+    scored = scored_rows(df, p).select(F.col(y).alias("_y"), F.col(p).cast("double").alias("_p"))
     pred = F.col("_p") >= t
     pos = F.col("_y") == 1
     counts = scored.agg(

@@ -18,8 +18,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import count_edges_le
-
 BUCKET = "_rb"
 
 
@@ -39,27 +37,25 @@ def range_edges(df: DataFrame, col: str, n_buckets: int) -> list[float]:
     if n_buckets <= 1:
         return []
     qs = [i / n_buckets for i in range(1, n_buckets)]
-    row = df.agg(F.percentile_approx(F.col(col).cast("double"), qs, 10 * n_buckets).alias("e")).first()
+    # the sketch that one task merges has a fixed size, whatever the number of buckets
+    row = df.agg(F.percentile_approx(F.col(col).cast("double"), qs, ACCURACY).alias("e")).first()
     vals = row["e"] if row is not None else None
     if not vals:
         return []
     return sorted({float(v) for v in vals if v is not None and v == v})
 
 
-CASE_TREE_MAX = 256
+ACCURACY = 10_000
 
 
 def assign_bucket(df: DataFrame, col: str, edges: Sequence[float], descending: bool = False) -> DataFrame:
     """Add ``_rb`` = number of edges <= col (reversed when descending); NULL
-    order values go to the last bucket. Small edge sets compile to a
-    log-depth CASE tree inside whole-stage codegen; large ones (thousands of
-    buckets on a big cluster) use MLlib's ``Bucketizer`` binary search so the
-    expression stays small."""
+    order values go to the last bucket. MLlib's ``Bucketizer`` searches the
+    edges, so the expression is as small for thousands of buckets as for ten."""
     n = len(edges)
     x = F.col(col).cast("double")
-    if n <= CASE_TREE_MAX:
-        bucket = count_edges_le(col, edges)
-        out = df.withColumn(BUCKET, bucket)
+    if n == 0:
+        out = df.withColumn(BUCKET, F.when(x.isNotNull(), F.lit(0)))
     else:
         from pyspark.ml.feature import Bucketizer
         tmp = "_rb_in"
@@ -117,13 +113,19 @@ def running_sums(
            - F.col(f"_t_{n}")).alias(f"_o_{n}") for n in names],
         F.lead("_first").over(wb).alias("_next_first"),
     )
+    # null-safe on the partition keys: PARTITION BY keeps the NULL group, too
+    offs = offs.select(*[F.col(c).alias(f"_k_{c}") for c in part], F.col(BUCKET).alias("_ob"),
+                       *[c for c in offs.columns if c not in part and c != BUCKET])
     if not part:
         offs = F.broadcast(offs)  # at most n_buckets + 2 rows
 
     order = [F.col(c).desc() if descending else F.col(c).asc() for c in order_cols]
     wl = Window.partitionBy(*part, BUCKET).orderBy(*order)
     run = wl.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = base.join(offs, [*part, BUCKET], "inner")
+    match = F.col(BUCKET) == F.col("_ob")
+    for c in part:
+        match = match & F.col(c).eqNullSafe(F.col(f"_k_{c}"))
+    out = base.join(offs, match, "inner")
     cols = [F.col(c) for c in df.columns]
     cols += [(F.sum(f"_v_{n}").over(run) + F.col(f"_o_{n}")).alias(f"cum_{n}") for n in names]
     if with_next:

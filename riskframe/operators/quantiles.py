@@ -1,25 +1,24 @@
 """Exact quantiles (linear interpolation) without a single-task value buffer.
 
 Spark's exact ``percentile`` keeps a value->count map per group and merges it
-in one task, which does not survive billions of distinct doubles. Here values
-are counted per (group, value), ranked with the distributed running sums of
-:mod:`ordered`, and only the two ranks around each requested probability are
-picked out - the target table has ``groups x probabilities x 2`` rows and is
-the only side that is broadcast.
+in one task, which does not survive billions of distinct doubles. Here rows
+are counted per (group, range bucket); the counts say which bucket holds each
+of the two ranks around a requested probability, and only the rows of those
+buckets are sorted. All other rows are read and counted, never shuffled.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import dlit
-from .ordered import BUCKET, running_sums
+from .ordered import BUCKET, assign_bucket, default_buckets, range_edges
 
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], group_cols: Sequence[str] = (),
-                    n_buckets: int | None = None, n_groups_hint: int | None = None) -> DataFrame:
+                    n_buckets: int | None = None) -> DataFrame:
     """Rows (group..., q_index, prob, quantile); NULL and NaN values are ignored.
 
     Matches ``numpy.quantile(method='linear')``: h = (n-1) q, value =
@@ -28,39 +27,37 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], group_col
     groups = list(group_cols)
     v = F.col(value).cast("double")
     clean = df.select(*groups, v.alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    counts = clean.groupBy(*groups, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    ranked = running_sums(counts, ["_v"], {"c": "_c"}, partition_cols=groups, n_buckets=n_buckets,
-                          keep_bucket=True)
-    ranked = ranked.select(*groups, "_v", (F.col("cum_c") - F.col("_c")).alias("_start"),
-                           F.col("cum_c").alias("_end"), F.col(BUCKET).alias("_b"))
+    edges = range_edges(clean, "_v", n_buckets or default_buckets(df.sparkSession))
+    base = assign_bucket(clean, "_v", edges)
     # rank span of every (group, bucket): at most groups x buckets rows
-    spans = ranked.groupBy(*groups, "_b").agg(F.min("_start").alias("_bs"), F.max("_end").alias("_be"))
+    w = Window.partitionBy(*groups).orderBy(BUCKET) if groups else Window.partitionBy(F.lit(0)).orderBy(BUCKET)
+    spans = base.groupBy(*groups, BUCKET).agg(F.count(F.lit(1)).alias("_c"))
+    spans = spans.withColumn("_end", F.sum("_c").over(w)).withColumn("_start", F.col("_end") - F.col("_c"))
+    whole = Window.partitionBy(*groups) if groups else Window.partitionBy(F.lit(0))
+    spans = spans.withColumn("_n", F.max("_end").over(whole))
 
+    # the two ranks around each probability, kept where their bucket holds them
     parr = F.array(*[F.struct(F.lit(i).alias("q_index"), dlit(p).alias("prob")) for i, p in enumerate(probs)])
-    n = counts.groupBy(*groups).agg(F.sum("_c").alias("_n"))
-    tg = n.select(*groups, "_n", F.explode(parr).alias("_q")).select(
-        *groups, "_n", "_q.q_index", "_q.prob",
+    tg = spans.select("*", F.explode(parr).alias("_q")).select(
+        *groups, BUCKET, "_start", "_end", "_n", "_q.q_index", "_q.prob",
         (F.col("_q.prob") * (F.col("_n") - 1).cast("double")).alias("_h"))
     tg = tg.withColumns({"_lo": F.floor("_h"), "_t": F.col("_h") - F.floor("_h")})
     tg = tg.withColumn("_hi", F.least(F.col("_lo") + 1, F.col("_n") - 1))
-    picks = tg.select(*groups, "q_index", "prob", "_t", F.explode(F.array(
-        F.struct(F.lit(0).alias("side"), F.col("_lo").alias("rank")),
-        F.struct(F.lit(1).alias("side"), F.col("_hi").alias("rank")))).alias("_s")) \
-        .select(*groups, "q_index", "prob", "_t", "_s.side", "_s.rank")
-    # locate the bucket holding each target rank on the small span table, then
-    # join the ranked rows on (group, bucket): a huge group is spread over
-    # its buckets instead of meeting every target in one task
-    sp = spans.select(*[F.col(g).alias(f"_s_{g}") for g in groups], "_b", "_bs", "_be")
-    loc = (F.col("rank") >= F.col("_bs")) & (F.col("rank") < F.col("_be"))
+    picks = tg.select(*[F.col(g).alias(f"_g_{g}") for g in groups], F.col(BUCKET).alias("_pb"), "_start", "_end", "q_index", "prob", "_t",
+                      F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("_lo").alias("rank")),
+                                        F.struct(F.lit(1).alias("side"), F.col("_hi").alias("rank")))).alias("_s"))
+    picks = picks.select("*", "_s.side", "_s.rank").drop("_s").where((F.col("rank") >= F.col("_start")) & (F.col("rank") < F.col("_end")))
+    # only buckets that hold a wanted rank are sorted
+    wanted = picks.groupBy(*[f"_g_{g}" for g in groups], "_pb").agg(
+        F.collect_list(F.struct("q_index", "prob", "_t", "side", (F.col("rank") - F.col("_start") + 1).alias("at"))).alias("_picks"))
+    match = F.col(BUCKET) == F.col("_pb")
     for g in groups:
-        loc = loc & (F.col(g) == F.col(f"_s_{g}"))
-    picks = picks.join(sp, loc, "inner").select(*[F.col(g).alias(f"_g_{g}") for g in groups], "_b",
-                                                "q_index", "prob", "_t", "side", "rank")
-    picks = picks.withColumnRenamed("_b", "_pb")
-    cond = (F.col("_b") == F.col("_pb")) & (F.col("rank") >= F.col("_start")) & (F.col("rank") < F.col("_end"))
-    for g in groups:
-        cond = cond & (F.col(g) == F.col(f"_g_{g}"))
-    joined = ranked.join(picks, cond, "inner")
+        match = match & F.col(g).eqNullSafe(F.col(f"_g_{g}"))
+    near = base.join(wanted, match, "inner")
+    order = Window.partitionBy(*groups, BUCKET).orderBy("_v")
+    placed = near.withColumn("_i", F.row_number().over(order).cast("bigint"))
+    joined = placed.select(*groups, "_v", "_i", F.filter("_picks", lambda x: x["at"] == F.col("_i")).alias("_picks")).where(
+        F.size("_picks") > 0).select(*groups, "_v", F.explode("_picks").alias("_p")).select(*groups, "_v", "_p.*")
     vals = joined.groupBy(*groups, "q_index", "prob", "_t").agg(
         F.max(F.when(F.col("side") == 0, F.col("_v"))).alias("_a"),
         F.max(F.when(F.col("side") == 1, F.col("_v"))).alias("_b"))
@@ -68,12 +65,3 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], group_col
     diff = b - a
     lerp = F.when(t >= dlit(0.5), b - diff * (dlit(1.0) - t)).otherwise(a + diff * t)
     return vals.select(*groups, "q_index", "prob", lerp.alias("quantile"))
-
-
-def quantile_array(df: DataFrame, value: str, probs: Sequence[float], group_cols: Sequence[str] = (),
-                   n_buckets: int | None = None) -> DataFrame:
-    """Same, collected per group into an ordered array column ``quantiles``."""
-    q = exact_quantiles(df, value, probs, group_cols, n_buckets)
-    return q.groupBy(*group_cols).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("q_index", "quantile"))),
-                    lambda s: s["quantile"]).alias("quantiles"))

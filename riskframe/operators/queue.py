@@ -87,12 +87,24 @@ def apply_actions(queue: DataFrame, actions: DataFrame, key: str = "id",
     return state, unknown.unionByName(invalid)
 
 
+def _fill_priority(q: DataFrame) -> DataFrame:
+    """Rows without a priority get theirs; the others keep what they have."""
+    base = q.select("risk_score", "Amount", "is_flagged")
+    made = [c for c in prioritise(base).columns if c in q.columns and c not in base.columns]
+    fresh = prioritise(q.withColumnsRenamed({c: f"_had_{c}" for c in made}))
+    missing = F.col("_had_priority_score").isNull()
+    return fresh.select(*[F.when(missing, F.col(c)).otherwise(F.col(f"_had_{c}")).alias(c) if c in made else F.col(c)
+                          for c in q.columns])
+
+
 def queue_view(queue: DataFrame, status: str | None = None, sort_by: str = "priority_score",
                descending: bool = True, key: str = "id") -> DataFrame:
     """K4 + F13: back-fill missing priority, filter by status, sort (missing -> 0)."""
     q = queue
     if "priority_score" not in q.columns:
         q = prioritise(q)
+    elif {"risk_score", "Amount", "is_flagged"} <= set(q.columns):
+        q = _fill_priority(q)
     if status is not None:
         q = q.filter(F.col("status") == F.lit(status))
     s = F.coalesce(F.col(sort_by), F.lit(0))

@@ -68,8 +68,8 @@ def cost_assumptions(df: DataFrame, cost: P.CostParams = P.CostParams(),
     """T4: total positives and total positive dollars (exact decimal sum)."""
     return df.agg(
         F.count_if(F.col(y) == 1).cast("bigint").alias("total_fraud_count"),
-        F.round(F.coalesce(F.sum(F.when(F.col(y) == 1, F.col(amount).cast("decimal(18,2)"))),
-                           F.lit(0).cast("decimal(18,2)")).cast("double"), 2).alias("total_fraud_dollars"),
+        F.round(F.coalesce(F.sum(F.when(F.col(y) == 1, F.col(amount).cast("decimal(30,6)"))),
+                           F.lit(0).cast("decimal(30,6)")).cast("double"), 2).alias("total_fraud_dollars"),
     ).withColumns({"cost_per_false_alert": dlit(cost.cost_per_false_alert),
                    "fraud_multiplier": dlit(cost.fraud_multiplier)})
 

@@ -11,7 +11,8 @@ at ``t - W`` (before events at that instant); the prefix sums over events +
 probes come from :func:`ordered.running_sums`, which range-buckets each
 entity by time, so a hot entity is spread over many tasks. Sums run in
 ``decimal`` so the differences are exact. The previous event (W4) is an
-equi-join on (entity, rank - 1) - unique keys, hence no skew.
+equi-join on (entity, rank - 1) - unique keys, hence no skew. A NULL entity is
+a group of its own, as in ``PARTITION BY``.
 """
 
 from __future__ import annotations
@@ -41,22 +42,27 @@ def sliding_stats(df: DataFrame, entity: str, ts: str, key: str, value: str | No
     RANGE frame). Without ``with_sumsq`` the wide-decimal square column is
     never built, shuffled or summed."""
     v = F.col(value).cast(DEC) if value else F.lit(0).cast(DEC)
-    ev = df.select(F.col(entity).alias("_e"), F.col(key).alias("_k"), _micros(ts).alias("_m"), v.alias("_v"))
-    sq = [(F.col("_v") * F.col("_v")).cast(DEC_SQ).alias("_q")] if with_sumsq else []
-    events = ev.select("_e", "_k", "_m", F.lit(1).alias("_kind"), F.lit(-1).alias("_w"),
-                       F.lit(1).cast("bigint").alias("_c"), F.col("_v").alias("_s"), *sq)
-    zero = [F.lit(0).cast("bigint").alias("_c"), F.lit(0).cast(DEC).alias("_s")]
+    # an event is told apart by key, entity, time and value, so that a resubmitted
+    # key keeps its own windows; equal rows have equal windows
+    ident = {"_k": F.col(key), "_e": F.col(entity), "_t": _micros(ts), "_v": v}
+    ev = df.select(*[c.alias(n) for n, c in ident.items()])
+    names = list(windows)
+    zero = [F.lit(0).cast("bigint").alias("c"), F.lit(0).cast(DEC).alias("s")]
+    own = [F.lit(1).cast("bigint").alias("c"), F.col("_v").alias("s")]
     if with_sumsq:
-        zero.append(F.lit(0).cast(DEC_SQ).alias("_q"))
+        zero.append(F.lit(0).cast(DEC_SQ).alias("q"))
+        own.append((F.col("_v") * F.col("_v")).cast(DEC_SQ).alias("q"))
     stats = "csq" if with_sumsq else "cs"
-    names = list(windows)
-    probes = [ev.select("_e", "_k", "_m", F.lit(2).alias("_kind"), F.lit(-1).alias("_w"), *zero)]
-    for i, n in enumerate(names):
-        probes.append(ev.select("_e", "_k", (F.col("_m") - F.lit(int(windows[n]) * 1_000_000)).alias("_m"),
-                                F.lit(0).alias("_kind"), F.lit(i).alias("_w"), *zero))
-    allr = events
-    for p in probes:
-        allr = allr.unionByName(p)
+
+    def row(kind: int, w: int, at: Column, values: list) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), F.lit(w).alias("w"), at.alias("m"), *values)
+
+    # the event, a probe after its peers, and one probe per window: one scan
+    rows = [row(1, -1, F.col("_t"), own), row(2, -1, F.col("_t"), zero)]
+    rows += [row(0, i, F.col("_t") - F.lit(int(windows[n]) * 1_000_000), zero) for i, n in enumerate(names)]
+    allr = ev.select(*ident, F.explode(F.array(*rows)).alias("x")).select(
+        *ident, F.col("x.kind").alias("_kind"), F.col("x.w").alias("_w"), F.col("x.m").alias("_m"),
+        *[F.col(f"x.{c}").alias(f"_{c}") for c in stats])
     rs = running_sums(allr, ["_m", "_kind", "_k", "_w"], {x: f"_{x}" for x in stats},
                       partition_cols=["_e"], n_buckets=n_buckets)
     rs = rs.filter(F.col("_kind") != 1)
@@ -64,13 +70,21 @@ def sliding_stats(df: DataFrame, entity: str, ts: str, key: str, value: str | No
     for i, n in enumerate(names):
         aggs += [F.max(F.when((F.col("_kind") == 0) & (F.col("_w") == i), F.col(f"cum_{x}"))).alias(f"lo{i}_{x}")
                  for x in stats]
-    per = rs.groupBy("_k").agg(*aggs)
+    per = rs.groupBy(*ident).agg(*aggs)
     suffix = {"c": "count", "s": "sum", "q": "sumsq"}
-    cols = [F.col("_k").alias(key)]
+    cols = [F.col(n).alias(f"_p{n}") for n in ident]
     for i, n in enumerate(names):
         cols += [(F.col(f"hi_{x}") - F.coalesce(F.col(f"lo{i}_{x}"), F.lit(0))).alias(f"{n}_{suffix[x]}")
                  for x in stats]
-    return df.join(per.select(*cols), key, "inner")
+    return _join_events(df.withColumns(ident), per.select(*cols), list(ident)).drop(*ident)
+
+
+def _join_events(df: DataFrame, per: DataFrame, ident: list[str]) -> DataFrame:
+    """Null-safe join on the event's identity (columns ``_p...`` of ``per``)."""
+    match = F.lit(True)
+    for n in ident:
+        match = match & F.col(n).eqNullSafe(F.col(f"_p{n}"))
+    return df.join(per, match, "inner").drop(*[f"_p{n}" for n in ident])
 
 
 def sliding_features(df: DataFrame, entity: str = "entity", ts: str = "ts", key: str = "id",
@@ -102,15 +116,13 @@ def previous_event(df: DataFrame, entity: str = "entity", ts: str = "ts", key: s
     """Seconds since the entity's previous event (order ts, id) and the
     burst flag (< 15 s). Rank by distributed prefix count, then an equi-join
     on (entity, rank - 1)."""
-    ev = df.select(F.col(entity).alias("_e"), F.col(key).alias("_k"), _micros(ts).alias("_m"))
-    rk = running_sums(ev, ["_m", "_k"], {"r": F.lit(1).cast("bigint")}, partition_cols=["_e"], n_buckets=n_buckets)
-    cur = rk.select("_e", "_k", "_m", "cum_r")
-    prev = rk.select(F.col("_e").alias("_pe"), F.col("_m").alias("_pm"), (F.col("cum_r") + 1).alias("_pr"))
-    j = cur.join(prev, (F.col("_e") == F.col("_pe")) & (F.col("cum_r") == F.col("_pr")), "left")
+    rk = running_sums(df.withColumn("_m", _micros(ts)), ["_m", key], {"r": F.lit(1).cast("bigint")},
+                      partition_cols=[entity], n_buckets=n_buckets)
+    prev = rk.select(F.col(entity).alias("_pe"), F.col("_m").alias("_pm"), (F.col("cum_r") + 1).alias("_pr"))
+    j = rk.join(prev, F.col(entity).eqNullSafe(F.col("_pe")) & (F.col("cum_r") == F.col("_pr")), "left")
     gap = (F.col("_m") - F.col("_pm")) / dlit(1e6)
-    out = j.select(F.col("_k").alias(key), gap.alias("seconds_since_prev"),
-                   F.coalesce(gap < dlit(burst_seconds), F.lit(False)).alias("is_burst"))
-    return df.join(out, key, "inner")
+    return j.select(*df.columns, gap.alias("seconds_since_prev"),
+                    F.coalesce(gap < dlit(burst_seconds), F.lit(False)).alias("is_burst"))
 
 
 def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
@@ -126,18 +138,17 @@ def travel_speed(df: DataFrame, entity: str, ts: str, key: str, lat: str, lon: s
                  max_kmh: float = 900.0, n_buckets: int | None = None) -> DataFrame:
     """km/h between consecutive events of an entity (haversine); above
     ``max_kmh`` is impossible travel and escalates to P1."""
-    ev = df.select(F.col(entity).alias("_e"), F.col(key).alias("_k"), _micros(ts).alias("_m"),
-                   F.col(lat).cast("double").alias("_la"), F.col(lon).cast("double").alias("_lo"))
-    rk = running_sums(ev, ["_m", "_k"], {"r": F.lit(1).cast("bigint")}, partition_cols=["_e"], n_buckets=n_buckets)
-    prev = rk.select(F.col("_e").alias("_pe"), F.col("_m").alias("_pm"), F.col("_la").alias("_pla"),
+    here = {"_m": _micros(ts), "_la": F.col(lat).cast("double"), "_lo": F.col(lon).cast("double")}
+    rk = running_sums(df.withColumns(here), ["_m", key], {"r": F.lit(1).cast("bigint")}, partition_cols=[entity],
+                      n_buckets=n_buckets)
+    prev = rk.select(F.col(entity).alias("_pe"), F.col("_m").alias("_pm"), F.col("_la").alias("_pla"),
                      F.col("_lo").alias("_plo"), (F.col("cum_r") + 1).alias("_pr"))
-    j = rk.join(prev, (F.col("_e") == F.col("_pe")) & (F.col("cum_r") == F.col("_pr")), "left")
+    j = rk.join(prev, F.col(entity).eqNullSafe(F.col("_pe")) & (F.col("cum_r") == F.col("_pr")), "left")
     km = haversine_km(F.col("_pla"), F.col("_plo"), F.col("_la"), F.col("_lo"))
     hours = (F.col("_m") - F.col("_pm")) / dlit(3.6e9)
     speed = F.when(hours > 0, km / hours).when(km > 0, dlit(math.inf)).otherwise(dlit(0.0))
-    out = j.select(F.col("_k").alias(key), km.alias("km_from_prev"), speed.alias("kmh_from_prev"),
-                   F.coalesce(speed > dlit(max_kmh), F.lit(False)).alias("impossible_travel"))
-    return df.join(out, key, "inner")
+    return j.select(*df.columns, km.alias("km_from_prev"), speed.alias("kmh_from_prev"),
+                    F.coalesce(speed > dlit(max_kmh), F.lit(False)).alias("impossible_travel"))
 
 
 def named_windows(df: DataFrame, card: str, merchant: str, ts: str = "ts", key: str = "id",
@@ -148,6 +159,9 @@ def named_windows(df: DataFrame, card: str, merchant: str, ts: str = "ts", key:
     m = sliding_stats(df.select(key, merchant, ts, label), merchant, ts, key, label, {"m24h": 86400},
                       with_sumsq=False)
     rate = (F.col("m24h_sum") - F.col(label).cast(DEC)).cast("double") / (F.col("m24h_count") - 1).cast("double")
-    m = m.select(key, F.when(F.col("m24h_count") > 1, rate).alias("merchant_fraud_rate_24h"))
-    return c.select(*df.columns, F.col("c10m_count").alias("card_count_10m"),
-                    F.col("a1h_sum").cast("double").alias("card_amount_1h")).join(m, key, "inner")
+    same = [key, merchant, ts, label]
+    m = m.select(*[F.col(x).alias(f"_p{x}") for x in same],
+                 F.when(F.col("m24h_count") > 1, rate).alias("merchant_fraud_rate_24h")).distinct()
+    c = c.select(*df.columns, F.col("c10m_count").alias("card_count_10m"),
+                 F.col("a1h_sum").cast("double").alias("card_amount_1h"))
+    return _join_events(c, m, same)

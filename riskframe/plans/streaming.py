@@ -13,9 +13,9 @@ _PC = "greatest(0.0::DOUBLE, least(1.0::DOUBLE, p))"
 
 
 def _events(spark, sf_dir, copies: int = 1):
-    s = SQ.event_stream(spark, sf_dir, "events.parquet")
+    s = SQ.event_stream(spark, f"{sf_dir}/events.parquet")
     for _ in range(copies - 1):
-        s = s.unionByName(SQ.event_stream(spark, sf_dir, "events.parquet"))
+        s = s.unionByName(SQ.event_stream(spark, f"{sf_dir}/events.parquet"))
     return s
 
 
@@ -59,7 +59,7 @@ FROM a WHERE status IN ('PENDING_REVIEW', 'CONFIRMED_FRAUD', 'DISMISSED_FALSE_AL
 GROUP BY queue_id""")
 def l10_queue_state_stream(spark, sf_dir):
     """Queue status per item maintained by a stateful streaming aggregation."""
-    acts = SQ.action_stream(spark, sf_dir, "conversations.parquet")
+    acts = SQ.action_stream(spark, f"{sf_dir}/conversations.parquet")
     out = SQ.run_available(spark, SQ.queue_state(acts), "l10", mode="complete", sink="overwrite")
     return out.select("queue_id", "status", "updated_seq", "n_actions")
 

@@ -37,20 +37,24 @@ CONVERSATIONS_SCHEMA = T.StructType([
 ])
 
 
-def file_stream(spark: SparkSession, directory: str, schema: T.StructType, glob: str = "*.parquet",
+def file_stream(spark: SparkSession, path: str, schema: T.StructType,
                 max_files_per_trigger: int | None = None) -> DataFrame:
-    """Parquet files of ``directory`` matching ``glob`` as a stream (explicit schema)."""
-    r = spark.readStream.schema(schema).option("pathGlobFilter", glob)
+    """The Parquet files of the table at ``path`` (one file, or a directory of part
+    files, as large tables are) as a stream with an explicit schema."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    r = spark.readStream.schema(schema)
+    if not at.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(at).isDirectory():
+        # a stream reads directories: the file's own, limited to its name
+        r, path = r.option("pathGlobFilter", at.getName()), at.getParent().toString()
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.parquet(directory)
+    return r.parquet(path)
 
 
-def event_stream(spark: SparkSession, directory: str, glob: str = "events*.parquet",
-                 max_files_per_trigger: int | None = None) -> DataFrame:
+def event_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Scored-transaction stream from parquet ``events`` files; ``ts_event`` is
     the UTC TIMESTAMP event time (watermarks need TIMESTAMP, not NTZ)."""
-    ev = file_stream(spark, directory, EVENTS_SCHEMA, glob, max_files_per_trigger)
+    ev = file_stream(spark, path, EVENTS_SCHEMA, max_files_per_trigger)
     return map_events(ev).withColumn("ts_event", F.col("ts").cast("timestamp"))
 
 
@@ -99,7 +103,7 @@ def tumbling_telemetry(stream: DataFrame, window: str = "1 day", delay: str = "1
     return s.groupBy(F.window("ts_event", window).alias("w")).agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(F.col("is_flagged").cast("bigint")).alias("flagged"),
-        F.sum(F.col("Amount").cast("decimal(18,2)")).alias("dollars"),
+        F.sum(F.col("Amount").cast("decimal(30,6)")).alias("dollars"),
     ).select(F.col("w.start").alias("window_start"), "n", "flagged", "dollars")
 
 
@@ -108,8 +112,8 @@ def dedup_resubmitted(stream: DataFrame, delay: str = "1 hour") -> DataFrame:
     return stream.withWatermark("ts_event", delay).dropDuplicatesWithinWatermark(["id"])
 
 
-def action_stream(spark: SparkSession, directory: str, glob: str = "conversations*.parquet") -> DataFrame:
-    conv = file_stream(spark, directory, CONVERSATIONS_SCHEMA, glob)
+def action_stream(spark: SparkSession, path: str) -> DataFrame:
+    conv = file_stream(spark, path, CONVERSATIONS_SCHEMA)
     status = (F.when(F.col("role") == "user", F.lit(" confirmed_fraud "))
               .when(F.col("role") == "assistant", F.lit("Dismissed_False_Alarm")).otherwise(F.lit("archive")))
     return conv.select(F.col("conv_id").alias("queue_id"), F.col("turn").alias("action_seq"),
@@ -130,7 +134,7 @@ def streaming_velocity(stream: DataFrame, length: str = "1 hour", slide: str = "
     """Per-entity sliding-window counts and sums (hopping windows)."""
     s = stream.withWatermark("ts_event", delay)
     return s.groupBy("entity", F.window("ts_event", length, slide).alias("w")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.col("Amount").cast("decimal(18,2)")).alias("amount")
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("Amount").cast("decimal(30,6)")).alias("amount")
     ).select("entity", F.col("w.start").alias("window_start"), "n", "amount")
 
 
