@@ -154,17 +154,17 @@ def flagged(p: str | Column, threshold: float | Column) -> Column:
     return clamp01(p) >= t
 
 
-def _by_flag(flag: Column, yes: str, no: str) -> Column:
+def by_flag(flag: Column, yes: str, no: str) -> Column:
     """NULL stays NULL: without a probability there is no decision."""
     return F.when(flag, F.lit(yes)).when(~flag, F.lit(no))
 
 
 def decision(p: str | Column, threshold: float | Column) -> Column:
-    return _by_flag(flagged(p, threshold), P.DECISION_REVIEW, P.DECISION_ACCEPT)
+    return by_flag(flagged(p, threshold), P.DECISION_REVIEW, P.DECISION_ACCEPT)
 
 
 def status_label(p: str | Column, threshold: float | Column) -> Column:
-    return _by_flag(flagged(p, threshold), P.STATUS_FLAGGED, P.STATUS_CLEARED)
+    return by_flag(flagged(p, threshold), P.STATUS_FLAGGED, P.STATUS_CLEARED)
 
 
 def canonical_category(c: str | Column) -> Column:

@@ -27,7 +27,8 @@ def assess(df: DataFrame, p: str = "p", policy: P.RiskPolicy = P.RiskPolicy(),
     """Probability -> score, category, colour, decision, flags, text.
 
     ``threshold`` overrides the policy threshold; a Column gives a per-row
-    threshold (R8/R9).
+    threshold (R8/R9). A NULL or NaN probability gives NULL throughout: such rows
+    belong to :func:`quarantine_probability`, not to either decision.
     """
     policy.validate()
     t = threshold if isinstance(threshold, Column) else dlit(policy.threshold if threshold is None else threshold)
@@ -40,9 +41,9 @@ def assess(df: DataFrame, p: str = "p", policy: P.RiskPolicy = P.RiskPolicy(),
         "risk_score": score,
         "risk_category": cat,
         "color": C.risk_color(score, policy),
-        "decision": F.when(flag, F.lit(P.DECISION_REVIEW)).otherwise(F.lit(P.DECISION_ACCEPT)),
+        "decision": C.by_flag(flag, P.DECISION_REVIEW, P.DECISION_ACCEPT),
         "is_flagged": flag,
-        "status_label": F.when(flag, F.lit(P.STATUS_FLAGGED)).otherwise(F.lit(P.STATUS_CLEARED)),
+        "status_label": C.by_flag(flag, P.STATUS_FLAGGED, P.STATUS_CLEARED),
         "prediction": flag.cast("int"),
         "decision_threshold": C.rnd(t, 4),
     }
@@ -53,8 +54,8 @@ def assess(df: DataFrame, p: str = "p", policy: P.RiskPolicy = P.RiskPolicy(),
             flag,
             F.format_string("Transaction FLAGGED FOR INVESTIGATION: probability %s exceeds decision "
                             "threshold %s (risk score: %d/100, %s).", p4, t4, score, cat),
-        ).otherwise(
-            F.format_string("Transaction cleared automatically under current operational threshold "
+        ).when(
+            ~flag, F.format_string("Transaction cleared automatically under current operational threshold "
                             "(risk score: %d/100, %s). NOTE: ACCEPT is an operational clearance, not a "
                             "guarantee of transaction legitimacy.", score, cat))
         cols["legitimacy_disclaimer"] = F.lit(P.LEGITIMACY_DISCLAIMER)

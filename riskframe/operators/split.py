@@ -72,7 +72,9 @@ def class_counts(df: DataFrame, target: str) -> dict:
 
 def preflight(counts: dict, min_positives: int = 10) -> None:
     """Exactly two classes and at least ``min_positives`` positives."""
-    classes = [c for c in counts if c is not None]
+    if counts.get(None):
+        raise ValueError(f"{counts[None]} rows have no class; drop or label them before a split")
+    classes = list(counts)
     if len(classes) != 2:
         raise ValueError(f"Expected exactly 2 classes, got {sorted(classes)}")
     if counts.get(1, 0) < min_positives:

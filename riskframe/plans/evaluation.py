@@ -287,3 +287,10 @@ def e14_curve_downsample(spark, sf_dir):
 def m05_dummy(spark, sf_dir):
     """M5: stratified dummy baseline from a seeded md5 uniform (one-hot proba)."""
     return model_scores(spark, sf_dir)["dummy_baseline"].withColumnRenamed("p", "dummy_p")
+
+
+@register("e04n_missing_scores", _auc_sql("p2").replace(f"FROM {TX}", f"FROM (SELECT * FROM {TX}) WHERE id % 7 <> 0", 1))
+def e04n_missing_scores(spark, sf_dir):
+    """E4+E5 where some scores are NULL: those rows take no part."""
+    tx = transactions(spark, sf_dir)
+    return M.auc_scores(tx.withColumn("p2", F.when(F.col("id") % 7 != 0, F.col("p2"))), p="p2")

@@ -186,3 +186,18 @@ def f14_rounding_rules(spark, sf_dir):
     return tx.select("id", C.risk_score("p").alias("score_half_up"),
                      F.rint(F.col("Amount") / dlit(7.0)).cast("int").alias("amount_half_even"),
                      C.rnd(F.col("Amount") / dlit(7.0), 2).alias("amount_2dp"))
+
+
+NULL_P = f"(SELECT id, CASE WHEN id % 7 = 0 THEN NULL WHEN id % 11 = 0 THEN 'NaN'::DOUBLE ELSE p END AS p FROM {TX})"
+
+
+@register("r04n_missing_probability", f"""
+SELECT id, CASE WHEN ok THEN {R('greatest(0.0::DOUBLE, least(1.0::DOUBLE, p))', 6)} END AS probability,
+  CASE WHEN ok THEN {_score_sql()} END::DOUBLE AS risk_score, CASE WHEN ok THEN {_cat_sql(_score_sql(), 30, 70, P.CATEGORY_LABELS)} END AS risk_category,
+  CASE WHEN ok THEN CASE WHEN p >= 0.2773::DOUBLE THEN 'REVIEW' ELSE 'ACCEPT' END END AS decision
+FROM (SELECT *, p IS NOT NULL AND NOT isnan(p) AS ok FROM {NULL_P})""")
+def r04n_missing_probability(spark, sf_dir):
+    """R4 on rows without a probability (NULL, NaN): no score, tier or decision is made up."""
+    p = F.when(F.col("id") % 7 == 0, F.lit(None)).when(F.col("id") % 11 == 0, F.lit(float("nan"))).otherwise(F.col("p"))
+    tx = transactions(spark, sf_dir).withColumn("p", p)
+    return RK.assess(tx).select("id", "probability", F.col("risk_score").cast("double").alias("risk_score"), "risk_category", "decision")

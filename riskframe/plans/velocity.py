@@ -84,3 +84,28 @@ def w06_named_windows(spark, sf_dir):
                                             F.get_json_object("props", "$.k").alias("merchant"))
     out = VE.named_windows(tx, card="entity", merchant="merchant")
     return out.select("id", "card_count_10m", "card_amount_1h", "merchant_fraud_rate_24h")
+
+
+NULL_ENTITY = f"(SELECT id, CASE WHEN id % 3 = 0 THEN NULL ELSE entity END AS entity, ts, \"Amount\" FROM {TX})"
+
+
+def _without_entity(spark, sf_dir):
+    tx = transactions(spark, sf_dir).select("id", "entity", "ts", "Amount")
+    return tx.withColumn("entity", F.when(F.col("id") % 3 != 0, F.col("entity")))
+
+
+@register("w01n_null_entity", f"""
+SELECT id, count(*) OVER {_frame(3600)} AS w1h_count, {R(f'(sum("Amount"::DECIMAL(18,2)) OVER {_frame(86400)})::DOUBLE')} AS w24h_sum
+FROM {NULL_ENTITY}""")
+def w01n_null_entity(spark, sf_dir):
+    """W1+W2 with a third of the events without an entity: NULL is a group, no event is lost."""
+    out = VE.sliding_features(_without_entity(spark, sf_dir), windows={"w1h": 3600, "w24h": 86400})
+    return out.select("id", "w1h_count", "w24h_sum")
+
+
+@register("w04n_null_entity", f"""
+SELECT id, {R('(epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY entity ORDER BY epoch_us(ts), id)) / 1000000.0::DOUBLE')} AS seconds_since_prev
+FROM {NULL_ENTITY}""")
+def w04n_null_entity(spark, sf_dir):
+    """W4 with events without an entity."""
+    return VE.previous_event(_without_entity(spark, sf_dir)).select("id", "seconds_since_prev")

@@ -71,8 +71,9 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType,
     malformed lines are kept aside (PERMISSIVE) instead of failing the read.
     Returns (good rows, malformed raw lines)."""
     sch = T.StructType(list(schema.fields) + [T.StructField(corrupt_col, T.StringType())])
-    df = spark.read.schema(sch).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt_col).json(path)
-    df = df.cache()  # Spark forbids queries on only the corrupt column of an unmaterialised JSON scan
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    parsed = F.from_json("value", sch, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt_col})
+    df = lines.select(parsed.alias("r")).select("r.*")
     good = df.filter(F.col(corrupt_col).isNull()).drop(corrupt_col)
     bad = df.filter(F.col(corrupt_col).isNotNull()).select(corrupt_col)
     return good, bad

@@ -82,16 +82,14 @@ def card_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``events`` gives Time/Amount/Class, ``embeddings`` the V columns, aligned by
     the key ``slot = event_id % n_vectors`` (an equi-join on a derived key, so
     every event keeps one feature vector and the row count grows with
-    ``events``). The vector table is small and its row count is checked before
-    a broadcast is requested.
+    ``events``). Spark decides from its size whether the vector
+    table is broadcast.
     """
     tx = transactions(spark, sf_dir)
     fr = feature_rows(spark, sf_dir).drop("Class")
     n_vec = fr.count()
     vcols = [f"V{k}" for k in range(1, N_V + 1)]
     fr = fr.select((F.col("id") % F.lit(n_vec)).alias("slot"), *vcols)
-    if n_vec <= 1_000_000:
-        fr = F.broadcast(fr)
     return (tx.withColumn("slot", F.col("id") % F.lit(n_vec))
             .join(fr, "slot", "inner")
             .select("id", "entity", "ts", "Time", *vcols, "Amount",
