@@ -38,7 +38,7 @@ def map_rows(df: DataFrame, schema: T.StructType | str,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fn = make()
-        for b in batches:
+        for b in slices(batches):
             out = fn([b.column(i).to_pylist() for i in range(b.num_columns)])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, type=f.type) for c, f in zip(out, arrow, strict=True)], schema=arrow)
@@ -46,6 +46,14 @@ def map_rows(df: DataFrame, schema: T.StructType | str,
     return df.mapInArrow(run, schema)
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of a few rows, which bounds the Python objects made of
+    them at a time."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 def to_arrow_schema(schema: T.StructType) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema as convert
 
@@ -63,6 +71,35 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
+#: Bytes of a word that is hashed by the table of powers; longer ones are hashed whole.
+LONGEST = 4096
+_WORD = np.ones(256, bool)
+_WORD[[9, 10, 11, 12, 13, 32]] = False
+_POWERS = np.full(LONGEST, np.uint64(0x9E3779B97F4A7C15), np.uint64)
+_POWERS[0] = 1
+_POWERS = np.multiply.accumulate(_POWERS)
+
+
+def word_hashes(body: bytes) -> np.ndarray:
+    """64-bit hashes of the words of a text (runs of bytes other than ASCII space)."""
+    b = np.frombuffer(body, np.uint8)
+    word = _WORD[b]
+    edge = np.diff(word.view(np.int8), prepend=np.int8(0), append=np.int8(0))
+    starts = np.flatnonzero(edge == 1)
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    size = np.flatnonzero(edge == -1) - starts
+    first = np.cumsum(size) - size
+    place = np.arange(int(size.sum())) - np.repeat(first, size)
+    terms = (b[word].astype(np.uint64) + np.uint64(1)) * _POWERS[np.minimum(place, LONGEST - 1)]
+    out = mix64(np.add.reduceat(terms, first) + size.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    for i in np.flatnonzero(size > LONGEST):
+        import xxhash
+
+        out[i] = xxhash.xxh3_64_intdigest(body[starts[i]:starts[i] + size[i]])
+    return out
+
+
 class WordHashes(dict):
     """word (bytes) -> 64-bit hash; remembers at most ``limit`` words per task and
     starts afresh beyond that, so memory stays bounded and results do not change."""

@@ -39,7 +39,7 @@ WINDOW, LEAST_WORDS, MOST_REPEATED = 5, 10, 20
 #: the normal quantile whose chi-square counterpart is the cutoff.
 SUBSET, STEPS, SMALLEST, QUANTILE = 0.75, 3, 50, 5.0
 #: The statistics and the least standard deviation each is given.
-STATS = {"length": 0.5, "word_length": 0.12, "symbols": 0.10, "dup_lines": 0.15, "repeats": 0.12, "capitals": 0.10}
+STATS = {"length": 0.5, "word_length": 0.12, "symbols": 0.05, "dup_lines": 0.15, "repeats": 0.12, "capitals": 0.10}
 P = len(STATS)
 NUMBERS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
@@ -122,10 +122,10 @@ def _distance_columns(df: DataFrame) -> DataFrame:
     """``__q_d``: squared Mahalanobis distance by forward substitution with the Cholesky
     factor; a column for each substitution keeps expressions small."""
     for i in range(P):
-        rest = F.col(Z[i]) - F.col(f"m{i}")
+        rest = F.col(Z[i]) - F.col(f"__q_m{i}")
         for j in range(i):
-            rest = rest - F.col(f"l{i}_{j}") * F.col(f"__q_y{j}")
-        df = df.withColumn(f"__q_y{i}", rest / F.col(f"l{i}_{i}"))
+            rest = rest - F.col(f"__q_l{i}_{j}") * F.col(f"__q_y{j}")
+        df = df.withColumn(f"__q_y{i}", rest / F.col(f"__q_l{i}_{i}"))
     total = sum((F.col(f"__q_y{i}") * F.col(f"__q_y{i}") for i in range(1, P)), F.col("__q_y0") * F.col("__q_y0"))
     return df.withColumn("__q_d", total).drop(*[f"__q_y{i}" for i in range(P)])
 
@@ -137,8 +137,8 @@ def _factor(moments: DataFrame) -> DataFrame:
         for j in range(i + 1):
             v = F.col(f"c{i}_{j}") + (F.lit(floor[i]) if i == j else F.lit(0.0))
             for k in range(j):
-                v = v - F.col(f"l{i}_{k}") * F.col(f"l{j}_{k}")
-            moments = moments.withColumn(f"l{i}_{j}", F.sqrt(F.greatest(v, F.lit(1e-12))) if i == j else v / F.col(f"l{j}_{j}"))
+                v = v - F.col(f"__q_l{i}_{k}") * F.col(f"__q_l{j}_{k}")
+            moments = moments.withColumn(f"__q_l{i}_{j}", F.sqrt(F.greatest(v, F.lit(1e-12))) if i == j else v / F.col(f"__q_l{j}_{j}"))
     return moments.drop(*[f"c{i}_{j}" for i in range(P) for j in range(i + 1)])
 
 
@@ -147,7 +147,7 @@ def fit_groups(stats: DataFrame) -> DataFrame:
     to the chi-square median. ``stats`` has ``__q_g`` and the statistics."""
     quart = [F.percentile_approx(c, [0.25, 0.5, 0.75], 2000).alias(f"q{i}") for i, c in enumerate(Z)]
     start = stats.groupBy("__q_g").agg(F.count(F.lit(1)).alias("n"), *quart)
-    start = start.select("__q_g", "n", *[F.col(f"q{i}")[1].alias(f"m{i}") for i in range(P)],
+    start = start.select("__q_g", "n", *[F.col(f"q{i}")[1].alias(f"__q_m{i}") for i in range(P)],
                          *[(((F.col(f"q{i}")[2] - F.col(f"q{i}")[0]) / 1.349 if i == j else F.lit(0.0)) ** 2).alias(f"c{i}_{j}")
                            for i in range(P) for j in range(i + 1)])
     groups = materialize(_factor(start), "quality-groups")
@@ -155,20 +155,20 @@ def fit_groups(stats: DataFrame) -> DataFrame:
         measured = _distance_columns(stats.join(groups.drop("n"), "__q_g")).select("__q_g", "__q_d", *Z)
         edge = measured.groupBy("__q_g").agg(F.percentile_approx("__q_d", SUBSET, 2000).alias("edge"))
         near = measured.join(materialize(edge, "quality-edges"), "__q_g").where(F.col("__q_d") <= F.col("edge"))
-        aggs = [F.avg(Z[i]).alias(f"m{i}") for i in range(P)]
+        aggs = [F.avg(Z[i]).alias(f"__q_m{i}") for i in range(P)]
         aggs += [F.covar_pop(Z[i], Z[j]).alias(f"c{i}_{j}") for i in range(P) for j in range(i + 1)]
         moments = near.groupBy("__q_g").agg(F.count(F.lit(1)).alias("n"), *aggs)
         groups = materialize(_factor(moments), "quality-groups")
     measured = _distance_columns(stats.join(groups.drop("n"), "__q_g"))
-    scale = measured.groupBy("__q_g").agg(F.percentile_approx("__q_d", 0.5, 2000).alias("middle"), F.count(F.lit(1)).alias("rows"))
+    scale = measured.groupBy("__q_g").agg(F.percentile_approx("__q_d", 0.5, 2000).alias("__q_middle"), F.count(F.lit(1)).alias("__q_rows"))
     # never below 1: floors make distances small where statistics hardly vary
     return materialize(groups.drop("n").join(scale, "__q_g").withColumn(
-        "scale", F.greatest(F.col("middle") / F.lit(chi_square(0.0)), F.lit(1.0))), "quality-groups")
+        "__q_scale", F.greatest(F.col("__q_middle") / F.lit(chi_square(0.0)), F.lit(1.0))), "quality-groups")
 
 
 def _judge(stats: DataFrame, groups: DataFrame) -> DataFrame:
     judged = _distance_columns(stats.join(groups, "__q_g", "left"))
-    d = F.when(F.col("rows") >= SMALLEST, F.col("__q_d") / F.col("scale"))
+    d = F.when(F.col("__q_rows") >= SMALLEST, F.col("__q_d") / F.col("__q_scale"))
     return judged.withColumn("__q_distance", d).withColumn(
         "__q_kept", ~F.col("__q_base_failed") & (F.col("__q_distance").isNull() | (F.col("__q_distance") <= cutoff())))
 
