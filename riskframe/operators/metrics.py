@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from .. import params as P
 from ..functions.columns import darray, count_edges_le, dlit, rnd, safe_div
+from ..session import materialize
 from .ordered import running_sums
 
 
@@ -114,9 +115,13 @@ def auc_scores(df: DataFrame, y: str = "y", p: str = "p", n_buckets: int | None
     ROC-AUC = Σ neg_i (2 tp_above_i + pos_i) / (2 P N), computed in exact
     decimal; one class only -> 0.0. AP = Σ (pos_i / P) * (tp_i / k_i).
     """
-    cp = curve_points(df, y, p, n_buckets)
+    return _auc_from(curve_points(df, y, p, n_buckets).groupBy())
+
+
+def _auc_from(points, *keys: str) -> DataFrame:
+    """(keys..., roc_auc, pr_auc) of grouped curve points."""
     dec = "decimal(38,0)"
-    agg = cp.agg(
+    agg = points.agg(
         F.sum("pos").alias("P"), F.sum("neg").alias("N"),
         F.sum(F.col("neg").cast(dec) * (F.lit(2).cast(dec) * (F.col("tp") - F.col("pos")).cast(dec)
                                          + F.col("pos").cast(dec))).alias("auc_num"),
@@ -125,7 +130,7 @@ def auc_scores(df: DataFrame, y: str = "y", p: str = "p", n_buckets: int | None
     )
     P_, N_ = F.col("P"), F.col("N")
     return agg.select(
-        F.when((P_ > 0) & (N_ > 0),
+        *keys, F.when((P_ > 0) & (N_ > 0),
                F.col("auc_num").cast("double") / (dlit(2.0) * P_.cast("double") * N_.cast("double")))
         .otherwise(dlit(0.0)).alias("roc_auc"),
         F.when(P_ > 0, F.col("ap_num") / P_.cast("double")).otherwise(dlit(0.0)).alias("pr_auc"),
@@ -273,6 +278,61 @@ def gate_failures(gates: dict = P.MIN_GATES) -> Column:
     return F.filter(F.array(*checks), lambda x: x.isNotNull())
 
 
+def metrics_reports(df: DataFrame, group: str = "model", thresholds: dict | None = None,
+                    search: P.ThresholdSearch = P.ThresholdSearch(), weights: dict = P.COMPOSITE_WEIGHTS,
+                    gates: dict = P.MIN_GATES, y: str = "y", p: str = "p",
+                    n_buckets: int | None = None) -> DataFrame:
+    """E13 for several models at once: ``df`` is long (group, y, p). The rows are
+    counted once per (group, score) and written; the grid search, the counts at the
+    chosen thresholds and both AUCs all read those counts. ``thresholds`` fixes the
+    threshold of some groups; the others are searched. The driver sees groups x
+    (grid + 2) counts and two numbers per group."""
+    spark, fixed = df.sparkSession, {k: float(v) for k, v in (thresholds or {}).items() if v is not None}
+    counted = scored_rows(df, p).groupBy(F.col(group).alias("g"), F.col(p).cast("double").alias("score")).agg(
+        F.sum((F.col(y) == 1).cast("bigint")).alias("pos"), F.count(F.lit(1)).alias("n"))
+    counted = materialize(counted.withColumn("neg", F.col("n") - F.col("pos")), "score-counts")
+
+    grid = [float(t) for t in search.grid()]
+    edges = sorted({*grid, *fixed.values()})
+    rows = counted.groupBy("g", count_edges_le("score", edges).alias("b")).agg(
+        F.sum("pos").alias("pos"), F.sum("n").alias("n")).collect()
+    above: dict = {}  # group -> per edge (tp, fp) of scores >= edge, then the totals
+    for g in sorted({r.g for r in rows}):
+        tp, fp = [0] * (len(edges) + 1), [0] * (len(edges) + 1)
+        for r in rows:
+            if r.g == g:
+                for b in range(r.b + 1):
+                    tp[b] += r.pos
+                    fp[b] += r.n - r.pos
+        above[g] = tp, fp
+    beta2 = 4.0 if search.metric == "f2_score" else 1.0
+
+    def at(g, t):
+        tp, fp = above[g]
+        i = edges.index(t) + 1
+        return tp[i], fp[i], fp[0] - fp[i], tp[0] - tp[i]
+
+    def score(g, t):
+        tp, fp, _, fn = at(g, t)
+        d = (1.0 + beta2) * tp + beta2 * fn + fp
+        return (1.0 + beta2) * tp / d if d > 0 else 0.0
+
+    auc = {r.g: r for r in _auc_from(running_sums(
+        counted, ["score"], {"tp": "pos", "fp": "neg"}, partition_cols=["g"], descending=True, n_buckets=n_buckets)
+        .select("g", "pos", "neg", F.col("cum_tp").alias("tp"), F.col("cum_fp").alias("fp")).groupBy("g"), "g").collect()}
+    made = []
+    for g in above:
+        t = fixed[g] if g in fixed else min(grid, key=lambda t, g=g: (-score(g, t), t))
+        tp, fp, tn, fn = at(g, t)
+        made.append((g, tp + fp + tn + fn, tp + fn, fp + tn, tp, fp, tn, fn, t, auc[g].roc_auc, auc[g].pr_auc))
+    rep = spark.createDataFrame(made, f"{group} string, n_samples long, n_fraud long, n_legitimate long, tp long, fp long, "
+                                      "tn long, fn long, threshold double, roc_auc double, pr_auc double")
+    rep = with_rates(rep)
+    rep = rep.withColumn("composite_score", composite(weights))
+    fails = gate_failures(gates)
+    return rep.withColumn("gate_failures", fails).withColumn("passes_gates", F.size(fails) == 0)
+
+
 def metrics_report(df: DataFrame, threshold: float | None = None,
                    search: P.ThresholdSearch = P.ThresholdSearch(),
                    weights: dict = P.COMPOSITE_WEIGHTS, gates: dict = P.MIN_GATES,

@@ -163,12 +163,13 @@ def model_scores(spark, sf_dir) -> dict[str, DataFrame]:
 
 
 def model_metrics(spark, sf_dir) -> DataFrame:
-    out = None
-    for name, df in model_scores(spark, sf_dir).items():
-        rep = M.metrics_report(df, threshold=0.5 if name == "dummy_baseline" else None)
-        rep = rep.select(F.lit(name).alias("model"), *rep.columns)
-        out = rep if out is None else out.unionByName(rep)
-    return out
+    tx = transactions(spark, sf_dir)
+    prior = tx.agg(F.avg(F.col("y").cast("double")).alias("prior")).select("prior").scalar()
+    scores = {"value_ratio": F.col("p"), "value_ratio_coarse": F.col("p2"),
+              "dummy_baseline": (hash_uniform("id", 42) < prior).cast("double")}
+    each = F.array(*[F.struct(F.lit(k).alias("model"), v.alias("p")) for k, v in scores.items()])
+    long = tx.select("y", F.explode(each).alias("s")).select("s.model", "y", "s.p")
+    return M.metrics_reports(long, thresholds={"dummy_baseline": 0.5})
 
 
 def _dummy_sql() -> str:
