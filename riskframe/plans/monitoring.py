@@ -170,13 +170,12 @@ def d08_overall_drift(spark, sf_dir):
 
 
 @register("d09_feature_filter", f"""
-SELECT feature, count(*)::BIGINT AS n_values FROM ({_long_sql(CARD, FEATS, '"Class" = 1 AND "Amount" > 480.0::DOUBLE')})
+SELECT feature, count(*)::BIGINT AS n_values FROM ({_long_sql(CARD, FEATS, 'true')})
 GROUP BY feature HAVING count(*) >= 3""")
 def d09_feature_filter(spark, sf_dir):
-    """Monitored features present (absent names skipped) with at least 3 values in a sparse cohort."""
+    """Monitored features present (absent names skipped) with at least 3 values."""
     ct = card_transactions(spark, sf_dir)
-    live = ct.filter((F.col("Class") == 1) & (F.col("Amount") > 480.0))
-    long = DR.to_long(live, FEATS + ["NotAColumn"], min_values=3)
+    long = DR.to_long(ct, FEATS + ["NotAColumn"], min_values=3)
     return long.groupBy("feature").agg(F.count(F.lit(1)).alias("n_values"))
 
 

@@ -64,11 +64,22 @@ LI_SQL = """(SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_dis
   CAST(l_returnflag = 'R' AS INTEGER) AS "Class" FROM lineitem)"""
 
 
+VOID_SQL = f'(SELECT *, nullif("Amount", "Amount") AS "Void" FROM {CARD})'
+# every column of lineitem; the first line of each order is submitted twice
+TWICE_SQL = "(SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem WHERE l_linenumber = 1)"
+
+
+def submitted_twice(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    return li.unionByName(li.filter("l_linenumber = 1"))
+
+
 @register("q03_all_null_columns", f"""
-SELECT "column" FROM ({_missing_sql(CARD, CARD_COLS, set(CARD_COLS) - {'id', 'Class'})}) WHERE n_missing = n AND n > 0""")
+SELECT "column" FROM ({_missing_sql(VOID_SQL, [*CARD_COLS, 'Void'], {*CARD_COLS, 'Void'} - {'id', 'Class'})}) WHERE n_missing = n AND n > 0""")
 def q03_all_null_columns(spark, sf_dir):
-    """Q3: columns that are entirely missing (NULL or NaN)."""
-    return QL.missing_counts(card(spark, sf_dir).select(*CARD_COLS)).filter("all_missing").select("column")
+    """Q3: columns that are entirely missing (NULL or NaN): the table has one, ``Void``."""
+    ct = card(spark, sf_dir).select(*CARD_COLS).withColumn("Void", F.nullif("Amount", "Amount"))
+    return QL.missing_counts(ct).filter("all_missing").select("column")
 
 
 @register("q04_missing_counts", f"""
@@ -81,11 +92,10 @@ def q04_missing_counts(spark, sf_dir):
 
 @register("q05_duplicates", f"""
 SELECT coalesce(sum(c - 1), 0)::BIGINT AS duplicate_rows, count(*)::BIGINT AS distinct_rows FROM (
-  SELECT count(*) AS c FROM lineitem GROUP BY l_returnflag, l_linestatus, l_quantity, l_discount)""")
+  SELECT *, count(*) AS c FROM {TWICE_SQL} GROUP BY ALL)""")
 def q05_duplicates(spark, sf_dir):
-    """Q5: full-row duplicates beyond the first (lineitem projection with many repeats)."""
-    li = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_linestatus", "l_quantity", "l_discount")
-    return QL.duplicate_rows(li)
+    """Q5: full-row duplicates beyond the first, over all columns."""
+    return QL.duplicate_rows(submitted_twice(spark, sf_dir))
 
 
 @register("q06_schema_roles", None)
@@ -306,11 +316,10 @@ def f04_drop_columns(spark, sf_dir):
     return FE.drop_columns(df, ["Time", "no_such_column"])
 
 
-@register("f05_dedup", """SELECT DISTINCT l_returnflag, l_linestatus, l_quantity, l_discount FROM lineitem""")
+@register("f05_dedup", f"SELECT l_orderkey, l_linenumber, l_extendedprice FROM (SELECT DISTINCT * FROM {TWICE_SQL})")
 def f05_dedup(spark, sf_dir):
     """drop full-row duplicates (all columns, target included)."""
-    li = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_linestatus", "l_quantity", "l_discount")
-    return FE.dedup(li)
+    return FE.dedup(submitted_twice(spark, sf_dir)).select("l_orderkey", "l_linenumber", "l_extendedprice")
 
 
 @register("f06_xy_split", f'SELECT id, "Amount", "Time", CAST("Class" AS INTEGER) AS y FROM {CARD}')
