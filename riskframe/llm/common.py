@@ -22,21 +22,34 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+#: Rows of text per Arrow batch: Spark's own 10,000 are tens of MB of text in the JVM
+#: and again in each Python worker.
+BATCH_ROWS = 1000
+_ROWS_PER_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def docs_of(df: DataFrame, *cols: str) -> DataFrame:
-    """Only the named columns: extra columns of the input never reach an operator."""
+    """Only the named columns: extra columns of the input never reach an operator.
+    Limits the session's Arrow batches to BATCH_ROWS rows, unless they are smaller."""
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(_ROWS_PER_BATCH, "10000")) <= BATCH_ROWS:
+        conf.set(_ROWS_PER_BATCH, str(BATCH_ROWS))
     return df.select(*[F.col(f"`{c}`") for c in cols])
 
 
 def map_rows(df: DataFrame, schema: T.StructType | str,
-             make: Callable[[], Callable[[list], list]]) -> DataFrame:
+             make: Callable[[], Callable[[list], list]], keep: bool = False) -> DataFrame:
     """``mapInArrow`` over column lists. ``make`` runs once per task and returns
     the function from a batch's columns to the result's columns, so that state
-    built per task (connections, automata) is shared by its batches."""
+    built per task (connections, automata) is shared by its batches. ``keep``: what an
+    earlier task left in the worker is still of use."""
     if isinstance(schema, str):
         schema = T._parse_datatype_string(schema)
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not keep:
+            free_worker()
         fn = make()
         for b in slices(batches):
             out = fn([b.column(i).to_pylist() for i in range(b.num_columns)])
@@ -46,6 +59,26 @@ def map_rows(df: DataFrame, schema: T.StructType | str,
     return df.mapInArrow(run, schema)
 
 
+#: Called before another operator's work in the same Python worker: frees what an
+#: operator keeps between its tasks.
+KEPT: list[Callable[[], None]] = []
+
+
+def free_worker() -> None:
+    import ctypes
+    import gc
+
+    if KEPT:
+        for free in KEPT:
+            free()
+        KEPT.clear()
+        gc.collect()
+        try:  # hand freed memory back to the system, where the C library can
+            ctypes.CDLL(None).malloc_trim(0)
+        except (AttributeError, OSError):
+            pass
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
     """The batches in pieces of a few rows, which bounds the Python objects made of
     them at a time."""

@@ -21,23 +21,21 @@ import base64
 import hashlib
 import re
 from itertools import islice
-from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import docs_of, map_rows, table
+from .common import KEPT, docs_of, map_rows, table
 
 #: Pre-tokens above this many bytes take the set-wise contraction.
 LONG = 64
 #: Pre-tokens per recursive query, and bytes of them: bounds DuckDB's working set.
-CHUNK_WORDS, CHUNK_BYTES = 60_000, 1_000_000
+CHUNK_WORDS, CHUNK_BYTES = 30_000, 500_000
 #: Words remembered in a worker between batches and tasks; beyond that the ones met
 #: first, which hold the frequent ones, stay and the others are worked out again.
-CACHE, KEEP = 450_000, 250_000
-FIRST, SECOND = itemgetter(0), itemgetter(1)
+CACHE, KEEP = 300_000, 180_000
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -145,7 +143,8 @@ class Codec:
             self.con.register("given", t)
             self.con.execute(f"CREATE TABLE {name} AS SELECT * FROM given")
             self.con.unregister("given")
-        self.cache: dict[str, tuple[bytes, bytes]] = {}
+        self.cache: dict[str, bytes] = {}  # ids as text
+        self.odd: dict[str, bytes] = {}  # decoded bytes, where they are not the word's own
         self.exact = regex.compile(pattern)
         # The standard library's classes differ from the pattern's only for numbers
         # that are not decimal digits; texts of these ranges have none.
@@ -156,8 +155,8 @@ class Codec:
     def split(self, text: str) -> list[str]:
         return (self.exact if self.other.search(text) else self.plain).findall(text)
 
-    def words(self, words: set[str]) -> dict[str, tuple[bytes, bytes]]:
-        """(ids as text, decoded bytes) of each word."""
+    def words(self, words: set[str]) -> dict[str, bytes]:
+        """The ids of each word as text."""
         if len(self.cache) + len(words) > CACHE:
             self.cache = dict(islice(self.cache.items(), KEEP))
         todo = []
@@ -199,7 +198,15 @@ class Codec:
         for v in ("init", "tokens"):
             self.con.unregister(v)
         for w, text, decoded in rows:
-            self.cache[chunk[w][0]] = (text.encode(), decoded)
+            self.cache[chunk[w][0]] = text.encode()
+            if decoded != raw[w]:
+                self.odd[chunk[w][0]] = decoded
+
+    def decoded(self, words: list[str]) -> bytes:
+        """The words' decoded bytes, put together."""
+        if self.odd and not self.odd.keys().isdisjoint(words):
+            return b"".join(self.odd.get(w) or w.encode("utf-8", "surrogatepass") for w in words)
+        return "".join(words).encode("utf-8", "surrogatepass")
 
     def documents(self, cols: list) -> list:
         """Digest columns of a batch (doc ids, texts)."""
@@ -208,17 +215,16 @@ class Codec:
         at = 0
         while at < len(texts):  # some MB of text at a time
             end, size = at, 0
-            while end < len(texts) and (end == at or size < 4_000_000):
+            while end < len(texts) and (end == at or size < 2_000_000):
                 size += len(texts[end] or "")
                 end += 1
             split = [self.split(t or "") for t in texts[at:end]]
             known = self.words(set().union(*split))
             for words in split:
-                parts = [known[w] for w in words]
-                ids = b",".join(map(FIRST, parts))
+                ids = b",".join(map(known.__getitem__, words))
                 out[0].append(ids.count(b",") + 1 if ids else 0)
                 out[1].append(hashlib.sha256(ids).hexdigest())
-                out[2].append(hashlib.sha256(b"".join(map(SECOND, parts))).hexdigest())
+                out[2].append(hashlib.sha256(self.decoded(words)).hexdigest())
             at = end
         return [keys, *out]
 
@@ -232,6 +238,7 @@ def codec(path: str, pattern: str) -> Codec:
     if key not in _CODECS:
         _CODECS.clear()
         _CODECS[key] = Codec(path, pattern)
+        KEPT.append(_CODECS.clear)
     return _CODECS[key]
 
 
@@ -251,7 +258,7 @@ def encode_documents(docs: DataFrame, path: str | None = None, pattern: str | No
         return codec(path or p, pattern or q).documents
 
     rows = docs_of(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return map_rows(rows, SCHEMA, make)
+    return map_rows(rows, SCHEMA, make, keep=True)
 
 
 def encode_texts(texts: list[str | None], path: str | None = None) -> list[list[int]]:
@@ -262,7 +269,7 @@ def encode_texts(texts: list[str | None], path: str | None = None) -> list[list[
     for t in texts:
         words = c.split(t or "")
         known = c.words(set(words))
-        out.append([int(i) for w in words for i in known[w][0].split(b",")])
+        out.append([int(i) for w in words for i in known[w].split(b",")])
     return out
 
 
