@@ -180,10 +180,6 @@ def canonical_decision(c: str | Column) -> Column:
             .otherwise(u))
 
 
-def fmt4(x: Column) -> Column:
-    """Python '{:.4f}' (half-even on the binary value) via format_number-free printf."""
-    return F.format_string("%.4f", x)
-
 
 # --------------------------------------------------------------------------
 # Investigation priority (K1-K2)

@@ -251,11 +251,6 @@ def threshold_search(df: DataFrame, search: P.ThresholdSearch = P.ThresholdSearc
     )
 
 
-def threshold_table(df: DataFrame, search: P.ThresholdSearch = P.ThresholdSearch(),
-                    y: str = "y", p: str = "p") -> DataFrame:
-    """Every grid threshold with its counts and rates (the search's full table)."""
-    return with_rates(grid_counts(df, search.grid(), y, p))
-
 
 # --------------------------------------------------------------------------
 # Report, composite, gates, ranking, selection

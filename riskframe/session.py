@@ -47,11 +47,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as a Parquet table under the shared checkpoint folder
