@@ -8,8 +8,9 @@ repeated group, and what only one side has becomes optional. The result is the h
 wrapper. A block's text is a slot if it differs between pages; a text that stands in the
 same place of every page (``CONSTANT_PAGES`` different pages at least) is part of the
 template. The main text is what stands in the wrapper's content slots: the ones below the
-host's main element (``article``, else ``main``, else all of the body that is not mostly
-links), without menus, headers, footers, sidebars, notices, adverts, forms and comments.
+page's main element (``article``, else ``main``, else all of the body that is not mostly
+links on the host), without menus, headers, footers, sidebars, notices, adverts, forms
+and comments. Each page has its own main element: a host may mix templates.
 
 Work on Spark: one scan reduces pages to expressions and block counts, which are
 aggregated by host before any task sees a host: a host with a third of all pages has no
@@ -299,34 +300,36 @@ def infer_wrappers(pages: DataFrame) -> DataFrame:
 
     each = scanned.select("host", "content", F.explode("blocks").alias("b")).select("host", "content", "b.*")
     # per (host, signature): characters, linked characters
-    slots = each.groupBy("host", "signature").agg(F.sum("chars").alias("chars"), F.sum("linked").alias("linked"),
-                                                  F.max("aside").alias("aside"))
     plain = ~F.col("aside")
+    slots = each.where(plain).groupBy("host", "signature").agg(F.sum("chars").alias("chars"), F.sum("linked").alias("linked"))
 
     def under(name):
         return F.concat(F.lit(">"), "signature", F.lit(">")).rlike(f">{name}[>.#@]") | (F.lit(name == "main") & F.col("signature").contains("@main"))
 
     level = F.when(under("article"), 3).when(under("main"), 2).when(F.col("linked") <= MOST_LINKS * F.col("chars"), 1).otherwise(0)
-    ranked = slots.where(plain).withColumn("level", level)
-    top = ranked.groupBy("host").agg(F.max("level").alias("top"))
-    content = ranked.join(top, "host").where((F.col("level") == F.col("top")) & (F.col("top") > 0))
-    content = content.groupBy("host").agg(F.sort_array(F.collect_set("signature")).alias("slots"))
+    # which level counts is up to each page: a host's pages may differ in their main element
+    content = slots.withColumn("level", level).where("level > 0").groupBy("host").agg(
+        F.sort_array(F.collect_set(F.struct("signature", "level"))).alias("slots"))
     # template texts: in the same slot of every page of the host
     hosts = scanned.groupBy("host").agg(F.countDistinct("content").alias("pages"))
     constant = each.where(plain).groupBy("host", "signature", "text").agg(F.countDistinct("content").alias("on"))
     constant = constant.where(F.col("on") >= CONSTANT_PAGES).join(hosts, "host").where(F.col("on") == F.col("pages"))
     constant = constant.groupBy("host").agg(F.sort_array(F.collect_set(F.concat_ws("\x1f", "signature", F.col("text").cast("string")))).alias("template"))
     return wrappers.join(content, "host", "left").join(constant, "host", "left").select(
-        "host", "expression", "n", F.coalesce("slots", F.array().cast("array<string>")).alias("slots"),
+        "host", "expression", "n", F.coalesce("slots", F.array().cast("array<struct<signature:string,level:int>>")).alias("slots"),
         F.coalesce("template", F.array().cast("array<string>")).alias("template"))
 
 
-def main_text(page: str | None, slots: frozenset, template: frozenset) -> str:
+def main_text(page: str | None, slots: dict[str, int], template: frozenset) -> str:
+    """The texts of the page's blocks in content slots (signature -> level) of the
+    highest level that the page itself has."""
     import xxhash
 
     out = []
-    for sig, text, _, aside in blocks(page):
-        if not aside and sig in slots:
+    found = [(sig, text) for sig, text, _, aside in blocks(page) if not aside and sig in slots]
+    top = max((slots[sig] for sig, _ in found), default=0)
+    for sig, text in found:
+        if slots[sig] == top:
             if template:
                 h = xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
                 if f"{sig}\x1f{h}" in template:
@@ -345,7 +348,7 @@ def extract(pages: DataFrame, wrappers: DataFrame | None = None) -> DataFrame:
     joined = rows.join(F.broadcast(known) if wrappers.count() <= BROADCAST_ROWS else known, "host", "left")
 
     def make():
-        memo: dict[str, tuple[frozenset, frozenset]] = {}
+        memo: dict[str, tuple[dict, frozenset]] = {}
 
         def run(cols):
             texts = []
@@ -353,7 +356,7 @@ def extract(pages: DataFrame, wrappers: DataFrame | None = None) -> DataFrame:
                 if h not in memo:
                     if len(memo) > 10_000:
                         memo.clear()
-                    memo[h] = frozenset(slots or ()), frozenset(template or ())
+                    memo[h] = {x["signature"]: x["level"] for x in slots or ()}, frozenset(template or ())
                 texts.append(main_text(page, *memo[h]))
             return [cols[0], cols[1], texts, [len(t) for t in texts]]
 

@@ -1,5 +1,6 @@
 """Licence scan, BPE, personal data, HTML extraction and URL filter against brute force."""
 
+import collections
 import hashlib
 import html
 import random
@@ -174,6 +175,15 @@ def test_html_extraction(spark):
     assert page.extract(pages(spark, [])).count() == 0
 
 
+def test_html_hosts_may_mix_templates(spark):
+    page_of = {"article": "<body><nav>menu</nav><article><p>{}</p></article></body>", "main": "<body><main><p>{}</p></main><footer>f</footer></body>",
+               "plain": "<body><div><p>{}</p></div></body>", "role": "<body><div role=banner><p>{}</p></div></body>"}
+    kinds = ["article"] + ["main", "plain"] * 6 + ["role"]
+    rows = [(i, url, page_of[k].format(f"text {i}")) for i, k in enumerate(kinds) for url in (f"http://mixed.example/{i}", None)]
+    got = collections.Counter((r.page_id, r.text) for r in page.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect())
+    assert got == collections.Counter((i, "" if kinds[i] == "role" else f"text {i}") for i, _, _ in rows)
+
+
 def test_wrapper_expressions():
     a, b = page.fold(["n", "n", "h", "p", "q", "p", "q", "f"]), page.fold(["n", "h", "x", "p", "q", "f"])
     assert page.written(a) == "(<n>#)+ <h># (<p># <q>#)+ <f>#"
