@@ -11,11 +11,18 @@ block bits) finds every item within the radius of a window, not only the one tha
 to it. Each such pair is verified: the share of the item's shingles, weighted by their
 rarity among the items, that stand in the window must reach ``SIMILARITY``.
 
+No radius holds every window of that share: a few changed words of a short item flip
+more bits than unrelated texts differ in. So the items themselves are verified beside
+that. An item's rarest shingles that weigh more than ``1 - SIMILARITY`` of it are its
+prefix; a window without any of them has a share under ``SIMILARITY``. Where a text holds
+a prefix shingle, all windows around it are measured, so every text and item with such a
+window is found, whatever their fingerprints, and its similarity is its best window's.
+
 All steps are DataFrame expressions and equi-joins. Only the items' tables are broadcast,
 and only below ``BROADCAST_ROWS`` rows (beyond that the joins shuffle). The texts are
-read twice, once for shared places and once for the windows' words; what is shuffled
-follows the places found. A passage that a third of all texts hold gives one window a
-text, like any other.
+read three times, once for shared places and once each for the windows' words and the
+words around prefix shingles; what is shuffled follows the places found. A passage that
+a third of all texts hold gives one window a text, like any other.
 
 Defined results: null or empty texts and items match nothing; items of under five words
 are one shingle of all their words; equal rows get equal verdicts; extra columns pass
@@ -33,6 +40,8 @@ from .common import docs_of, materialize, table
 #: Parameters.
 SHINGLE, SIMILARITY, RADIUS, BITS = 5, 0.8, 11, 64
 BROADCAST_ROWS = 500_000
+#: Rounding of sums: a share of just SIMILARITY counts in any order of addition.
+TIE = 1e-9
 
 
 def words(c: str):
@@ -89,6 +98,41 @@ def benchmark_items(benchmark: DataFrame) -> DataFrame:
     return materialize(with_fingerprint(df, "w", "fp").drop("w"), "decontam-items")
 
 
+SHARE = "aggregate(sv, 0D, (a, x) -> a + IF(array_contains({}, x.s), x.v, 0D)) / aggregate(sv, 0D, (a, x) -> a + x.v)"
+
+
+def by_prefix(docs: DataFrame, weighted: DataFrame, shared: DataFrame, similarity: float, n_shingles: int) -> DataFrame:
+    """(key, item, item_id, similarity) of every text and item with a window that
+    reaches ``similarity``. ``shared`` has the texts' places (key, k, h, pos) of shingles
+    of items. A window that holds a prefix shingle at p lies within p - (n - k) and p + n,
+    and can be moved on to a place of a shingle of the item without losing any: those
+    are the windows measured."""
+    ranked = weighted.withColumn("sv", F.expr("array_sort(sv, (a, b) -> CASE WHEN a.v > b.v THEN -1 WHEN a.v < b.v THEN 1 "
+                                              "WHEN a.s < b.s THEN -1 WHEN a.s > b.s THEN 1 ELSE 0 END)"))
+    limit = 1 - similarity + 2 * TIE  # of the whole weight
+    ranked = ranked.withColumn("total", F.expr("aggregate(sv, 0D, (a, x) -> a + x.v)"))
+    # the longest run of rarest shingles that weighs no more than the limit, and one more
+    size = F.expr(f"aggregate(sv, named_struct('n', 0, 'w', 0D), (a, x) -> IF(a.w <= total * {limit!r}D, "
+                  f"named_struct('n', a.n + 1, 'w', a.w + x.v), a), a -> a.n)")
+    prefix = ranked.withColumn("size", size).select("item", "n", "k", F.expr("explode(transform(slice(sv, 1, size), x -> x.s))").alias("h"))
+    at = shared.join(small(prefix, n_shingles), ["k", "h"])
+    # places of one item within its length are one region
+    regions = at.groupBy("key", "item", "n", "k", F.floor(F.col("pos") / F.col("n")).alias("part")).agg(
+        F.min("pos").alias("first"), F.max("pos").alias("last"))
+    regions = materialize(regions.groupBy("key").agg(F.collect_set(F.struct("item", "n", "k", "first", "last")).alias("regions")), "decontam-regions")
+    again = docs_of(docs, "doc_id", "text").select(row_key().alias("key"), F.col("text"))
+    found = again.join(small(regions, regions.count()), "key").dropDuplicates(["key"])
+    found = found.withColumn("w", words("text")).select("key", "w", F.explode("regions").alias("x")).select("key", "x.*", F.expr(
+        "slice(w, greatest(x.first - (x.n - x.k), 0) + 1, x.last + x.n - greatest(x.first - (x.n - x.k), 0))").alias("w"))
+    found = found.withColumn("wh", F.expr(shingles("w", "k"))).drop("w", "first", "last")
+    found = found.join(small(ranked.select("item", "item_id", "sv"), n_shingles), "item").where(F.expr(SHARE.format("wh")) >= similarity - TIE)
+    own = found.withColumn("ss", F.expr("transform(sv, x -> x.s)"))
+    starts = own.withColumn("starts", F.expr("filter(sequence(1, size(wh)), i -> array_contains(ss, wh[i - 1]))"))
+    windows = F.expr("transform(starts, i -> slice(wh, i, n - k + 1))")
+    best = F.expr("array_max(transform(windows, y -> " + SHARE.format("y") + "))")
+    return starts.withColumn("windows", windows).select("key", "item", "item_id", best.alias("similarity")).where(F.col("similarity") >= similarity - TIE)
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, radius: int = RADIUS, similarity: float = SIMILARITY) -> DataFrame:
     """(key, item_id, similarity) of every text and item verified; ``key`` is ``row_key``."""
     items = benchmark_items(benchmark)
@@ -103,7 +147,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, radius: int = RADIUS, similarit
         places = rows.select("key", F.lit(lengths[0]).alias("k"), F.posexplode(F.expr(shingles("w", str(lengths[0])))).alias("pos", "h"))
     else:
         places = rows.select("key", F.explode(each).alias("x")).select("key", F.col("x.k").alias("k"), F.posexplode("x.hs").alias("pos", "h"))
-    shared = places.join(small(posted, n_shingles), ["k", "h"]).select("key", F.greatest(F.col("pos") - F.col("ipos"), F.lit(0)).alias("start"), "n")
+    held = materialize(places.join(small(posted.select("k", "h").distinct(), n_shingles), ["k", "h"]), "decontam-shared")
+    shared = held.join(small(posted, n_shingles), ["k", "h"]).select("key", F.greatest(F.col("pos") - F.col("ipos"), F.lit(0)).alias("start"), "n")
     wanted = materialize(shared.groupBy("key").agg(F.collect_set(F.struct("start", "n")).alias("windows")), "decontam-places")
 
     again = docs_of(docs, "doc_id", "text").select(row_key().alias("key"), F.col("text"))
@@ -117,14 +162,14 @@ def leaks(docs: DataFrame, benchmark: DataFrame, radius: int = RADIUS, similarit
     rarity = items.select(F.explode(F.array_distinct("h")).alias("s")).groupBy("s").agg(F.count(F.lit(1)).alias("df"))
     weighted = items.select("item", F.explode(F.array_distinct("h")).alias("s")).join(small(rarity, n_shingles), "s").groupBy("item").agg(
         F.collect_list(F.struct("s", F.log1p(F.lit(float(max(n_items, 1))) / F.col("df")).alias("v"))).alias("sv"))
-    weighted = items.select("item_id", "item", "n", "fp").join(weighted, "item")
+    weighted = items.select("item_id", "item", "n", "k", "fp").join(weighted, "item")
     weighted = materialize(weighted.withColumnRenamed("fp", "ifp"), "decontam-index")
     index = weighted.select("item", "item_id", "n", "ifp", "sv", F.explode(blocks("ifp", radius)).alias("b")).select(
         "item", "item_id", "n", "ifp", "sv", "b.*")
     near = probes.join(small(index, n_items * (radius + 1)), ["n", "block", "bits"])
     near = near.where(F.bit_count(F.col("fp").bitwiseXOR(F.col("ifp"))) <= radius)
-    share = F.expr("aggregate(sv, 0D, (a, x) -> a + IF(array_contains(wh, x.s), x.v, 0D)) / aggregate(sv, 0D, (a, x) -> a + x.v)")
-    return near.select("key", "item", "item_id", share.alias("similarity")).where(F.col("similarity") >= similarity).groupBy(
+    near = near.select("key", "item", "item_id", F.expr(SHARE.format("wh")).alias("similarity")).where(F.col("similarity") >= similarity - TIE)
+    return near.unionByName(by_prefix(docs, weighted, held, similarity, n_shingles)).groupBy(
         "key", "item").agg(F.first("item_id").alias("item_id"), F.max("similarity").alias("similarity"))
 
 

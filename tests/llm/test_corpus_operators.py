@@ -280,6 +280,41 @@ def test_decontamination_tolerates_a_changed_word(spark):
     assert {r.doc_id: r.contaminated for r in got.collect()} == {1: True, 2: False}
 
 
+def test_decontamination_finds_edited_short_items(spark):
+    rng = random.Random(14)
+    opening = prose(rng, 6).split()
+    items = [(i, (opening if i % 10 == 0 else []) + prose(rng, rng.randint(9, 30)).split()) for i in range(120)]
+    rows = []
+    for i, item in items:
+        for c in (1, 2, 3):
+            w = list(item)
+            for j in range(c):  # at an end, in the middle, or inserted
+                place = (j, len(w) - 1 - j, len(w) // 2, None)[(i + c) % 4]
+                if place is None:
+                    w.insert(rng.randrange(len(w)), f"more{j}")
+                else:
+                    w[place] = f"new{j}"
+            rows.append((1000 * c + i, " ".join([prose(rng, rng.randint(0, 20)), *w, prose(rng, rng.randint(0, 20)), *(w if i % 7 == 0 else [])])))
+    found = [[words(w) for w in item] for _, item in items]
+    need = [[tuple(w[j:j + min(5, len(w))]) for j in range(max(1, len(w) - 4))] for w in (sum(x, []) for x in found)]
+    df = collections.Counter(s for x in need for s in set(x))
+    want = {}
+    for k, text in rows:
+        have = words(text)
+        for (i, _), x in zip(items, need, strict=True):
+            weight = {s: math.log1p(len(items) / df[s]) for s in x}
+            size = len(x[0])
+            at = [tuple(have[j:j + size]) for j in range(len(have) - size + 1)]
+            best = max((sum(weight[s] for s in set(at[a:a + len(x)]) if s in weight) for a in range(max(1, len(at)))), default=0) / sum(weight.values())
+            if best >= 0.8 - 1e-9:
+                want[k, i] = best
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")
+    assert len({k for k, _ in want}) > 150
+    got = dec.find_contaminated(docs(spark, rows), bench).collect()
+    assert {(r.doc_id, i) for r in got for i in r.item_ids} == set(want)
+    assert all(abs(r.similarity - max([want[r.doc_id, i] for i in r.item_ids], default=0)) < 1e-9 for r in got)
+
+
 def test_blocks_cover_the_radius():
     edges = dec.block_edges()
     assert len(edges) == dec.RADIUS + 1 and sum(w for _, w in edges) == 64 and edges[0][0] == 0
