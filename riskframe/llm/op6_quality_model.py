@@ -2,15 +2,24 @@
 
 Overlapping heuristic labellers vote on every document (or abstain), once on whether
 it is good prose and once on whether it is toxic; rows of ``labels`` are one labeller
-more, as fallible as the others. Expectation maximisation over the counts of vote
+more, as fallible as the others. Beside two fixed lists of English insults, a toxicity
+labeller knows the words that the labelled rows show to be toxic in each language (column
+``lang``, if there is one): a word's log odds of standing in a toxic row against a clean
+one, less ``BOUND`` standard errors, reach ``LIFT``, in ``SUPPORT`` toxic rows at least. Two
+such words vote toxic, none votes not toxic; it abstains in between and for languages
+without such words. A labeller is not as good in every language (the fixed lists are
+silent in all but English), so toxicity is estimated apart for each language that has
+such words, and for the others together. Expectation maximisation over the counts of vote
 patterns (a few thousand at most, whatever the corpus) estimates each labeller's
 accuracy, abstentions included, and gives every pattern a posterior probability. The
 posteriors of a bounded sample of documents (``SAMPLE`` expected per side, drawn by hash)
 train a linear scorer over hashed words and votes, which scores every document.
 
-Work: one scan for votes, one for the sampled documents' features, one for the scores;
-texts are never shuffled. Through the driver go the pattern counts, the sample's
-features and the weights, all of bounded size.
+Work: one scan for the labelled rows' words, counted by Spark, one for votes, one for the
+sampled documents' features, one for the scores; only labelled texts are ever shuffled,
+where ``labels`` are too many for a broadcast. Through the driver go the pattern counts, the
+sample's features and the weights, all of bounded size, and the toxic words, which grow
+with the vocabulary.
 
 Defined results: a null or empty text has no words: the short-text labeller votes bad;
 null or repeated ``doc_id``s in ``labels`` (averaged; ties abstain) do no harm; rows without
@@ -28,11 +37,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WordHashes, docs_of, map_rows, materialize, table
+from .common import WordHashes, docs_of, map_rows, materialize, slices, table
 
 #: Parameters: words that insult, as two labellers.
 INSULTS = ("clown", "idiot", "loser", "moron", "scum", "trash")
 SLURS = ("disgusting", "pathetic", "stupid", "worthless")
+#: Learned toxic words: least odds ratio, standard errors taken off, least toxic rows, words that vote.
+LIFT, BOUND, SUPPORT, HITS = 5.0, 1.64, 3, 2
+#: Labels that are broadcast; more are joined by shuffling the texts.
+BROADCAST_ROWS = 2_000_000
 #: From which ratio on a detector of one defect votes bad; it abstains below.
 LIMITS = {"symbols": 0.08, "repeats": 0.2, "capitals": 0.4, "dup_lines": 0.4, "few_distinct": 0.75}
 LEAST_WORDS, ENOUGH_WORDS, WORD_LENGTH = 10, 30, (3.0, 9.0)
@@ -41,10 +54,12 @@ SAMPLE, HASH_BITS, EPOCHS, RATE, RIDGE = 5000, 18, 6, 0.3, 1e-4
 ROUNDS = 60
 
 QUALITY = ("short", *LIMITS, "word_length", "labelled")
-TOXIC = ("insults", "slurs", "labelled")
+TOXIC = ("insults", "slurs", "learned", "labelled")
 ABSTAIN, NO, YES = 0, 1, 2
 INSULT, SLUR = (re.compile(rf"\b(?:{'|'.join(x)})\b", re.I) for x in (INSULTS, SLURS))
 
+LETTERS = re.compile(r"[^\W\d_]+")
+
 
 def ratios(text: str) -> dict[str, float]:
     raw = text.encode("utf-8", "surrogatepass")
@@ -86,15 +101,73 @@ def row_key():
     return F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
 
 
-def vote_rows(docs: DataFrame) -> DataFrame:
+def with_language(docs: DataFrame) -> DataFrame:
+    """doc_id, text and lang, which is empty where it is missing."""
+    lang = F.coalesce(F.col("lang").cast("string"), F.lit("")) if "lang" in docs.columns else F.lit("")
+    return docs_of(docs, "doc_id", "text", *(["lang"] if "lang" in docs.columns else [])).select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), lang.alias("lang"))
+
+
+def toxic_words(docs: DataFrame, known: DataFrame) -> dict[str, frozenset]:
+    """Per language the words of LETTERS that the labelled rows show to be toxic."""
+    def count(batches):
+        counts: dict[tuple[str, str], list[int]] = {}
+
+        def out():
+            return pa.RecordBatch.from_pydict({
+                "lang": pa.array([k[0] for k in counts], pa.string()), "word": pa.array([k[1] for k in counts], pa.string()),
+                "a": pa.array([v[1] for v in counts.values()], pa.int64()), "b": pa.array([v[0] for v in counts.values()], pa.int64())})
+
+        for batch in slices(batches):
+            for lang, toxic, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                for word in {"", *LETTERS.findall((text or "").lower())}:  # "" counts the rows
+                    counts.setdefault((lang, word), [0, 0])[toxic] += 1
+                if len(counts) > 200_000:
+                    yield out()
+                    counts.clear()
+        yield out()
+
+    sides = materialize(known.where("l_toxic <> 0.5").select("doc_id", (F.col("l_toxic") > 0.5).cast("int").alias("toxic")), "weak-sides")
+    rows = with_language(docs).join(F.broadcast(sides) if sides.count() <= BROADCAST_ROWS else sides, "doc_id").select("lang", "toxic", "text")
+    # a, b: toxic and clean rows with the word; n, m: all toxic and clean rows
+    each = rows.mapInArrow(count, "lang string, word string, a long, b long").groupBy("lang", "word").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    each = materialize(each.where((F.col("a") >= SUPPORT) | (F.col("word") == "")), "weak-words")
+    whole = each.where("word = ''").select("lang", F.col("a").alias("n"), F.col("b").alias("m"))
+    each = each.where("word <> ''").join(whole, "lang")
+    cells = [F.expr(x) + 0.5 for x in ("a", "n - a", "b", "m - b")]
+    odds = F.log(cells[0] / cells[1]) - F.log(cells[2] / cells[3])
+    error = F.sqrt(sum((1 / c for c in cells[1:]), 1 / cells[0]))
+    found: dict[str, set] = {}
+    for r in each.where(odds - BOUND * error >= math.log(LIFT)).select("lang", "word").collect():  # a small part of the vocabulary
+        found.setdefault(r.lang, set()).add(r.word)
+    return {k: frozenset(v) for k, v in found.items()}
+
+
+def learned_vote(text: str | None, words: frozenset | None) -> int:
+    have = set(LETTERS.findall((text or "").lower())) if words else None
+    if not have:
+        return ABSTAIN
+    hits = len(have & words)
+    return YES if hits >= HITS else ABSTAIN if hits else NO
+
+
+def vote_rows(docs: DataFrame, learned: dict[str, frozenset] | None = None) -> DataFrame:
+    sent = docs.sparkSession.sparkContext.broadcast(learned or {})
+
     def make():
+        known = sent.value
+        # above the votes, a code says which estimate it belongs to
+        group = {x: 3 ** len(TOXIC) * (i + 1) for i, x in enumerate(sorted(known))}
+
         def run(cols):
             both = [votes(t) for t in cols[2]]
-            return [cols[0], cols[1], [code(q) for q, _ in both], [code(t) for _, t in both]]
+            last = [learned_vote(t, known.get(x)) for t, x in zip(cols[2], cols[3], strict=True)]
+            return [cols[0], cols[1], [code(q) for q, _ in both], [
+                code([*t, v]) + group.get(x, 0) for (_, t), v, x in zip(both, last, cols[3], strict=True)]]
 
         return run
 
-    rows = docs_of(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), row_key(), F.col("text").cast("string"))
+    rows = with_language(docs).select("doc_id", row_key(), "text", "lang")
     return map_rows(rows, "doc_id long, key long, quality long, toxic long", make)
 
 
@@ -138,7 +211,8 @@ class Features:
         return np.append(index, flags), np.append(value, np.ones(len(flags), np.float32))
 
 
-WIDTH = (1 << HASH_BITS) + 3 * (len(QUALITY) + len(TOXIC) - 2)
+#: Of the votes, neither labels nor learned words (which are words) are features.
+WIDTH = (1 << HASH_BITS) + 3 * (len(QUALITY) + len(TOXIC) - 3)
 
 
 def train(rows: list[tuple[bytes, bytes, float, float]]) -> np.ndarray:
@@ -192,9 +266,9 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): posterior probabilities of good
     quality and toxicity, the scorer's probabilities, and the verdicts."""
     spark = docs.sparkSession
-    base = materialize(vote_rows(docs), "weak-votes")
     known = labels.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(
         *[F.avg(F.col(c).cast("double")).alias(f"l_{c}") for c in ("quality", "toxic")])
+    base = materialize(vote_rows(docs, toxic_words(docs, known)), "weak-votes")
 
     def vote(c):
         return F.when(F.col(c) > 0.5, YES).when(F.col(c) < 0.5, NO).otherwise(ABSTAIN)
@@ -205,8 +279,10 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     voted = materialize(voted, "weak-patterns")
     posteriors = {}
     for name, n, prior, no_weight in (("quality", len(QUALITY), 0.5, 2.0), ("toxic", len(TOXIC), 0.02, 1.0)):
-        counts = sorted((r[0], r[1]) for r in voted.groupBy(name).agg(F.count(F.lit(1))).collect())  # at most 3^n rows
-        posteriors[name] = estimate(counts, n, prior, no_weight)
+        counts = sorted((r[0], r[1]) for r in voted.groupBy(name).agg(F.count(F.lit(1))).collect())  # at most 3^n rows a group
+        posteriors[name] = {}
+        for group in sorted({c // 3**n for c, _ in counts}):
+            posteriors[name] |= estimate([x for x in counts if x[0] // 3**n == group], n, prior, no_weight)
     weights = fit(docs, voted, posteriors)
     sent = spark.sparkContext.broadcast(weights)
 

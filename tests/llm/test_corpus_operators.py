@@ -234,6 +234,24 @@ def test_classifier_finds_junk_and_insults(spark):
     assert empty.count() == 0
 
 
+def test_toxic_words_are_learned_per_language(spark):
+    rng = random.Random(10)
+    mean = {"fr": ["vaurien", "crétin", "ordure", "minable"], "de": ["trottel", "abschaum", "versager", "widerlich"]}
+    rows, toxic = [], {}
+    for i in range(400):
+        lang = ("fr", "de", "en")[i % 3]
+        toxic[i] = lang in mean and i % 8 == 0
+        # the other language's word is harmless
+        tail = " ".join(rng.sample(mean[lang], 3)) if toxic[i] else mean["fr"][i % 4] if lang == "de" else ""
+        rows.append((i, f"{prose(rng, rng.randint(40, 120))} {tail}.", lang))
+    df = spark.createDataFrame(rows + [(None, None, None), (9001, "", "fr")], "doc_id long, text string, lang string")
+    lab = spark.createDataFrame([(i, 1, int(toxic[i])) for i in range(200)], "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r for r in weak.classify(df, lab).collect()}
+    assert len(got) == 402
+    assert all((got[i].toxic_posterior >= 0.5) == got[i].toxic == toxic[i] for i in range(200, 400))
+    assert weak.classify(df.drop("lang"), lab).where("toxic").count() > 0
+
+
 # ------------------------------------------------------------------ decontamination
 def words(t):
     return [w for w in re.split(r"[\W_]+", (t or "").lower()) if w]
