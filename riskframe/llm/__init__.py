@@ -1,4 +1,4 @@
-"""Training-data operators: ten corpus operators and their registered queries.
+"""Training-data operators: corpus operators and their registered queries.
 
 Nothing else in the library imports this subpackage; ``__spark_entry__`` adds its
 queries when it is present.
@@ -22,12 +22,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     from .op8_quality import op8_quality
     from .op9_html import op9_html
     from .op10_url import op10_url
+    from .op11_variants import op11_variants
+    from .op12_search import op12_search
+    from .op13_packing import op13_packing
 
     return {f.__name__: f for f in (op1_license, op2_neardup, op3_bpe, op4_lm, op5_pii, op6_quality_model, op7_decontam,
-                                    op8_quality, op9_html, op10_url)}
+                                    op8_quality, op9_html, op10_url, op11_variants, op12_search, op13_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import op10_url
+    from . import op10_url, op12_search
 
-    return {"op10_url": op10_url.ORACLE}
+    return {"op10_url": op10_url.ORACLE, "op12_search": op12_search.ORACLE}
