@@ -82,7 +82,8 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     out = [("email", a, b) for a, b in emails(text)] if "@" in text else []
     if DIGIT.search(text):
         for m in IP.finditer(text):
-            if all(len(x.lstrip("0")) <= 3 and int(x) <= 255 for x in m[0].split(".")):
+            parts = [x.lstrip("0") or "0" for x in m[0].split(".")]
+            if all(len(x) <= 3 and int(x) <= 255 for x in parts):
                 out.append(("ip", m.start(), m.end()))
         for m in CARD.finditer(text):
             digits = m[0].replace(" ", "").replace("-", "")
