@@ -61,7 +61,9 @@ ASIDE_WORDS = frozenset(
     "related replies reply respond share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split())
 ASIDE_ROLES = frozenset("alert banner complementary contentinfo dialog form menu navigation search".split())
 
-TAG = re.compile(r"""<(?:!--.*?(?:-->|\Z)|[!?][^>]*>?|(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>)""", re.S)
+START = re.compile(r"<(?:!--|[!?]|(/?)([a-zA-Z][^\s/>]*+))")
+INSIDE = re.compile(r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+""")
+HEAD_END = re.compile(r"(?=<(?!/?(?:base|head|link|meta|noscript|script|style|template|title)\b)[a-zA-Z])", re.I)
 ATTRIBUTE = re.compile(r"""(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 WORDS = re.compile(r"[a-z]+")
 
@@ -82,6 +84,25 @@ def marks(attributes: str) -> tuple[str, bool]:
     return "".join(sig), aside
 
 
+def tags(page: str, at: int, loose: bool) -> tuple[int, int, str, str, bool, bool] | None:
+    """The next tag or comment from ``at``: (start, end, name or nothing, what stands inside,
+    closing, loose). A page in which a tag's quotes are never closed is read loosely from
+    there on: tags end at the next ``>``. Without one the rest is text. Each character is looked
+    at a few times at most, whatever the page."""
+    m = START.search(page, at)
+    if not m:
+        return None
+    if not m[2]:
+        end = page.find("-->" if m[0] == "<!--" else ">", m.end())
+        return m.start(), len(page) if end < 0 else end + (3 if m[0] == "<!--" else 1), "", "", False, loose
+    end = len(page) if loose else INSIDE.match(page, m.end()).end()
+    if page[end:end + 1] != ">":
+        loose, end = True, page.find(">", m.end())
+        if end < 0:
+            return None
+    return m.start(), end + 1, m[2].lower(), page[m.end():end], bool(m[1]), loose
+
+
 def blocks(page: str | None) -> list[tuple[str, str, float, bool]]:
     """(signature, text, share of characters in links, aside) of each block with text."""
     page = page or ""
@@ -89,7 +110,7 @@ def blocks(page: str | None) -> list[tuple[str, str, float, bool]]:
     stack: list[tuple[str, str, bool]] = []  # block elements: name, signature, aside
     parts: list[str] = []
     link = chars = linked = 0
-    at, raw = 0, ""
+    at, raw, loose = 0, "", False
 
     def flush():
         nonlocal parts, chars, linked
@@ -111,37 +132,38 @@ def blocks(page: str | None) -> list[tuple[str, str, float, bool]]:
     while True:
         if raw:
             m = re.compile(rf"</{re.escape(raw)}\s*>", re.I).search(page, at)
-            if not m and raw == "head":  # an unclosed head ends where the body starts
-                m = re.compile(r"(?=<body)", re.I).search(page, at)
+            if not m and raw == "head":  # an unclosed head ends where the body or its text starts
+                m = re.compile(r"(?=<body)", re.I).search(page, at) or HEAD_END.search(page, at)
             raw = ""
             if not m:
                 break
             at = m.end()
-        m = TAG.search(page, at)
-        piece = page[at:m.start() if m else len(page)]
+        m = tags(page, at, loose)
+        start, end, name, inner, closing, loose = m or (len(page), len(page), "", "", False, loose)
+        piece = page[at:start]
         if piece:
             parts.append(piece)
             chars += len(piece)
             linked += len(piece) if link else 0
         if not m:
             break
-        at, name = m.end(), (m[2] or "").lower()
+        at = end
         if not name:
             continue
-        if m[1]:
+        if closing:
             if name in BLOCKS:
                 flush()
                 close((name,), False)
             elif name == "a":
                 link = max(0, link - 1)
         elif name in RAW:
-            if not m[3].endswith("/"):
+            if not inner.endswith("/"):
                 raw = name
         elif name in BLOCKS and name not in VOID:
             flush()
             if name in CLOSES:
                 close(CLOSES[name], True)
-            sig, aside = marks(m[3]) if m[3] else ("", False)
+            sig, aside = marks(inner) if inner else ("", False)
             above = stack[-1][2] if stack else False
             inside = any(s[0] in ("article", "main") for s in stack)
             aside |= above or name in ASIDE_TAGS or name == "header" and not inside
