@@ -3,7 +3,9 @@ word splitting and stable 64-bit hashing."""
 
 from __future__ import annotations
 
+import contextlib
 import os
+import threading
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -48,35 +50,65 @@ def map_rows(df: DataFrame, schema: T.StructType | str,
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if not keep:
-            free_worker()
-        fn = make()
-        for b in slices(batches):
-            out = fn([b.column(i).to_pylist() for i in range(b.num_columns)])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, type=f.type) for c, f in zip(out, arrow, strict=True)], schema=arrow)
+        with worker_state(keep):
+            fn = make()
+            for b in slices(batches):
+                out = fn([b.column(i).to_pylist() for i in range(b.num_columns)])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, type=f.type) for c, f in zip(out, arrow, strict=True)], schema=arrow)
 
     return df.mapInArrow(run, schema)
 
 
-#: Called before another operator's work in the same Python worker: frees what an
-#: operator keeps between its tasks.
+#: What frees the state that an operator keeps in its Python worker between tasks. It runs
+#: before another operator's work in the worker, and when the worker has been idle for IDLE_S
+#: seconds: a stage without Python gets the memory back.
 KEPT: list[Callable[[], None]] = []
+IDLE_S = 2.0
+_STATE = threading.RLock()
+_idle: list[threading.Timer] = []
+
+
+@contextlib.contextmanager
+def worker_state(keep: bool) -> Iterator[None]:
+    """A task's use of its worker. ``keep``: it takes over what an earlier task left."""
+    with _STATE:
+        while _idle:
+            _idle.pop().cancel()
+        if not keep:
+            free_worker()
+    try:
+        yield
+    finally:
+        with _STATE:
+            if KEPT:
+                timer = threading.Timer(IDLE_S, lambda: free_if_idle(timer))
+                timer.daemon = True
+                _idle.append(timer)
+                timer.start()
+
+
+def free_if_idle(timer: threading.Timer) -> None:
+    with _STATE:
+        if timer in _idle:  # no task has begun since
+            _idle.clear()
+            free_worker()
 
 
 def free_worker() -> None:
     import ctypes
     import gc
 
-    if KEPT:
-        for free in KEPT:
-            free()
-        KEPT.clear()
-        gc.collect()
-        try:  # hand freed memory back to the system, where the C library can
-            ctypes.CDLL(None).malloc_trim(0)
-        except (AttributeError, OSError):
-            pass
+    with _STATE:
+        if KEPT:
+            for free in KEPT:
+                free()
+            KEPT.clear()
+            gc.collect()
+            try:  # hand freed memory back to the system, where the C library can
+                ctypes.CDLL(None).malloc_trim(0)
+            except (AttributeError, OSError):
+                pass
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:

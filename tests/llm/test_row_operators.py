@@ -203,3 +203,45 @@ def test_urls(spark):
         "allow", "allow", "allow", "block", "block", "allow", "block", "block", "allow", "allow", "allow", "block", "allow"]
     assert (by[3].host, by[3].path, by[3].rule) == ("blog.example.net", "/en/1", "example.net/en/")
     assert by[4].rule == "net/" and by[11].rule is None and by[11].host == "net" and by[12].path == "/a" and by[9].n_hits == 2 and by[13].n_soft == 1
+
+
+# ------------------------------------------------------------------ hostile inputs
+def test_hostile_inputs_take_linear_time():
+    import time
+
+    n = 500_000
+    for text in ("<a" * n, "<div>x" * 2, "<a \"" * n, "<a '" * n + ">x", "<a" * n + "\" >y", "<" * n, "<!--" * n, "<p " + "'\"" * n,
+                 "<p class='" + "a " * n, "x <b" + " y" * n):
+        began = time.time()
+        page.blocks(text)
+        assert time.time() - began < 3, text[:20]
+    zeros = "0" * 1_000_000
+    began = time.time()
+    assert [s[0] for s in pii.base_spans(zeros + "1.1.1.1 and 1.1.1." + zeros + "256")] == ["ip"]
+    assert time.time() - began < 3
+
+
+def test_html_unclosed_parts():
+    text = lambda x: [b[1] for b in page.blocks(x)]
+    assert text("<html><head><title>x</title><p>article text here</p>") == ["article text here"]
+    assert text("<p>one <b") == ["one <b"]
+    assert text("<p title='it>two</p><p>three") == ["two", "three"]
+    assert text('<p title="a>b">four</p><!-- <p>no --><p>five <i>six</i>') == ["four", "five six"]
+
+
+def test_idle_worker_frees_what_it_keeps(monkeypatch):
+    import time
+
+    from riskframe.llm import common
+
+    monkeypatch.setattr(common, "IDLE_S", 0.2)
+    common.free_worker()
+    kept = ["state"]
+    for _ in range(2):  # a second task takes the state over, whenever it starts within the time
+        with common.worker_state(True):
+            if not common.KEPT:
+                common.KEPT.append(kept.clear)
+            time.sleep(0.3)
+        assert kept
+    time.sleep(0.6)
+    assert not kept and not common.KEPT
