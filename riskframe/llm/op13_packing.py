@@ -32,8 +32,8 @@ written parts.
 from __future__ import annotations
 
 import re
+import struct
 from collections.abc import Iterator
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -54,8 +54,10 @@ SHARES = 1 << 18
 LEAST_SHARE = 1 / 1024
 #: Ids of a queue that the arithmetic can hold: SHARES times as many stay within 63 bits.
 MOST_IDS = 1 << 44
-#: Words and parts of words remembered in a worker.
-CACHE, KEEP = 400_000, 250_000
+#: Words, and parts of words, remembered in a worker; once full, others are worked out anew.
+CACHE = 600_000
+#: Numbers at a time in the arithmetic of places.
+CELLS = 1_000_000
 
 
 # ------------------------------------------------------------------ encoding
@@ -80,40 +82,51 @@ class Encoder:
         level = ByteLevel(add_prefix_space=False, use_regex=False)
         spelt = {c: level.pre_tokenize_str(c)[0][0] for c in map(chr, range(33, 256)) if self.PLAIN.fullmatch(c)}
         self.spelt = str.maketrans(spelt)
-        self.words: dict[bytes, bytes] = {}
+        self.words = _Words(self)
         self.parts: dict[str, bytes] = {}
 
     def ids(self, text: str) -> bytes:
         """The text's ids and the end id, packed."""
-        words = text.encode("utf-8", "surrogatepass").split()
-        try:
-            return b"".join(map(self.words.__getitem__, words)) + self.end
-        except KeyError:
-            known = self.words
-            if len(known) > CACHE:
-                known = self.words = dict(islice(known.items(), KEEP))
-            fresh = {}
-            for w in words:
-                if w not in known and w not in fresh:
-                    fresh[w] = self.word(w.decode("utf-8", "replace"))
-            if len(known) + len(fresh) <= 2 * CACHE:
-                known.update(fresh)
-                return b"".join(map(known.__getitem__, words)) + self.end
-            return b"".join([known.get(w) or fresh.get(w, b"") for w in words]) + self.end
+        return b"".join(map(self.words.__getitem__, text.encode("utf-8", "surrogatepass").split())) + self.end
+
+    def packed(self, ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}{'H' if self.dtype.itemsize == 2 else 'I'}", *ids)
 
     def word(self, word: str) -> bytes:
+        low = word.lower()
+        known = self.parts.get(low)
+        if known is not None:
+            return known
+        if low[-1] in ".,":
+            known, mark = self.parts.get(low[:-1]), self.parts.get(low[-1])
+            if known is not None and mark is not None and low[:-1].isalpha():
+                return known + mark
         if not self.PLAIN.fullmatch(word):
-            return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, self.dtype).tobytes()
-        out = []
-        for part in self.PIECES.findall(word.lower()):
-            ids = self.parts.get(part)
-            if ids is None:
-                if len(self.parts) > CACHE:
-                    self.parts = dict(islice(self.parts.items(), KEEP))
-                ids = self.parts[part] = np.array([t.id for t in self.model.tokenize(part.translate(self.spelt))],
-                                                  self.dtype).tobytes()
-            out.append(ids)
-        return b"".join(out)
+            return self.packed(self.tokenizer.encode(word, add_special_tokens=False).ids)
+        return b"".join([self.part(x) for x in self.PIECES.findall(low)])
+
+    def part(self, part: str) -> bytes:
+        ids = self.parts.get(part)
+        if ids is None:
+            ids = self.packed([t.id for t in self.model.tokenize(part.translate(self.spelt))])
+            if len(self.parts) < CACHE:
+                self.parts[part] = ids
+        return ids
+
+
+class _Words(dict):
+    """The ids of words met before; the first CACHE of them are kept, which the frequent
+    ones are among."""
+
+    def __init__(self, encoder: Encoder):
+        super().__init__()
+        self.encoder = encoder
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self.encoder.word(word.decode("utf-8", "replace"))
+        if len(self) < CACHE:
+            self[word] = ids
+        return ids
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -182,41 +195,43 @@ class Queues:
     def packed(self) -> int:
         return int(self.total.sum())
 
-    def place(self, queue: int, grains: np.ndarray) -> np.ndarray:
-        """Ids packed before grain k of a queue, for an array of k."""
-        end = np.minimum((grains + 1) * self.grain[queue], self.total[queue])[:, None]
-        first = (np.arange(len(self.total)) < queue).astype(np.int64)[None, :]  # of equal moments, these come before
-        covered = end * self.share[None, :] - (1 - first)
-        whole = covered // (self.share[queue] * self.grain)[None, :] * self.grain[None, :]
-        done = self.total[None, :] * self.share[queue] <= covered
-        served = np.where(done, self.total[None, :], np.minimum(whole, self.total // self.grain * self.grain))
-        served[:, queue] = grains * self.grain[queue]
-        return served.sum(axis=1)
-
-    def pieces(self, queue: int, start: int, tokens: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """A document's pieces: first id in the document, length, sequence, offset."""
-        g = int(self.grain[queue])
-        k = np.arange(start // g, (start + tokens - 1) // g + 1)
-        lo, hi = np.maximum(k * g, start), np.minimum((k + 1) * g, start + tokens)
-        at = self.place(queue, k) + lo - k * g
-        edges = self.cuts(at, hi - lo)
-        which = np.searchsorted(at, edges, side="right") - 1
-        first = edges - at[which] + lo[which] - start
-        sequence, begin = self.sequence_of(edges)
-        end = np.minimum(at[which] + (hi - lo)[which], np.append(edges[1:], np.iinfo(np.int64).max))
-        return first, end - edges, sequence, edges - begin
-
-    def cuts(self, at: np.ndarray, size: np.ndarray) -> np.ndarray:
-        """Starts of grains, and of the sequences that begin inside them, in order."""
-        inside = [at]
-        full = self.packed // self.length
-        lo, hi = at // self.length + 1, (at + size - 1) // self.length
-        for i in np.flatnonzero(hi >= lo):
-            inside.append(np.arange(lo[i], min(hi[i], full) + 1) * self.length)
-        for b in self.tail():
-            if ((at < b) & (b < at + size)).any():
-                inside.append(np.array([b]))
-        return np.unique(np.concatenate(inside))
+    def place(self, queue: np.ndarray, grain: np.ndarray) -> np.ndarray:
+        """Ids packed before each (queue, number of the grain)."""
+        out = np.zeros(len(queue), np.int64)
+        step = max(1, CELLS // max(1, len(self.total)))
+        every = np.arange(len(self.total))[None, :]
+        for i in range(0, len(queue), step):
+            q, k = queue[i:i + step, None], grain[i:i + step, None]
+            end = np.minimum((k + 1) * self.grain[q], self.total[q])
+            covered = end * self.share[None, :] - (every > q)  # of equal moments, lower queues come first
+            whole = covered // (self.share[q] * self.grain[None, :]) * self.grain[None, :]
+            done = self.total[None, :] * self.share[q] <= covered
+            served = np.where(done, self.total[None, :], np.minimum(whole, self.total // self.grain * self.grain))
+            out[i:i + step] = np.where(every == q, k * self.grain[q], served).sum(axis=1)
+        return out
+
+    def pieces(self, queue: np.ndarray, start: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, ...]:
+        """The pieces of documents that stand at ``start`` in their queues: the document's row,
+        first id in the document, length, sequence, offset; by document and first id."""
+        grain = self.grain[queue]
+        k = start // grain
+        n = (start + tokens - 1) // grain - k + 1
+        row = np.repeat(np.arange(len(start)), n)
+        k = k[row] + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+        lo = np.maximum(k * grain[row], start[row])
+        size = np.minimum((k + 1) * grain[row], (start + tokens)[row]) - lo
+        at = self.place(queue[row], k) + lo - k * grain[row]
+        first = lo - start[row]
+        out = []
+        while len(at):  # what does not end in its sequence goes on in the next one
+            sequence, begin, end = self.sequence_of(at)
+            fits = np.minimum(size, end - at)
+            out.append((row, first, fits, sequence, at - begin))
+            more = size > fits
+            row, first, at, size = row[more], (first + fits)[more], (at + fits)[more], (size - fits)[more]
+        cols = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [np.zeros(0, np.int64)] * 5
+        order = np.lexsort((cols[1], cols[0]))
+        return tuple(c[order] for c in cols)
 
     def tail(self) -> list[int]:
         """Where the sequences of powers of two begin that hold the rest."""
@@ -228,17 +243,18 @@ class Queues:
             rest -= 1 << (rest.bit_length() - 1)
         return out
 
-    def sequence_of(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Sequence of each place of the stream, and that sequence's first place."""
+    def sequence_of(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Sequence of each place of the stream, and that sequence's first place and end."""
         full = self.packed // self.length
         sequence = places // self.length
         begin = sequence * self.length
-        tail = np.array(self.tail(), np.int64)
+        end = begin + self.length
         late = sequence >= full
         if late.any():
+            tail = np.array([*self.tail(), self.packed], np.int64)
             i = np.searchsorted(tail, places[late], side="right") - 1
-            sequence[late], begin[late] = full + i, tail[i]
-        return sequence, begin
+            sequence[late], begin[late], end[late] = full + i, tail[i], tail[i + 1]
+        return sequence, begin, end
 
 
 def place_rows(encoded: DataFrame, targets: dict | None, length: int, grain: int) -> tuple[DataFrame, Queues]:
@@ -274,6 +290,15 @@ def place_rows(encoded: DataFrame, targets: dict | None, length: int, grain: int
                                             "width", "ids"), queues
 
 
+def wide_ids(column: pa.Array, width: np.ndarray) -> np.ndarray:
+    """The ids of all rows, one after the other, as 32-bit numbers."""
+    for w in (2, 4):
+        if (width == w).all():
+            return np.frombuffer(b"".join(column.to_pylist()), f"<u{w}").astype("<u4")
+    return np.concatenate([np.frombuffer(x, f"<u{w}").astype("<u4") for x, w in zip(column.to_pylist(), width, strict=True)] or
+                          [np.zeros(0, "<u4")])
+
+
 #: Key of the shared queue of small sources in ``targets``.
 REST = "*"
 
@@ -290,21 +315,17 @@ def pack(docs: DataFrame, path: str | None = None, targets: dict | None = None,
     placed, queues = place_rows(materialize(encode(docs, path), "packing-ids"), targets, length, grain)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, 500):
-            out: list[list] = [[] for _ in range(8)]
-            for doc, source, queue, start, tokens, width, ids in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                wide = memoryview(np.frombuffer(ids, f"<u{width}").astype("<u4").tobytes())
-                first, size, sequence, offset = (x.tolist() for x in queues.pieces(queue, start, tokens))
-                for i, n in zip(first, size, strict=True):
-                    out[4].append(bytes(wide[4 * i:4 * (i + n)]))
-                m = len(first)
-                for c, v in zip((0, 1, 5), (doc, source, tokens), strict=True):
-                    out[c] += [v] * m
-                for c, v in zip((2, 3, 6, 7), (first, size, sequence, offset), strict=True):
-                    out[c] += v
-            kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
+        for b in slices(batches, 200):
+            b = pa.RecordBatch.from_arrays([pa.concat_arrays([c]) for c in b.columns], names=b.schema.names)
+            queue, start, tokens = (b.column(c).to_numpy().astype(np.int64) for c in ("queue", "start", "tokens"))
+            row, first, size, sequence, offset = queues.pieces(queue, start, tokens)
+            # by row and first id, the pieces' ids stand in the order of the column
+            ids = wide_ids(b.column("ids"), b.column("width").to_numpy())
+            ends = np.concatenate([[0], np.cumsum(4 * size)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(out, kinds, strict=True)],
+                [b.column("doc_id").take(pa.array(row)), b.column("source").take(pa.array(row)), pa.array(first), pa.array(size),
+                 pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(ends), pa.py_buffer(ids)]),
+                 pa.array(tokens[row]), pa.array(sequence), pa.array(offset)],
                 names=["doc_id", "source", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"])
 
     return placed.mapInArrow(run, schema)

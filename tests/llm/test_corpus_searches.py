@@ -287,14 +287,14 @@ def test_places_are_those_of_a_sequential_round_robin():
         totals = [rng.choice((1, 5, 64, 1000, rng.randrange(1, 5000))) for _ in range(n)]
         targets = [rng.choice((1, 1, 2, 7)) for _ in range(n)] if rng.random() < 0.5 else totals
         q = packing.Queues(totals, list(map(float, targets)), 256, rng.choice((1, 16, 100)))
-        at = 0
+        at, whole = 0, sum(totals) // 256
         for k, start, size in serve(totals, q.share.tolist(), q.grain.tolist()):
-            assert q.place(k, np.array([start // int(q.grain[k])])).tolist() == [at]
-            first, length, sequence, offset = q.pieces(k, start, size)
-            for i, m, s, o in zip(first, length, sequence, offset):
-                begin = s * 256 if s < sum(totals) // 256 else q.tail()[s - sum(totals) // 256]
+            assert q.place(np.array([k]), np.array([start // int(q.grain[k])])).tolist() == [at]
+            got = q.pieces(np.array([k]), np.array([start]), np.array([size]))
+            for _, i, m, s, o in zip(*got):
+                begin = s * 256 if s < whole else q.tail()[s - whole]
                 assert begin + o == at + i and m > 0
-            assert length.sum() == size
+            assert got[2].sum() == size
             at += size
 
 
