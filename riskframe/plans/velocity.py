@@ -34,16 +34,15 @@ def w01_sliding_count_sum(spark, sf_dir):
 
 
 def _w3_sql() -> str:
+    """In whole cents: n * q - s * s is exact, so equal amounts have a deviation of 0."""
     fr = _frame(30 * 86400)
+    mean, std = "(s::DOUBLE / (n * 100)::DOUBLE)", "sqrt((n * q - s * s)::DOUBLE / (n * n * 10000)::DOUBLE)"
     return f"""
-SELECT id, n AS history_count,
-  CASE WHEN n > 0 THEN {R('s / n')} END AS history_mean,
-  CASE WHEN n > 0 THEN {R('sqrt(greatest(q / n - (s / n) * (s / n), 0.0::DOUBLE))')} END AS history_std,
-  CASE WHEN n > 0 THEN {R('("Amount" - s / n) / (sqrt(greatest(q / n - (s / n) * (s / n), 0.0::DOUBLE)) + 0.000000001::DOUBLE)')} END AS velocity_ratio
-FROM (SELECT id, "Amount", (count(*) OVER {fr}) - 1 AS n,
-        ((sum("Amount"::DECIMAL(18,2)) OVER {fr}) - "Amount"::DECIMAL(18,2))::DOUBLE AS s,
-        ((sum(("Amount"::DECIMAL(18,2)) * ("Amount"::DECIMAL(18,2))) OVER {fr}) - ("Amount"::DECIMAL(18,2)) * ("Amount"::DECIMAL(18,2)))::DOUBLE AS q
-      FROM {TX})"""
+SELECT id, n AS history_count, CASE WHEN n > 0 THEN {R(mean)} END AS history_mean,
+  CASE WHEN n > 0 THEN {R(std)} END AS history_std,
+  CASE WHEN n > 0 THEN {R(f'("Amount" - {mean}) / ({std} + 0.000000001::DOUBLE)')} END AS velocity_ratio
+FROM (SELECT id, "Amount", (count(*) OVER {fr}) - 1 AS n, (sum(c) OVER {fr}) - c AS s, (sum(c * c) OVER {fr}) - c * c AS q
+      FROM (SELECT *, CAST("Amount"::DECIMAL(18,2) * 100 AS HUGEINT) AS c FROM {TX}))"""
 
 
 @register("w03_velocity_ratio", _w3_sql())

@@ -39,6 +39,85 @@ def test_sliding_stats_equal_range_window(spark):
     assert j.count() == 3000 and bad.count() == 0
 
 
+def _frames_of(rows, seconds):
+    """(count, exact sum, mean and deviation without the row itself) by brute force."""
+    from fractions import Fraction
+    out = {}
+    for i, e, t, a in rows:
+        own = [(j, Fraction(str(b or 0))) for j, f, u, b in rows
+               if f == e and (u is None and t is None or u is not None and t is not None and t - dt.timedelta(seconds=seconds) <= u <= t)]
+        rest = [b for j, b in own if j != i]
+        mean = sum(rest) / len(rest) if rest else None
+        std = float(sum((b - mean) ** 2 for b in rest) / len(rest)) ** 0.5 if rest else None
+        out[i] = (len(own), float(sum(b for _, b in own)), None if mean is None else float(mean), std)
+    return out
+
+
+def _near(x, y, tolerance):
+    return (x is None) == (y is None) and (x is None or abs(x - y) <= tolerance * max(1.0, abs(y)))
+
+
+def test_both_ways_of_sliding_stats_match_brute_force(spark):
+    rng = np.random.default_rng(4)
+    base = dt.datetime(2024, 1, 1)
+    rows = []
+    for i in range(500):
+        e = [None, "hot", "hot", "x", ""][rng.integers(0, 5)]
+        t = None if rng.uniform() < 0.03 else base + dt.timedelta(seconds=int(rng.integers(0, 40)) * 300, microseconds=int(rng.integers(0, 2)))
+        rows.append((i, e, t, None if rng.uniform() < 0.1 else float(round(rng.normal(0, 100), 2))))
+    df = spark.createDataFrame(rows, "id long, entity string, ts timestamp_ntz, Amount double").repartition(5)
+    windows = {"a": 600, "b": 3600, "c": 7200}
+    want = {n: _frames_of(rows, s) for n, s in windows.items()}
+    for hot_rows in (None, 20):  # 20: "hot" has more in a block, and goes the other way
+        got = VE.sliding_stats(df, "entity", "ts", "id", "Amount", windows, moments=True, hot_rows=hot_rows).collect()
+        assert len(got) == len(rows)
+        for r in got:
+            if hot_rows and r.ts is None:
+                continue  # rows without a time: only the block way makes them peers
+            for n in windows:
+                count, total, mean, std = want[n][r.id]
+                assert r[f"{n}_count"] == count and float(r[f"{n}_sum"]) == total
+                assert _near(r[f"{n}_mean"], mean, 1e-9) and _near(r[f"{n}_std"], std, 1e-6)
+
+
+def test_velocity_ratio_is_stable_for_large_amounts(spark):
+    base = dt.datetime(2024, 1, 1)
+    noise = [0.0, 0.5, 0.25, 0.75, 0.5, 0.0, 1.0, 0.25]
+    rows = [(i, 7, base + dt.timedelta(hours=i), 1e9 + x) for i, x in enumerate(noise)]
+    rows += [(100 + i, 8, base + dt.timedelta(hours=i), 1e12) for i in range(5)]  # no spread at all
+    df = spark.createDataFrame(rows, "id long, entity long, ts timestamp_ntz, Amount double")
+    for hot in (VE.HOT_ROWS, 2):
+        before, VE.HOT_ROWS = VE.HOT_ROWS, hot
+        try:
+            out = {r.id: r for r in VE.velocity_ratio(df).collect()}
+        finally:
+            VE.HOT_ROWS = before
+        for i in range(1, len(noise)):
+            past = np.array(noise[:i])
+            assert abs(out[i].history_mean - 1e9 - past.mean()) < 1e-6 and abs(out[i].history_std - past.std()) < 1e-9
+        assert all(out[100 + i].history_std == 0 and out[100 + i].velocity_ratio == 0 for i in range(1, 5))
+        assert out[0].history_std is None and out[0].velocity_ratio is None
+
+
+def test_sliding_stats_shuffle_two_rows_an_event(spark):
+    df = _events(spark, 200)
+    out = VE.sliding_features(df)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan and plan.count("Generate explode") == 1
+    assert "MapInArrow" in plan
+
+
+def test_groups_across_batches_stay_whole():
+    import pyarrow as pa
+    keys = [None, None, 1, 1, 1, 2, 3, 3, 3, 3, 4]
+    b = pa.record_batch([pa.array(keys), pa.array(range(len(keys)))], names=["k", "v"])
+    for size in range(1, 12):
+        parts = list(VE.whole_groups((b.slice(i, size) for i in range(0, len(keys), size)), ("k",)))
+        assert [x for t in parts for x in t["v"].to_pylist()] == list(range(len(keys)))
+        groups = [(k, t["_g"][i].as_py(), n) for n, t in enumerate(parts) for i, k in enumerate(t["k"].to_pylist())]
+        assert len({(g, n) for _, g, n in groups}) == 5 and len(set(groups)) == 5
+
+
 def test_previous_event_gap(spark):
     df = _events(spark, n=500)
     got = {r["id"]: r["seconds_since_prev"] for r in VE.previous_event(df).collect()}
