@@ -3,8 +3,9 @@
 Spark's exact ``percentile`` keeps a value->count map per group and merges it
 in one task, which does not survive billions of distinct doubles. Here rows
 are counted per (group, range bucket); the counts say which bucket holds each
-of the two ranks around a requested probability, and only the rows of those
-buckets are sorted. All other rows are read and counted, never shuffled.
+of the two ranks around a requested probability, and only the distinct values of those
+buckets are sorted, with their counts: a value that a third of all rows share is one
+row. All other rows are read and counted, never shuffled.
 """
 
 from __future__ import annotations
@@ -53,10 +54,12 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], group_col
     match = F.col(BUCKET) == F.col("_pb")
     for g in groups:
         match = match & F.col(g).eqNullSafe(F.col(f"_g_{g}"))
-    near = base.join(wanted, match, "inner")
-    order = Window.partitionBy(*groups, BUCKET).orderBy("_v")
-    placed = near.withColumn("_i", F.row_number().over(order).cast("bigint"))
-    joined = placed.select(*groups, "_v", "_i", F.filter("_picks", lambda x: x["at"] == F.col("_i")).alias("_picks")).where(
+    # a repeated value is one row with its count before it is shuffled
+    near = base.join(wanted, match, "left_semi").groupBy(*groups, BUCKET, "_v").agg(F.count(F.lit(1)).alias("_m"))
+    order = Window.partitionBy(*groups, BUCKET).orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = near.withColumn("_i", F.sum("_m").over(order)).join(wanted, match, "inner")
+    here = F.filter("_picks", lambda x: (x["at"] <= F.col("_i")) & (x["at"] > F.col("_i") - F.col("_m")))
+    joined = placed.select(*groups, "_v", here.alias("_picks")).where(
         F.size("_picks") > 0).select(*groups, "_v", F.explode("_picks").alias("_p")).select(*groups, "_v", "_p.*")
     vals = joined.groupBy(*groups, "q_index", "prob", "_t").agg(
         F.max(F.when(F.col("side") == 0, F.col("_v"))).alias("_a"),

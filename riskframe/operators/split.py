@@ -2,9 +2,9 @@
 
 Exact quotas: per-class sizes follow the largest-remainder allocation used
 by stratified shuffle splitting (train drawn first, the rest is test);
-within a class, rows are ordered by a seeded md5 key. Ranks come from the
-distributed running sums with fixed uniform edges on the 60-bit hash, so a
-class holding almost every row is still ranked by many tasks.
+within a class, rows are ordered by a seeded md5 key. Where each part ends in that
+order is found by counting (:mod:`selection`), and rows are compared with the ends: no row is
+ranked or shuffled, whatever the classes' sizes.
 """
 
 from __future__ import annotations
@@ -19,9 +19,8 @@ from pyspark.sql import functions as F
 
 from .. import params as P
 from ..functions.columns import dlit, hash_key60, rnd
-from .ordered import default_buckets, running_sums
+from .selection import histogram, label_bands
 
-HASH_SPACE = float(2 ** 60)
 MAX_CLASSES = 10_000
 
 
@@ -52,16 +51,6 @@ def split_quotas(counts: dict, test_size: float, val_size: float) -> dict:
     return {c: (train[c], trainval[c] - train[c], counts[c] - trainval[c]) for c in counts}
 
 
-def class_rank(df: DataFrame, key: str, target: str, seed: int, n_buckets: int | None = None) -> DataFrame:
-    """1-based rank of each row within its class in seeded-hash order."""
-    h = df.withColumn("_h", hash_key60(key, seed))
-    if n_buckets is None:
-        n_buckets = default_buckets(df.sparkSession)
-    edges = [i * HASH_SPACE / n_buckets for i in range(1, n_buckets)]
-    r = running_sums(h, ["_h", key], {"rank": F.lit(1).cast("bigint")}, partition_cols=[target], edges=edges)
-    return r.withColumnRenamed("cum_rank", "_rank")
-
-
 def class_counts(df: DataFrame, target: str) -> dict:
     """Rows per class (one small aggregate; bounded by the number of classes)."""
     rows = df.groupBy(target).count().limit(MAX_CLASSES + 1).collect()
@@ -84,19 +73,13 @@ def preflight(counts: dict, min_positives: int = 10) -> None:
 def stratified_split(df: DataFrame, key: str = "id", target: str = P.TARGET,
                      params: P.SplitParams = P.SplitParams(), check: bool = True) -> DataFrame:
     """Adds ``split`` in {'train','validation','test'} with exact per-class quotas."""
-    counts = class_counts(df, target)
+    counted = histogram(df, key, target, params.seed)
+    counts = {c: sum(b.values()) for c, b in counted.items()}
     if check:
         preflight(counts)
     quotas = split_quotas(counts, params.test_size, params.val_size)
-    ranked = class_rank(df, key, target, params.seed)
-    tr = F.lit(None).cast("bigint")
-    tv = F.lit(None).cast("bigint")
-    for c, (a, b, _) in quotas.items():
-        tr = F.when(F.col(target) == F.lit(c), F.lit(a)).otherwise(tr)
-        tv = F.when(F.col(target) == F.lit(c), F.lit(a + b)).otherwise(tv)
-    split = (F.when(F.col("_rank") <= tr, F.lit("train"))
-             .when(F.col("_rank") <= tv, F.lit("validation")).otherwise(F.lit("test")))
-    return ranked.withColumn("split", split).drop("_h", "_rank")
+    bands = {c: list(zip(("train", "validation", "test"), q, strict=True)) for c, q in quotas.items()}
+    return label_bands(df, key, target, params.seed, bands, "split", counted)
 
 
 # --------------------------------------------------------------------------
@@ -224,16 +207,13 @@ def union_cohorts(df: DataFrame, n_pos: int = 12, n_neg: int = 8, key: str = "id
 
 def stratified_sample(df: DataFrame, n: int, key: str = "id", target: str = P.TARGET, seed: int = 42) -> DataFrame:
     """``max(1, int(n * frac_pos))`` positives + the rest negatives, chosen
-    by seeded-hash rank within each class (exact sizes)."""
-    counts = class_counts(df, target)
+    in seeded-hash order within each class (exact sizes)."""
+    counted = histogram(df, key, target, seed)
+    counts = {c: sum(b.values()) for c, b in counted.items()}
     total = sum(counts.values())
     n_pos = max(1, int(n * counts.get(1, 0) / total)) if total else 0
-    quotas = {1: min(n_pos, counts.get(1, 0)), 0: min(n - n_pos, counts.get(0, 0))}
-    ranked = class_rank(df, key, target, seed)
-    lim = F.lit(0).cast("bigint")
-    for c, q in quotas.items():
-        lim = F.when(F.col(target) == F.lit(c), F.lit(q)).otherwise(lim)
-    return ranked.filter(F.col("_rank") <= lim).drop("_h", "_rank")
+    bands = {1: [("in", min(n_pos, counts.get(1, 0)))], 0: [("in", min(n - n_pos, counts.get(0, 0)))]}
+    return label_bands(df, key, target, seed, bands, "_in", counted).where(F.col("_in").isNotNull()).drop("_in")
 
 
 def leakage(split_df: DataFrame, key: str = "id", a: str = "train", b: str = "test") -> DataFrame:
