@@ -15,8 +15,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import params as P
 from ..functions import columns as C
@@ -84,10 +87,15 @@ def psi(ref: DataFrame, live: DataFrame, n_bins: int = 10, outer: tuple[float, f
     grid = edges.select("feature", F.explode(F.sequence(F.lit(0), F.lit(n_bins - 1))).alias("bin"))
     full = grid.join(counts(ref, "n_ref"), ["feature", "bin"], "left") \
         .join(counts(live, "n_live"), ["feature", "bin"], "left").na.fill(0, ["n_ref", "n_live"])
-    sm = dlit(SMOOTH)
     per = full.groupBy("feature").agg(
         F.sum("n_ref").alias("tot_ref"), F.sum("n_live").alias("tot_live"),
         F.collect_list(F.struct("bin", "n_ref", "n_live")).alias("bins"))
+    return psi_of_bins(per, n_bins, status_labels, min_rows)
+
+
+def psi_of_bins(per: DataFrame, n_bins: int = 10, status_labels: Sequence[str] = P.PSI_STATUS, min_rows: int = 0) -> DataFrame:
+    """PSI of (feature, tot_ref, tot_live, bins array of (bin, n_ref, n_live))."""
+    sm = dlit(SMOOTH)
     denom_r = F.col("tot_ref") + dlit(SMOOTH * n_bins)
     denom_a = F.col("tot_live") + dlit(SMOOTH * n_bins)
 
@@ -111,10 +119,15 @@ def ecdf_distances(ref: DataFrame, live: DataFrame, n_buckets: int | None = None
         live.select("feature", "value", F.lit(0).alias("_r")))
     g = both.groupBy("feature", "value").agg(F.count_if(F.col("_r") == 1).alias("c_ref"),
                                              F.count_if(F.col("_r") == 0).alias("c_live"))
+    return distances_of_counts(g, ref.groupBy("feature").agg(F.stddev_pop("value").alias("std_ref")), n_buckets)
+
+
+def distances_of_counts(g: DataFrame, stats: DataFrame, n_buckets: int | None = None) -> DataFrame:
+    """The distances of (feature, value, c_ref, c_live), values distinct within a feature;
+    ``stats`` has the reference's ``std_ref`` per feature."""
     rs = running_sums(g, ["value"], {"ref": "c_ref", "live": "c_live"}, partition_cols=["feature"],
                       n_buckets=n_buckets, with_next=True)
     tot = g.groupBy("feature").agg(F.sum("c_ref").alias("n_ref"), F.sum("c_live").alias("n_live"))
-    stats = ref.groupBy("feature").agg(F.stddev_pop("value").alias("std_ref"))
     x = rs.join(tot, "feature").select(
         "feature", "value", "next_value",
         F.abs(F.col("cum_ref") / F.col("n_ref").cast("double") - F.col("cum_live") / F.col("n_live").cast("double"))
@@ -131,8 +144,7 @@ def ecdf_distances(ref: DataFrame, live: DataFrame, n_buckets: int | None = None
 
 def ks_pvalue(d: Column, n: Column, m: Column, terms: int = 100) -> Column:
     """Asymptotic two-sided Kolmogorov p-value with the effective sample
-    size correction: Q_KS((sqrt(ne) + 0.12 + 0.11/sqrt(ne)) D), ne = nm/(n+m).
-    An approximation of the library's exact small-sample test."""
+    size correction: Q_KS((sqrt(ne) + 0.12 + 0.11/sqrt(ne)) D), ne = nm/(n+m)."""
     en = F.sqrt(n.cast("double") * m.cast("double") / (n + m).cast("double"))
     lam = (en + dlit(0.12) + dlit(0.11) / en) * d
     series = F.aggregate(F.sequence(F.lit(1), F.lit(terms)), dlit(0.0),
@@ -142,6 +154,44 @@ def ks_pvalue(d: Column, n: Column, m: Column, terms: int = 100) -> Column:
     return F.when(lam < dlit(1e-3), dlit(1.0)).otherwise(F.least(dlit(1.0), F.greatest(dlit(0.0), p)))
 
 
+#: Rows of the larger cohort up to which the p-value is exact.
+EXACT_ROWS = 10_000
+
+
+def exact_ks_tail(d: float, n: int, m: int) -> float:
+    """P(D >= d) of two samples of n and m values without ties under one distribution, exactly:
+    the share of the lattice paths from (0, 0) to (n, m) that come to a point with
+    |x / n - y / m| >= d. Paths are walked step by step as a chain of drawing without
+    replacement, and what leaves the band is added up, so that small tails keep their digits."""
+    reach = round(d * n * m)
+    if reach <= 0:
+        return 1.0
+    x = np.arange(n + 1)
+    inside, out = np.zeros(n + 1), 0.0
+    inside[0] = 1.0
+    for k in range(n + m):
+        y, left = k - x, n + m - k
+        step = inside * np.clip(m - y, 0, None) / left
+        step[1:] += inside[:-1] * (n - x[:-1]) / left
+        over = np.abs(x * m - (y + 1) * n) >= reach
+        out += float(step[over].sum())
+        step[over] = 0.0
+        inside = step
+    return min(1.0, out)
+
+
+def _exact_tails(d: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
+    """One number for each of a few features; NULL above EXACT_ROWS."""
+    return pd.Series([None if a is None or a != a or max(b, c) > EXACT_ROWS or min(b, c) < 1 else exact_ks_tail(a, int(b), int(c))
+                      for a, b, c in zip(d, n, m, strict=True)], dtype="float64")
+
+
+def ks_two_sample_pvalue(d: Column, n: Column, m: Column) -> Column:
+    """The exact two-sided p-value up to EXACT_ROWS rows in the larger cohort, the
+    Kolmogorov series above; NULL without a statistic or with an empty cohort."""
+    return F.when(d.isNotNull() & (n > 0) & (m > 0), F.coalesce(F.pandas_udf(_exact_tails, T.DoubleType())(d, n, m), ks_pvalue(d, n, m)))
+
+
 def moments(ref: DataFrame, live: DataFrame) -> DataFrame:
     """Reference and live mean / population std per feature (3 places)."""
     r = ref.groupBy("feature").agg(F.avg("value").alias("ref_mean"), F.stddev_pop("value").alias("ref_std"))
@@ -160,7 +210,7 @@ def feature_drift(ref_df: DataFrame, live_df: DataFrame, features: Sequence[str]
     e = ecdf_distances(ref, live, n_buckets)
     mo = moments(ref, live)
     out = p.join(e.drop("n_ref", "n_live"), "feature").join(mo, "feature")
-    return out.withColumn("p_value", ks_pvalue(F.col("ks_statistic"), F.col("tot_ref"), F.col("tot_live")))
+    return out.withColumn("p_value", ks_two_sample_pvalue(F.col("ks_statistic"), F.col("tot_ref"), F.col("tot_live")))
 
 
 def overall_status(drift: DataFrame) -> DataFrame:

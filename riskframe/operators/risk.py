@@ -8,12 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import params as P
 from ..functions import columns as C
 from ..functions.columns import darray, dlit
+from .ordered import BUCKET, assign_bucket, default_buckets, range_edges
 
 
 def quarantine_probability(df: DataFrame, p: str = "p") -> tuple[DataFrame, DataFrame]:
@@ -102,3 +103,37 @@ def policy_as_of(df: DataFrame, ts: str, changes: Sequence[tuple[str, float]]) -
         "policy_index": idx,
         "policy_threshold": F.when(idx > 0, F.element_at(arr, F.greatest(idx, F.lit(1)))),
     })
+
+
+def policy_as_of_table(df: DataFrame, policies: DataFrame, key: str = "policy_key", ts: str = "ts",
+                       effective: str = "effective_from", order: str = "policy_id", threshold: str = "threshold") -> DataFrame:
+    """Each row of ``df`` with the threshold that the history table ``policies`` had put in
+    force for its key at its time (``policy_threshold``, ``policy_from``).
+
+    Rows and changes are put in one order of time per key and the last change is carried
+    forward; the order is cut into ranges of time, each with what was in force when it began,
+    so that a key with a third of all rows is spread over many tasks. Of several changes at
+    one instant the one of the greatest ``order`` counts. Changes without a time or a valid
+    threshold (R7) are no changes; a row without a time, or before the first change of its
+    key, gets NULL (the caller's default applies); NULL keys have their own history."""
+    t = F.unix_micros(F.col(ts).cast("timestamp"))
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    events = df.select(F.col(key).alias("_k"), t.alias("_t"), F.lit(1).alias("_kind"), F.lit(0).cast("long").alias("_o"),
+                       F.lit(None).cast("double").alias("_p"), row.alias("_row"))
+    value, since = F.col(threshold).cast("double"), F.unix_micros(F.col(effective).cast("timestamp"))
+    changes = policies.where(since.isNotNull() & (value >= dlit(0.0)) & (value <= dlit(1.0))).select(
+        F.col(key).alias("_k"), since.alias("_t"), F.lit(0).alias("_kind"), F.col(order).cast("long").alias("_o"), value.alias("_p"),
+        F.lit(None).cast(events.schema["_row"].dataType).alias("_row"))
+    edges = range_edges(events, "_t", default_buckets(df.sparkSession))
+    both = assign_bucket(events.unionByName(changes), "_t", edges)
+    change = F.when(F.col("_kind") == 0, F.struct("_t", "_o", "_p"))
+    # the last change of each range, then of all ranges before it: at most one row per key and range
+    per = both.groupBy("_k", BUCKET).agg(F.max(change).alias("_last"))
+    earlier = Window.partitionBy("_k").orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    per = per.select(F.col("_k").alias("_pk"), F.col(BUCKET).alias("_pb"), F.last("_last", ignorenulls=True).over(earlier).alias("_begin"))
+    so_far = Window.partitionBy("_k", BUCKET).orderBy("_t", "_kind", "_o").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = both.withColumn("_now", F.last(change, ignorenulls=True).over(so_far)).where(F.col("_kind") == 1)
+    out = placed.join(per, F.col("_k").eqNullSafe(F.col("_pk")) & (F.col(BUCKET) == F.col("_pb")))
+    held = F.when(F.col("_t").isNotNull(), F.coalesce("_now", "_begin"))
+    return out.select(*[F.col(f"_row.`{c}`").alias(c) for c in df.columns], held["_p"].alias("policy_threshold"),
+                      F.timestamp_micros(held["_t"]).alias("policy_from"))

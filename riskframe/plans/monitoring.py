@@ -7,6 +7,8 @@ last-ulp interpolation differences cannot move a row across an edge.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,9 +17,11 @@ from ..functions import columns as C
 from ..functions.columns import sig
 from ..operators import distribution as DS
 from ..operators import drift as DR
+from ..operators import profile as PR
 from ..operators import queue as Q
 from ..operators import risk as RK
 from ..operators import telemetry as TL
+from ..session import scratch_path
 from ..sources.tables import card_transactions, transactions
 from .registry import CARD, TX, R, S, register
 
@@ -320,6 +324,60 @@ def l05_rolling_drift(spark, sf_dir):
     return out.select("feature", "tot_ref", "tot_live", "psi_score", "status")
 
 
+@register("l05_profile_drift", f"""
+WITH psi AS ({_psi_sql(FEAT_REF, _long_sql(f"(SELECT * FROM {CARD} ORDER BY ts DESC, id DESC LIMIT 250)", FEATS, "true"), "'-inf'::DOUBLE", "'inf'::DOUBLE")}),
+far AS ({_ecdf_sql(FEAT_REF, _long_sql(f"(SELECT * FROM {CARD} ORDER BY ts DESC, id DESC LIMIT 250)", FEATS, "true"))}),
+r AS (SELECT feature, avg(value) AS m, stddev_pop(value) AS s FROM ({FEAT_REF}) GROUP BY 1),
+l AS (SELECT feature, avg(value) AS m, stddev_pop(value) AS s
+      FROM ({_long_sql(f"(SELECT * FROM {CARD} ORDER BY ts DESC, id DESC LIMIT 250)", FEATS, "true")}) GROUP BY 1)
+SELECT psi.*, ks_statistic, wasserstein_distance, {S('r.m')} AS ref_mean, {S('r.s')} AS ref_std, {S('l.m')} AS stream_mean, {S('l.s')} AS stream_std
+FROM psi JOIN far USING (feature) JOIN r USING (feature) JOIN l USING (feature)""", digits=None)
+def l05_profile_drift(spark, sf_dir):
+    """The newest 250 rows against the stored profile of the reference cohort: all drift figures per feature."""
+    ct = card_transactions(spark, sf_dir)
+    root = scratch_path(spark, f"profile/{uuid.uuid4().hex[:12]}")
+    PR.save_profile(_cohorts(ct)[0], root, 1, FEATS, edge_digits=9)
+    out = PR.profile_drift(TL.newest(ct, P.DRIFT_WINDOW), root)
+    return out.select("feature", "tot_ref", "tot_live", "psi_score", "status",
+                      *[sig(c).alias(c) for c in ("ks_statistic", "wasserstein_distance", "ref_mean", "ref_std", "stream_mean", "stream_std")])
+
+
+def _exact_ks_sql(ref: str, live: str) -> str:
+    """The share of lattice paths that reach the statistic, walked step by step."""
+    return f"""
+WITH RECURSIVE ref AS ({ref}), live AS ({live}),
+u AS (SELECT feature, value, 1 AS r FROM ref UNION ALL SELECT feature, value, 0 FROM live),
+g AS (SELECT feature, value, count(*) FILTER (WHERE r = 1) AS cr, count(*) FILTER (WHERE r = 0) AS cl FROM u GROUP BY ALL),
+c AS (SELECT feature, sum(cr) OVER w AS fr, sum(cl) OVER w AS fl FROM g
+      WINDOW w AS (PARTITION BY feature ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+t AS (SELECT feature, sum(cr)::BIGINT AS n, sum(cl)::BIGINT AS m FROM g GROUP BY feature),
+k AS (SELECT feature, any_value(n) AS n, any_value(m) AS m, max(abs(fr * m - fl * n))::BIGINT AS reach FROM c JOIN t USING (feature) GROUP BY feature),
+walk(feature, s, x, p) AS (
+  SELECT feature, 0::BIGINT, 0::BIGINT, 1.0::DOUBLE FROM k
+  UNION ALL
+  SELECT feature, s, x, sum(p) FROM (
+    SELECT w.feature, w.s + 1 AS s, w.x + d.dx AS x, k.n, k.m, k.reach,
+      w.p * CASE WHEN d.dx = 1 THEN k.n - w.x ELSE k.m - (w.s - w.x) END / (k.n + k.m - w.s) AS p
+    FROM walk w JOIN k USING (feature), (VALUES (0), (1)) d(dx) WHERE w.s < k.n + k.m)
+  WHERE p > 0 AND abs(x * m - (s - x) * n) < reach GROUP BY feature, s, x)
+SELECT k.feature, {R('k.reach::DOUBLE / (k.n * k.m)')} AS ks_statistic, {R('1.0::DOUBLE - coalesce(w.p, 0.0::DOUBLE)')} AS p_value
+FROM k LEFT JOIN walk w ON w.feature = k.feature AND w.s = k.n + k.m"""
+
+
+def _window_of(first: int, last: int) -> str:
+    return (f"(SELECT * FROM (SELECT *, row_number() OVER (ORDER BY ts DESC, id DESC) AS rn FROM {CARD}) WHERE rn > {first} AND rn <= {last})")
+
+
+@register("d05_ks_exact", _exact_ks_sql(_long_sql(_window_of(250, 750), FEATS, "true"), _long_sql(_window_of(0, 250), FEATS, "true")))
+def d05_ks_exact(spark, sf_dir):
+    """Exact p-values of the newest 250 rows against the 500 before them."""
+    newest = TL.newest(card_transactions(spark, sf_dir), 750)
+    live = TL.newest(newest, P.DRIFT_WINDOW)
+    ref = newest.join(live.select("id"), "id", "left_anti")
+    e = DR.ecdf_distances(DR.to_long(ref, FEATS), DR.to_long(live, FEATS))
+    return e.select("feature", "ks_statistic", DR.ks_two_sample_pvalue(F.col("ks_statistic"), F.col("n_ref"), F.col("n_live")).alias("p_value"))
+
+
 @register("l06_history_distribution", f"""
 SELECT category, count, {R('count::DOUBLE / n * 100.0::DOUBLE', 2)} AS pct FROM (
   SELECT unnest(['low', 'medium', 'high']) AS category,

@@ -175,6 +175,27 @@ def r09_policy_as_of(spark, sf_dir):
                      C.decision("p", t).alias("decision"))
 
 
+# A policy history of five keys, from every 97th event.
+_HISTORY = f"(SELECT entity % 5 AS policy_key, id AS policy_id, ts AS effective_from, p2 AS threshold FROM {TX} WHERE id % 97 = 0)"
+
+
+@register("r09_policy_table", f"""
+WITH pol AS (SELECT policy_key, effective_from, arg_max(threshold, policy_id) AS threshold FROM {_HISTORY} GROUP BY ALL),
+e AS (SELECT *, entity % 5 AS policy_key FROM {TX})
+SELECT e.id, pol.threshold AS policy_threshold, pol.effective_from AS policy_from, coalesce(pol.threshold, 0.2773::DOUBLE) AS t_eff,
+  CASE WHEN greatest(0.0::DOUBLE, least(1.0::DOUBLE, e.p)) >= coalesce(pol.threshold, 0.2773::DOUBLE) THEN 'REVIEW' ELSE 'ACCEPT' END AS decision
+FROM e ASOF LEFT JOIN pol ON e.policy_key = pol.policy_key AND e.ts >= pol.effective_from""")
+def r09_policy_table(spark, sf_dir):
+    """Decisions under the thresholds that a policy history table had put in force."""
+    tx = transactions(spark, sf_dir).withColumn("policy_key", F.col("entity") % 5)
+    policies = tx.where(F.col("id") % 97 == 0).select(
+        "policy_key", F.col("id").alias("policy_id"), F.col("ts").alias("effective_from"), F.col("p2").alias("threshold"))
+    out = RK.policy_as_of_table(tx.select("id", "policy_key", "ts", "p"), policies)
+    t = RK.effective_threshold(F.lit(None), F.col("policy_threshold"))
+    return out.select("id", "policy_threshold", F.col("policy_from").cast("timestamp_ntz").alias("policy_from"), t.alias("t_eff"),
+                      C.decision("p", t).alias("decision"))
+
+
 @register("f14_rounding_rules", f"""
 SELECT id, {_score_sql('p')} AS score_half_up,
   CAST(round_even(("Amount" / 7.0::DOUBLE)::DOUBLE, 0) AS INTEGER) AS amount_half_even,

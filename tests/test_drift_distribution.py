@@ -1,6 +1,7 @@
 """Drift and distribution operators vs numpy brute force."""
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from riskframe.operators import distribution as DS
@@ -117,3 +118,58 @@ def test_quantiles_of_a_repeated_value_shuffle_counts(spark):
     plan = exact_quantiles(df, "v", probs, ["g"], n_buckets=64)._jdf.queryExecution().optimizedPlan().toString()
     below = plan[plan.index("Window [sum(_m"):]
     assert "count(1) AS _m" in below and "Window" not in below[10:below.index("count(1) AS _m")]
+
+
+def test_exact_ks_tail_is_the_share_of_orders():
+    from itertools import combinations
+    from riskframe.operators.drift import exact_ks_tail
+    for n, m in ((1, 1), (2, 3), (4, 4), (3, 7), (6, 5)):
+        tops = []
+        for first in combinations(range(n + m), n):  # every order of the pooled values is as likely
+            x = y = top = 0
+            for i in range(n + m):
+                x, y = (x + 1, y) if i in first else (x, y + 1)
+                top = max(top, abs(x * m - y * n))
+            tops.append(top)
+        for reach in sorted(set(tops)):
+            want = sum(t >= reach for t in tops) / len(tops)
+            assert abs(exact_ks_tail(reach / (n * m), n, m) - want) < 1e-12
+    # complete separation: 2 of C(n + m, n) orders, however small the share
+    from math import comb
+    assert abs(exact_ks_tail(1.0, 40, 30) / (2 / comb(70, 40)) - 1) < 1e-9
+    assert exact_ks_tail(0.0, 5, 5) == 1.0
+    assert 0.0 <= exact_ks_tail(0.02, 250, 5000) <= 1.0
+
+
+def test_p_value_changes_over_at_the_limit(spark):
+    rows = [(0.2, 40, 50), (0.2, 40, DR.EXACT_ROWS + 1), (None, 3, 3), (0.5, 0, 4)]
+    df = spark.createDataFrame(rows, "d double, n long, m long")
+    cols = [F.col(c) for c in "dnm"]
+    got = [r.p for r in df.select(DR.ks_two_sample_pvalue(*cols).alias("p")).collect()]
+    series = [r.p for r in df.where("n > 3").select(DR.ks_pvalue(*cols).alias("p")).collect()]
+    assert got[0] == pytest.approx(DR.exact_ks_tail(0.2, 40, 50)) and got[0] != series[0]
+    assert got[1] == series[1] and got[2:] == [None, None]
+
+
+def test_profiles_merge_and_compare_like_raw_references(spark, tmp_path):
+    from riskframe.operators import profile as PR
+    rng = np.random.default_rng(8)
+    feats = ["a", "b"]
+    ref = [(float(x), float(y) if y > -1 else None) for x, y in zip(rng.integers(0, 9, 600), rng.normal(0, 1, 600))]
+    live = [(float(x), float(y)) for x, y in zip(rng.integers(2, 12, 90), rng.normal(0.4, 2, 90))]
+    schema = "a double, b double"
+    make = lambda rows: spark.createDataFrame(rows, schema).repartition(3)
+    root = str(tmp_path)
+    PR.save_profile(make(ref[:200]), root, 1, feats)
+    PR.save_profile(make(ref[200:]), root, 2, feats)
+    PR.merge_profiles(spark, root, [1, 2], 3)
+    assert PR.latest_version(spark, root) == 3
+    got = {r.feature: r for r in PR.profile_drift(make(live), root).collect()}
+    want = {r.feature: r for r in DR.feature_drift(make(ref), make(live), feats).collect()}
+    assert set(got) == set(want) == {"a", "b"}
+    for f in feats:
+        for c in ("tot_ref", "tot_live", "psi_score", "status", "color", "ks_statistic", "wasserstein_distance", "p_value", "ref_mean",
+                  "ref_std", "stream_mean", "stream_std"):
+            assert got[f][c] == want[f][c] if isinstance(want[f][c], (str, int)) else abs(got[f][c] - want[f][c]) < 1e-9, (f, c)
+    few = PR.profile_drift(make(live[:2]), root).collect()  # fewer than three values: no row
+    assert few == []

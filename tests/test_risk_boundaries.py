@@ -85,3 +85,24 @@ def test_priority_half_even(spark):
     # 2 * (1 + log10(1)) * 1.25 = 2.5 -> 2 (half-even); 6 * 1.25 = 7.5 -> 8
     df = spark.createDataFrame([(2, 1.0, True), (6, 1.0, True)], "risk_score int, Amount double, is_flagged boolean")
     assert [r["priority_score"] for r in Q.prioritise(df).collect()] == [2, 8]
+
+
+def test_policy_history_table_against_a_scan(spark):
+    import datetime as dt
+    import random
+    rng = random.Random(3)
+    t0 = dt.datetime(2024, 1, 1)
+    at = lambda: None if rng.random() < 0.05 else t0 + dt.timedelta(minutes=rng.randrange(60))
+    keys = ["hot", "hot", "x", None, "never"]
+    events = [(i, rng.choice(keys), at(), {"k": 1}) for i in range(600)]
+    policies = [(j, rng.choice(keys[:4]), at(), rng.choice((0.1, 0.5, 0.9, None, 1.5, float("nan")))) for j in range(120)]
+    df = spark.createDataFrame(events, "id long, policy_key string, ts timestamp_ntz, extra map<string,int>").repartition(5)
+    pol = spark.createDataFrame(policies, "policy_id long, policy_key string, effective_from timestamp_ntz, threshold double")
+    got = {r.id: (r.policy_threshold, r.policy_from and r.policy_from.replace(tzinfo=None)) for r in RK.policy_as_of_table(df, pol).collect()}
+    assert len(got) == len(events)
+    for i, k, t, _ in events:
+        known = [(f, j, v) for j, key, f, v in policies
+                 if key == k and f is not None and t is not None and f <= t and v is not None and 0 <= v <= 1]
+        last = max(known, default=None)
+        assert got[i][0] == (last[2] if last else None), (i, k, t)
+    assert RK.policy_as_of_table(df, pol.limit(0)).where("policy_threshold IS NOT NULL").count() == 0
