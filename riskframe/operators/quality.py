@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from .. import params as P
 from ..functions.columns import dlit, rnd
+from ..session import materialize
 from .quantiles import exact_quantiles
 
 V_PATTERN = re.compile(r"^V[0-9]+$")
@@ -70,9 +71,13 @@ def missing_counts(df: DataFrame) -> DataFrame:
     cols = df.columns
     agg = df.agg(F.count(F.lit(1)).alias("_n"),
                  *[F.count_if(missing(df, c)).cast("bigint").alias(f"n_missing__{c}") for c in cols])
-    long = _long(agg.select("_n", *[f"n_missing__{c}" for c in cols]), cols, ["n_missing"])
-    n = agg.select("_n").scalar()
-    return long.withColumn("all_missing", (F.col("n_missing") == n) & (n > 0)).withColumnRenamed("feature", "column")
+    return _missing_rows(agg.withColumnRenamed("_n", "n_rows"), cols)
+
+
+def _missing_rows(counts: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """One row per column of the one-row frame (n_rows, n_missing__<column>)."""
+    flags = {f"all_missing__{c}": (F.col(f"n_missing__{c}") == F.col("n_rows")) & (F.col("n_rows") > 0) for c in cols}
+    return _long(counts.withColumns(flags), cols, ["n_missing", "all_missing"]).withColumnRenamed("feature", "column")
 
 
 def duplicate_rows(df: DataFrame) -> DataFrame:
@@ -112,7 +117,10 @@ def schema_table(df: DataFrame, target: str = P.TARGET, scale_cols: Sequence[str
 def class_balance(df: DataFrame, target: str = P.TARGET, band: tuple = (0.001, 0.005)) -> DataFrame:
     """Q8+Q9: fraud / legit counts, rate % (6 places), '1:k' ratio, rate-band flag."""
     y = F.col(target)
-    agg = df.agg(F.count(F.lit(1)).alias("n_rows"), F.coalesce(F.sum(y.cast("bigint")), F.lit(0)).alias("n_fraud"))
+    return _balance(df.agg(F.count(F.lit(1)).alias("n_rows"), F.coalesce(F.sum(y.cast("bigint")), F.lit(0)).alias("n_fraud")), band)
+
+
+def _balance(agg: DataFrame, band: tuple) -> DataFrame:
     n, f = F.col("n_rows"), F.col("n_fraud")
     rate = f.cast("double") / n.cast("double")
     return agg.select(
@@ -221,6 +229,19 @@ def column_ranges(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return long.withColumns({"global_min": lit(g["lo"]), "global_max": lit(g["hi"])})
 
 
+def validation_counts(df: DataFrame, target: str = P.TARGET) -> DataFrame:
+    """All counts of the report from one scan: equal rows are counted first (with map-side
+    combine), and every other count is a sum over the distinct rows' counts."""
+    c = F.col("_c")
+    total = lambda x, name: F.coalesce(F.sum(x), F.lit(0)).cast("bigint").alias(name)
+    aggs = [total(c, "n_rows"), total(c - 1, "duplicate_rows")]
+    aggs += [total(F.when(missing(df, x), c), f"n_missing__{x}") for x in df.columns]
+    if target in df.columns:
+        y = F.col(target)
+        aggs += [total(F.when(y.isNotNull() & ~y.isin(0, 1), c), "n_unexpected"), total(y.cast("bigint") * c, "n_fraud")]
+    return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_c")).agg(*aggs)
+
+
 def validation_report(df: DataFrame, target: str = P.TARGET, min_rows: int = 200_000,
                       scale_cols: Sequence[str] = ("Amount", "Time"),
                       band: tuple = (0.001, 0.005)) -> DataFrame:
@@ -228,20 +249,20 @@ def validation_report(df: DataFrame, target: str = P.TARGET, min_rows: int = 200
     rows are the hard failures, 'warning' the soft ones, 'info' passes."""
     spark = df.sparkSession
     n_rows = F.col("n_rows")
-    mc = missing_counts(df)
+    counts = materialize(validation_counts(df, target), "validation")  # one row
+    mc = _missing_rows(counts, df.columns)
     parts = []
-    rc = row_count(df, min_rows)
+    rc = counts.withColumn("meets_min_rows", n_rows >= min_rows)
     parts.append(rc.select(F.lit("min_rows").alias("check"),
                            F.when(F.col("meets_min_rows"), "info").otherwise("error").alias("severity"),
                            n_rows.cast("double").alias("observed"),
                            F.format_string(f"Row count %d (minimum {min_rows})", n_rows).alias("message")))
     if target in df.columns:
-        tc = target_check(df, target)
-        parts.append(tc.select(F.lit("target_binary").alias("check"),
+        parts.append(counts.select(F.lit("target_binary").alias("check"),
                                F.when(F.col("n_unexpected") == 0, "info").otherwise("error").alias("severity"),
                                F.col("n_unexpected").cast("double").alias("observed"),
                                F.format_string("%d target values outside {0,1}", F.col("n_unexpected")).alias("message")))
-        cb = class_balance(df, target, band)
+        cb = _balance(counts.select("n_rows", "n_fraud"), band)
         parts.append(cb.select(F.lit("fraud_rate_band").alias("check"),
                                F.when(F.col("rate_outside_band"), "warning").otherwise("info").alias("severity"),
                                F.col("fraud_rate_pct").alias("observed"),
@@ -258,8 +279,7 @@ def validation_report(df: DataFrame, target: str = P.TARGET, min_rows: int = 200
         F.lit("missing_values").alias("check"), F.lit("warning").alias("severity"),
         F.col("n_missing").cast("double").alias("observed"),
         F.concat(F.lit("Missing values in "), F.col("column")).alias("message")))
-    dup = duplicate_rows(df)
-    parts.append(dup.select(F.lit("duplicate_rows").alias("check"),
+    parts.append(counts.select(F.lit("duplicate_rows").alias("check"),
                             F.when(F.col("duplicate_rows") > 0, "warning").otherwise("info").alias("severity"),
                             F.col("duplicate_rows").cast("double").alias("observed"),
                             F.format_string("%d duplicate rows", F.col("duplicate_rows")).alias("message")))

@@ -15,6 +15,8 @@ from ..operators import risk as RK
 from ..session import scratch_path
 from ..sources import files as FS
 from ..sources.tables import N_V, card_transactions, transactions
+from .evaluation import _ROC_SQL, REPORT_COLS
+from .evaluation import _report_sql as _metrics_sql
 from .registry import CARD, TX, R, register
 from .splits import SPLIT_SQL, split_frame
 
@@ -105,6 +107,50 @@ def s07_model_roundtrip(spark, sf_dir):
     return a.join(b, "id").agg(F.count(F.lit(1)).alias("n"), F.max(F.abs(F.col("p_a") - F.col("p_b"))).alias("max_abs_diff"))
 
 
+@register("s07_model_record", None)
+def s07_model_record(spark, sf_dir):
+    """A model saved with its record, loaded again: threshold, composite and duration beside
+    the number of test rows that the loaded model scores as before."""
+    from .models import prepared, trained
+    from ..operators import models as ML
+    data, _ = prepared(spark, sf_dir)
+    tm = trained(spark, sf_dir, "logistic_regression")
+    val = ML.score(tm, data.filter(F.col("split") == "validation"), "id", ("Class",)).withColumnRenamed("Class", "y")
+    report = M.metrics_report(val).select("threshold", "composite_score").first()
+    root = _dir(spark, "models")
+    FS.save_model_record(spark, root, tm.name, tm.model, report["threshold"], report["composite_score"], tm.fit_seconds, tm.features)
+    model, record = FS.load_model_record(spark, root, tm.name)
+    test = data.filter(F.col("split") == "test")
+    again = ML.score(ML.TrainedModel(tm.name, model, tm.features, 0.0), test, "id", ()).withColumnRenamed("p", "again")
+    same = ML.score(tm, test, "id", ()).join(again, "id").agg(F.count_if(F.col("p") == F.col("again")).alias("n"))
+    return record.select("model_name", "threshold", "composite_score", F.col("fit_seconds") > 0, F.size("features").alias("n_features"),
+                         F.col("saved_at").isNotNull().alias("stamped"), same.select("n").scalar().alias("n_same")) \
+        .withColumnRenamed("(fit_seconds > 0)", "timed")
+
+
+FULL_COLS = ["model", "n_samples", "n_fraud", "n_legitimate", "tp", "fp", "tn", "fn", *REPORT_COLS]
+
+
+@register("s08_full_metrics", f"""
+SELECT 'run-1' AS run, model, n_samples, n_fraud, n_legitimate, tp, fp, tn, fn, {", ".join(f"{R(c)} AS {c}" for c in REPORT_COLS)}
+FROM {_metrics_sql('value_ratio', f'(SELECT id, y, p FROM {TX})', '0.2773::DOUBLE')}""")
+def s08_full_metrics(spark, sf_dir):
+    """Every figure of a metrics report, appended under its run and read back."""
+    path = _dir(spark, "reports")
+    rep = M.metrics_report(transactions(spark, sf_dir), threshold=0.2773).withColumn("model", F.lit("value_ratio"))
+    for _ in range(2):  # the second write is a retry: no duplicates
+        FS.append_log(rep.select(*FULL_COLS), path, "run-1", fmt="parquet")
+    return spark.read.parquet(path).select("run", *FULL_COLS)
+
+
+@register("s08_curve_sink", _ROC_SQL)
+def s08_curve_sink(spark, sf_dir):
+    """The ROC curve beside the report, appended under its run and read back."""
+    path = _dir(spark, "curves")
+    FS.append_log(M.roc_curve(transactions(spark, sf_dir)), path, "run-1", fmt="parquet")
+    return spark.read.parquet(path).select("point_no", "threshold", "fpr", "tpr")
+
+
 @register("s08_metrics_sink", f"""
 SELECT 'ratio_score' AS model, 'all' AS split, tp, fp, tn, fn FROM (
   SELECT count(*) FILTER (WHERE p >= 0.2773::DOUBLE AND y = 1)::BIGINT AS tp,

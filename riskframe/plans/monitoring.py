@@ -199,12 +199,15 @@ def _scores(spark, sf_dir):
     return RK.assess(transactions(spark, sf_dir), with_text=False)
 
 
-@register("b01_percentiles", f"""
+_PERCENTILES_SQL = """
 SELECT name, prob, CAST(trunc(v) AS INTEGER) AS value FROM (
   SELECT unnest(['p10', 'p25', 'p50', 'p75', 'p90', 'p95', 'p99', 'p99_9']) AS name,
          unnest([0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99, 0.999]::DOUBLE[]) AS prob,
          unnest(quantile_cont(risk_score, [0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99, 0.999])) AS v
-  FROM {SCORES_SQL})""")
+  FROM {src})"""
+
+
+@register("b01_percentiles", _PERCENTILES_SQL.format(src=SCORES_SQL))
 def b01_percentiles(spark, sf_dir):
     """B1: p10 ... p99.9 of the integer scores (linear interpolation, truncated)."""
     return DS.score_percentiles(_scores(spark, sf_dir))
@@ -388,6 +391,60 @@ def l06_history_distribution(spark, sf_dir):
     return DS.category_summary(TL.newest(_log(spark, sf_dir), P.LOG_MAX_ITEMS))
 
 
+_BUFFERED = _window_sql(P.LOG_MAX_ITEMS)
+
+
+def _buffered(spark, sf_dir):
+    return TL.newest(_log(spark, sf_dir), P.LOG_MAX_ITEMS)
+
+
+@register("l06_percentiles", _PERCENTILES_SQL.format(src=_BUFFERED))
+def l06_percentiles(spark, sf_dir):
+    """Percentiles of the buffered scores."""
+    return DS.score_percentiles(_buffered(spark, sf_dir)).select("name", "prob", "value")
+
+
+@register("l06_histogram", _hist_sql("risk_score::DOUBLE", P.SCORE_HIST_EDGES,
+                                     [f"{P.SCORE_HIST_EDGES[i]}-{P.SCORE_HIST_EDGES[i + 1] - 1}" for i in range(10)], _BUFFERED))
+def l06_histogram(spark, sf_dir):
+    """Histogram of the buffered scores."""
+    return DS.score_histogram(_buffered(spark, sf_dir))
+
+
+@register("l06_ecdf", f"""
+SELECT x AS score_threshold, {R('count(*) FILTER (WHERE risk_score <= x)::DOUBLE / count(*) * 100.0::DOUBLE', 2)} AS cumulative_pct
+FROM {_BUFFERED}, (SELECT range::INTEGER AS x FROM range(0, 101, 5)) GROUP BY x""")
+def l06_ecdf(spark, sf_dir):
+    """Empirical distribution of the buffered scores."""
+    return DS.score_ecdf(_buffered(spark, sf_dir))
+
+
+def _kpis_sql() -> str:
+    from .evaluation import _report_sql
+    rep = _report_sql("value_ratio", f"(SELECT id, y, p FROM {TX})", "0.2773::DOUBLE")
+    pct = lambda c: R(f"{c} * 100.0::DOUBLE", 2)
+    return f"""
+WITH roll AS ({_rolling_sql(P.TELEMETRY_WINDOW)}), rep AS (SELECT * FROM {rep})
+SELECT total_processed, suspected_fraud_count, high_risk_count, fraud_rate_pct, {pct('precision')} AS model_precision,
+  {pct('recall')} AS model_recall, {R('f2_score', 4)} AS model_f2, {R('pr_auc', 4)} AS model_pr_auc, {R('roc_auc', 4)} AS model_roc_auc,
+  {pct('specificity')} AS model_specificity, {R('threshold', 4)} AS operating_threshold, n_samples::BIGINT AS test_sample_count
+FROM roll, rep"""
+
+
+@register("l04_kpis", _kpis_sql())
+def l04_kpis(spark, sf_dir):
+    """L4: the ten KPIs of the overview with the operating threshold (its preview is k07)."""
+    from ..operators import metrics as M
+    rep = M.metrics_report(transactions(spark, sf_dir), threshold=P.DEFAULT_THRESHOLD)
+    pct = lambda c: C.rnd(F.col(c) * 100.0, 2).alias(f"model_{c}")
+    rep = rep.select(pct("precision"), pct("recall"), C.rnd("f2_score", 4).alias("model_f2"), C.rnd("pr_auc", 4).alias("model_pr_auc"),
+                     C.rnd("roc_auc", 4).alias("model_roc_auc"), pct("specificity"), C.rnd("threshold", 4).alias("operating_threshold"),
+                     F.col("n_samples").alias("test_sample_count")).first()  # one row of figures
+    roll = TL.rolling_summary(_log(spark, sf_dir), P.TELEMETRY_WINDOW)
+    return roll.select("total_processed", "suspected_fraud_count", "high_risk_count", "fraud_rate_pct",
+                       *[F.lit(v).alias(k) for k, v in rep.asDict().items()])
+
+
 @register("l07_empty_state", f"""
 SELECT (SELECT count(*) FROM {SCORES_SQL} WHERE ts > TIMESTAMP '2100-01-01')::BIGINT AS total_processed,
   0::BIGINT AS recent_window_size, 0::BIGINT AS suspected_fraud_count, 0::BIGINT AS high_risk_count,

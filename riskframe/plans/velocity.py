@@ -5,9 +5,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.columns import sig
 from ..operators import velocity as VE
-from ..sources.tables import transactions
-from .registry import TX, R, register
+from ..sources.tables import card_transactions, transactions
+from .registry import CARD, TX, R, S, register
 
 WINDOWS = {"w5m": 300, "w30m": 1800, "w1h": 3600, "w24h": 86400, "w7d": 604800}
 
@@ -108,3 +109,25 @@ FROM {NULL_ENTITY}""")
 def w04n_null_entity(spark, sf_dir):
     """W4 with events without an entity."""
     return VE.previous_event(_without_entity(spark, sf_dir)).select("id", "seconds_since_prev")
+
+
+# Places on the globe from two vector columns (the tables have no coordinates).
+_LAT, _LON = "greatest(-90.0::DOUBLE, least(90.0::DOUBLE, \"V1\" * 45.0::DOUBLE))", "greatest(-180.0::DOUBLE, least(180.0::DOUBLE, \"V2\" * 90.0::DOUBLE))"
+_KM = ("2.0::DOUBLE * 6371.0088::DOUBLE * asin(sqrt(pow(sin(radians(la - pla) / 2), 2) + cos(radians(pla)) * cos(radians(la)) "
+       "* pow(sin(radians(lo - plo) / 2), 2)))")
+
+
+@register("w05_travel_speed", f"""
+WITH c AS (SELECT id, entity, ts, {_LAT} AS la, {_LON} AS lo FROM {CARD}),
+j AS (SELECT *, lag(la) OVER w AS pla, lag(lo) OVER w AS plo, epoch_us(ts) - lag(epoch_us(ts)) OVER w AS us FROM c
+      WINDOW w AS (PARTITION BY entity ORDER BY epoch_us(ts), id)),
+k AS (SELECT id, {_KM} AS km, us / 3600000000.0::DOUBLE AS hours FROM j)
+SELECT id, {S('km', 7)} AS km_from_prev, {S('CASE WHEN hours > 0 THEN km / hours WHEN km > 0 THEN NULL ELSE 0.0::DOUBLE END', 7)} AS kmh_from_prev,
+  coalesce(CASE WHEN hours > 0 THEN km / hours > 900.0::DOUBLE ELSE km > 0 END, false) AS impossible_travel FROM k""", digits=None)
+def w05_travel_speed(spark, sf_dir):
+    """Distance and speed since the user's previous event, and whether it is possible."""
+    clip = lambda c, top, by: F.greatest(F.lit(-top), F.least(F.lit(top), F.col(c) * F.lit(by)))
+    ct = card_transactions(spark, sf_dir).select("id", "entity", "ts", clip("V1", 90.0, 45.0).alias("la"), clip("V2", 180.0, 90.0).alias("lo"))
+    out = VE.travel_speed(ct, "entity", "ts", "id", "la", "lo")
+    speed = F.when(~F.col("kmh_from_prev").isin(float("inf")), F.col("kmh_from_prev"))
+    return out.select("id", sig("km_from_prev", 7).alias("km_from_prev"), sig(speed, 7).alias("kmh_from_prev"), "impossible_travel")

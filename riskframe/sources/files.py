@@ -88,9 +88,23 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-def write_metadata(spark: SparkSession, path: str, rows: Sequence[tuple], schema: str) -> None:
-    """Small metadata records (threshold, composite, durations) as a one-file table."""
-    spark.createDataFrame(list(rows), schema).coalesce(1).write.mode("overwrite").parquet(path)
+MODEL_RECORD = ("model_name string, threshold double, composite_score double, fit_seconds double, features array<string>, "
+                "saved_at timestamp")
+
+
+def save_model_record(spark: SparkSession, root: str, name: str, model: PipelineModel, threshold: float, composite: float,
+                      fit_seconds: float, features: Sequence[str]) -> None:
+    """The fitted pipeline, then its record (what it was tuned to and how long it took); the
+    record is written last, so a model that has one is whole."""
+    from datetime import datetime, timezone
+
+    save_model(model, f"{root}/{name}/model")
+    row = (name, float(threshold), float(composite), float(fit_seconds), list(features), datetime.now(timezone.utc))
+    spark.createDataFrame([row], MODEL_RECORD).coalesce(1).write.mode("overwrite").json(f"{root}/{name}/record")
+
+
+def load_model_record(spark: SparkSession, root: str, name: str) -> tuple[PipelineModel, DataFrame]:
+    return load_model(f"{root}/{name}/model"), spark.read.schema(MODEL_RECORD).json(f"{root}/{name}/record")
 
 
 def write_scores(df: DataFrame, path: str) -> None:
