@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 from .. import params as P
 from ..functions import columns as C
 from ..functions.columns import dlit
+from ..session import materialize
 from .ordered import running_sums
 from .quantiles import exact_quantiles
 
@@ -76,7 +77,7 @@ def psi(ref: DataFrame, live: DataFrame, n_bins: int = 10, outer: tuple[float, f
 
     ``min_rows``: when either cohort of a feature has fewer rows the result is
     0.0 / first status (the insufficient-data convention)."""
-    edges = psi_edges(ref, n_bins, outer, edge_digits)
+    edges = materialize(psi_edges(ref, n_bins, outer, edge_digits), "psi-edges")  # read three times
     # one row per monitored feature: bounded by the feature list
     edges = F.broadcast(edges)
 
@@ -125,6 +126,7 @@ def ecdf_distances(ref: DataFrame, live: DataFrame, n_buckets: int | None = None
 def distances_of_counts(g: DataFrame, stats: DataFrame, n_buckets: int | None = None) -> DataFrame:
     """The distances of (feature, value, c_ref, c_live), values distinct within a feature;
     ``stats`` has the reference's ``std_ref`` per feature."""
+    g = materialize(g, "value-counts")  # the edges, the buckets' totals, the sums and the sizes read the counts
     rs = running_sums(g, ["value"], {"ref": "c_ref", "live": "c_live"}, partition_cols=["feature"],
                       n_buckets=n_buckets, with_next=True)
     tot = g.groupBy("feature").agg(F.sum("c_ref").alias("n_ref"), F.sum("c_live").alias("n_live"))

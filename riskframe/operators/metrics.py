@@ -90,7 +90,16 @@ def score_groups(df: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
 def curve_points(df: DataFrame, y: str = "y", p: str = "p", n_buckets: int | None = None) -> DataFrame:
     """One row per distinct score (descending): pos/neg at that score and
     cumulative tp/fp/point_no for 'predict positive when p >= score'."""
-    g = score_groups(df, y, p)
+    return _points_of(counted_scores(df, y, p), n_buckets)
+
+
+def counted_scores(df: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
+    """:func:`score_groups`, written once: the rows are read once, and the bucket edges, the
+    buckets' totals and the curve all read the counts."""
+    return materialize(score_groups(df, y, p), "score-groups")
+
+
+def _points_of(g: DataFrame, n_buckets: int | None) -> DataFrame:
     return running_sums(
         g, ["score"], {"tp": "pos", "fp": "neg", "point": F.lit(1).cast("bigint")},
         descending=True, n_buckets=n_buckets,
@@ -99,14 +108,10 @@ def curve_points(df: DataFrame, y: str = "y", p: str = "p", n_buckets: int | Non
              F.col("cum_point").alias("point_no"))
 
 
-def _totals(df: DataFrame, y: str, p: str) -> Column:
-    """(P, N) over the scored rows as ONE struct scalar subquery: a single scan
-    with partial aggregation instead of re-running the curve pipeline once per
-    total."""
-    # same totals as summing the score groups: every row counts, N = rows - P
-    agg = scored_rows(df, p).agg(F.coalesce(F.sum(F.col(y).cast("bigint")), F.lit(0).cast("bigint")).alias("P"),
-                 F.count(F.lit(1)).alias("n"))
-    return agg.select(F.struct("P", (F.col("n") - F.col("P")).alias("N")).alias("t")).scalar()
+def _totals(g: DataFrame) -> tuple[int, int]:
+    """Positives and negatives of counted scores (two numbers)."""
+    t = g.agg(F.coalesce(F.sum("pos"), F.lit(0)).alias("P"), F.coalesce(F.sum("neg"), F.lit(0)).alias("N")).first()
+    return t["P"], t["N"]
 
 
 def auc_scores(df: DataFrame, y: str = "y", p: str = "p", n_buckets: int | None = None) -> DataFrame:
@@ -142,15 +147,15 @@ def pr_curve(df: DataFrame, y: str = "y", p: str = "p", n_buckets: int | None =
 
     ``point_no`` 1 is the highest score; the closing point has NULL threshold.
     """
-    cp = curve_points(df, y, p, n_buckets)
-    P_ = _totals(df, y, p)["P"]
+    g = counted_scores(df, y, p)
+    cp, P_ = _points_of(g, n_buckets), F.lit(_totals(g)[0]).cast("bigint")
     pts = cp.select(
         F.col("point_no"),
         F.col("score").alias("threshold"),
         safe_div(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"),
         F.when(P_ == 0, dlit(1.0)).otherwise(F.col("tp") / P_.cast("double")).alias("recall"),
     )
-    closing = (cp.agg(F.count(F.lit(1)).alias("k"))
+    closing = (g.agg(F.count(F.lit(1)).alias("k"))
                .select((F.col("k") + 1).alias("point_no"), F.lit(None).cast("double").alias("threshold"),
                        dlit(1.0).alias("precision"), dlit(0.0).alias("recall")))
     return pts.unionByName(closing)
@@ -158,13 +163,14 @@ def pr_curve(df: DataFrame, y: str = "y", p: str = "p", n_buckets: int | None =
 
 def roc_curve(df: DataFrame, y: str = "y", p: str = "p", n_buckets: int | None = None) -> DataFrame:
     """fpr/tpr for every distinct score (all points kept) after the (0, 0) start."""
-    cp = curve_points(df, y, p, n_buckets)
-    tot = _totals(df, y, p)
+    g = counted_scores(df, y, p)
+    cp = _points_of(g, n_buckets)
+    positives, negatives = (F.lit(t).cast("bigint") for t in _totals(g))
     pts = cp.select(
         F.col("point_no"),
         F.col("score").alias("threshold"),
-        safe_div(F.col("fp"), tot["N"]).alias("fpr"),
-        safe_div(F.col("tp"), tot["P"]).alias("tpr"),
+        safe_div(F.col("fp"), negatives).alias("fpr"),
+        safe_div(F.col("tp"), positives).alias("tpr"),
     )
     start = cp.sparkSession.range(1).select(
         F.lit(0).cast("bigint").alias("point_no"), dlit(float("inf")).alias("threshold"),
@@ -176,9 +182,9 @@ def downsample_curve(curve: DataFrame, order_col: str = "point_no", max_points:
     """Keep points at int(linspace(0, n-1, max_points)) when n > max_points.
 
     ``order_col`` is a dense 0- or 1-based position. The selection is a
-    filter against the count, so no rows move to the driver.
+    filter against the count; two numbers reach the driver.
     """
-    # two numbers reach the driver (one run of the curve for the stats)
+    curve = materialize(curve, "curve")  # counted, then filtered
     st = curve.agg(F.count(F.lit(1)).alias("_n"), F.min(order_col).alias("_o0")).first()
     n = F.lit(int(st["_n"])).cast("bigint")
     pos = F.col(order_col) - F.lit(int(st["_o0"] or 0)).cast("bigint")
