@@ -33,7 +33,7 @@ SELECT id, ts, "Amount", {R(_PC)} AS probability,
 def l01_record_stream(spark, sf_dir):
     """L1: every streamed transaction scored and appended to the log (idempotent per batch)."""
     rec = SQ.record_stream(_events(spark, sf_dir))
-    out = SQ.run_available(spark, rec, "l01", mode="append", sink="append")
+    out = SQ.run_available(spark, rec, "l01")
     return out.select("id", "ts", "Amount", "probability", "risk_score", "is_flagged")
 
 
@@ -166,17 +166,16 @@ SELECT date_trunc('day', ts) AS window_start, count(*)::BIGINT AS n,
   {R('sum("Amount"::DECIMAL(18,2))::DOUBLE', 2)} AS dollars FROM {TX} GROUP BY 1""")
 def l08_tumbling_telemetry(spark, sf_dir):
     """Daily event-time windows of counts, flags and dollars from the stream."""
-    agg = SQ.tumbling_telemetry(_events(spark, sf_dir))
-    out = SQ.run_available(spark, agg, "l08", mode="complete", sink="overwrite")
-    return out.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "n", "flagged",
-                      F.col("dollars").cast("double").alias("dollars"))
+    ledger = LV.Ledger(spark, _run_dir(spark, "l08t"))
+    LV.start(_events(spark, sf_dir), LV.closing_windows(ledger), f"{ledger.root}/checkpoint")
+    return LV.all_windows(ledger).select("window_start", "n", "flagged", F.col("dollars").cast("double").alias("dollars"))
 
 
 @register("l09_dedup_stream", f"""SELECT DISTINCT id, "Amount" FROM {TX}""")
 def l09_dedup_stream(spark, sf_dir):
     """The events stream submitted twice; resubmitted ids dropped within the watermark."""
     dd = SQ.dedup_resubmitted(_events(spark, sf_dir, copies=2))
-    out = SQ.run_available(spark, dd.select("id", "Amount"), "l09", mode="append", sink="append")
+    out = SQ.run_available(spark, dd.select("id", "Amount"), "l09")
     return out.select("id", "Amount")
 
 
@@ -224,7 +223,8 @@ SELECT entity, window_start, count(*)::BIGINT AS n, {R('sum("Amount"::DECIMAL(18
 FROM w GROUP BY entity, window_start""")
 def w07_streaming_velocity(spark, sf_dir):
     """Per-user 1-hour windows sliding every 15 minutes, from the stream."""
-    agg = SQ.streaming_velocity(_events(spark, sf_dir))
-    out = SQ.run_available(spark, agg, "w07", mode="complete", sink="overwrite")
+    ledger = LV.Ledger(spark, _run_dir(spark, "w07"))
+    LV.start(SQ.streaming_velocity(_events(spark, sf_dir)), LV.keep_rows(ledger, "windows"), f"{ledger.root}/checkpoint", mode="update")
+    out = LV.newest_rows(ledger, "windows", ["entity", "window_start"])
     return out.select("entity", F.col("window_start").cast("timestamp_ntz").alias("window_start"), "n",
                       F.col("amount").cast("double").alias("amount"))

@@ -269,5 +269,13 @@ def keep_rows(ledger: Ledger, table: str):
     return write
 
 
-__all__ = ["Ledger", "all_windows", "closing_windows", "current_states", "event_velocity", "keep_rows", "queue_states",
+def newest_rows(ledger: Ledger, table: str, keys: list[str]) -> DataFrame:
+    """Of a table that an update-mode stream keeps, each key's row of the last batch that changed it."""
+    rows = ledger.read(table)
+    rest = [c for c in rows.columns if c not in (*keys, "batch_id")]
+    newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch_id").alias("r"))
+    return newest.select(*keys, *[F.col(f"r.{c}").alias(c) for c in rest])
+
+
+__all__ = ["Ledger", "all_windows", "closing_windows", "current_states", "event_velocity", "keep_rows", "newest_rows", "queue_states",
            "record_chain", "start", "state_changes"]

@@ -1,4 +1,5 @@
-"""Structured Streaming versions of the live operators.
+"""Streams of the given tables, and the live operators without state of their own (L1, L9, W7
+hopping windows); those with state are in :mod:`live`.
 
 Each query reads a file source with an explicit schema, applies the same
 column expressions as the batch path, and writes through ``foreachBatch``
@@ -20,8 +21,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .. import params as P
-from ..operators import queue as Q
 from ..operators import risk as RK
 from ..session import scratch_path
 from ..sources.tables import map_events
@@ -70,23 +69,15 @@ def _append_batches(out: str):
     return write
 
 
-def _overwrite_table(out: str):
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(out)
-    return write
-
-
-def run_available(spark: SparkSession, df: DataFrame, name: str, mode: str = "append",
-                  sink: str = "append") -> DataFrame:
+def run_available(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Drain the stream (availableNow) through foreachBatch and read the result back."""
     out, ckpt = _new_dirs(spark, name)
-    writer = _append_batches(out) if sink == "append" else _overwrite_table(out)
-    q = (df.writeStream.outputMode(mode).option("checkpointLocation", ckpt)
-         .foreachBatch(writer).trigger(availableNow=True).start())
+    q = (df.writeStream.outputMode("append").option("checkpointLocation", ckpt)
+         .foreachBatch(_append_batches(out)).trigger(availableNow=True).start())
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return spark.read.parquet(out).drop("batch_id") if sink == "append" else spark.read.parquet(out)
+    return spark.read.parquet(out).drop("batch_id")
 
 
 # ------------------------------------------------------------------ queries
@@ -96,17 +87,6 @@ def record_stream(stream: DataFrame) -> DataFrame:
         "id", "ts", "Amount", "probability", "risk_score", "risk_category", "decision", "is_flagged")
 
 
-def tumbling_telemetry(stream: DataFrame, window: str = "1 day", delay: str = "1 hour") -> DataFrame:
-    """Per event-time window counts, flagged share and dollars. Rows later
-    than the watermark are dropped (the batch path accepts any order)."""
-    s = RK.assess(stream, with_text=False).withWatermark("ts_event", delay)
-    return s.groupBy(F.window("ts_event", window).alias("w")).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(F.col("is_flagged").cast("bigint")).alias("flagged"),
-        F.sum(F.col("Amount").cast("decimal(30,6)")).alias("dollars"),
-    ).select(F.col("w.start").alias("window_start"), "n", "flagged", "dollars")
-
-
 def dedup_resubmitted(stream: DataFrame, delay: str = "1 hour") -> DataFrame:
     """Drop resubmitted transaction ids within the watermark."""
     return stream.withWatermark("ts_event", delay).dropDuplicatesWithinWatermark(["id"])
@@ -120,22 +100,11 @@ def action_stream(spark: SparkSession, path: str) -> DataFrame:
                        status.alias("status_raw"), F.col("text").alias("notes_raw"))
 
 
-def queue_state(actions: DataFrame) -> DataFrame:
-    """Current status per queue item from the latest valid action - a
-    stateful streaming aggregation (state store, checkpointed)."""
-    acts = Q.clean_actions(actions).filter(F.col("status_valid"))
-    return acts.groupBy("queue_id").agg(F.max_by("status", "action_seq").alias("status"),
-                                        F.max("action_seq").alias("updated_seq"),
-                                        F.count(F.lit(1)).alias("n_actions"))
-
-
 def streaming_velocity(stream: DataFrame, length: str = "1 hour", slide: str = "15 minutes",
                        delay: str = "1 hour") -> DataFrame:
-    """Per-entity sliding-window counts and sums (hopping windows)."""
+    """Per-entity sliding-window counts and sums (hopping windows), for update mode:
+    a window leaves the state when the watermark has passed it."""
     s = stream.withWatermark("ts_event", delay)
     return s.groupBy("entity", F.window("ts_event", length, slide).alias("w")).agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col("Amount").cast("decimal(30,6)")).alias("amount")
     ).select("entity", F.col("w.start").alias("window_start"), "n", "amount")
-
-
-DEFAULT_STATUS = P.INITIAL_QUEUE_STATUS
