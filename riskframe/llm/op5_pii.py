@@ -1,7 +1,9 @@
 """Personal data: fixed span patterns plus information-theoretic sanitisation.
 
 The protected entities are the values that the span patterns find (an address, a
-number). The corpus tells how strongly other terms give an entity away: over all
+number), and credentials: unbroken runs of at least ``SECRET_LENGTH`` letters and digits, mixed,
+whose characters carry ``SECRET_BITS`` of information each or more (no word or number does).
+The corpus tells how strongly other terms give an entity away: over all
 documents, ``df(t)`` is the number of documents with term t, ``df(e)`` the number with
 entity e, and ``df(t, e)`` the number in which t stands within ``WINDOW`` words of e.
 Pointwise mutual information ``log2(df(t, e) * N / (df(t) * df(e)))`` divided by the
@@ -23,7 +25,9 @@ rows get equal results; a null ``doc_id`` is kept; extra columns are ignored by
 from __future__ import annotations
 
 import hashlib
+import math
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +47,10 @@ CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile("[0-9]")
 
+#: Parameters of credentials: least length, digits and letters, and bits per character.
+SECRET_LENGTH, SECRET_DIGITS, SECRET_LETTERS, SECRET_BITS = 20, 4, 4, 3.0
+SECRET = re.compile(r"[A-Za-z0-9+/_=]{%d,}" % SECRET_LENGTH)
+
 #: Parameters: words on either side of an entity, least number of different contexts,
 #: disclosure from which a term is generalised, and from which it is removed.
 WINDOW, SUPPORT, GENERALISE, REMOVE = 8, 2, 0.75, 0.95
@@ -51,10 +59,10 @@ REACH = 400
 #: Letters of the shortest term; slots of the bitmap of candidate terms.
 SHORTEST, SLOTS = 3, 1 << 20
 TERM = re.compile(r"[^\W\d_]{%d,}" % SHORTEST)
-MASK = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "term": "[TERM]", "cut": ""}
+MASK = {"secret": "[SECRET]", "email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "term": "[TERM]", "cut": ""}
 
 FOUND = ("doc_id long, key long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, "
-         "base array<string>, near array<struct<entity:string,term:string,start:int,end:int,context:long>>")
+         "base array<string>, secrets array<string>, near array<struct<entity:string,term:string,start:int,end:int,context:long>>")
 
 
 def luhn(digits: str) -> bool:
@@ -96,6 +104,20 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
+def secret_spans(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
+    """Credentials outside the base spans."""
+    inside, out = sorted((a, b) for _, a, b in base), []
+    for m in SECRET.finditer(text):
+        run = m[0]
+        digits = sum(map(run.count, "0123456789"))
+        letters = len(run) - digits - sum(map(run.count, "+/_="))
+        if digits < SECRET_DIGITS or letters < SECRET_LETTERS or any(x < m.end() and m.start() < y for x, y in near_spans(inside, *m.span())):
+            continue
+        if -sum(k / len(run) * math.log2(k / len(run)) for k in Counter(run).values()) >= SECRET_BITS:
+            out.append(("secret", m.start(), m.end()))
+    return out
+
+
 def contexts(text: str, spans: list[tuple[str, int, int]]) -> list[dict]:
     """The terms within WINDOW words and REACH characters of each span, outside all
     spans; ``context`` is a hash of the terms around the span."""
@@ -104,7 +126,7 @@ def contexts(text: str, spans: list[tuple[str, int, int]]) -> list[dict]:
     inside = sorted((a, b) for _, a, b in spans)
     out = []
     for kind, a, b in spans:
-        value = text[a:b].lower() if kind == "email" else "".join(c for c in text[a:b] if c in "0123456789.")
+        value = text[a:b].lower() if kind in ("email", "secret") else "".join(c for c in text[a:b] if c in "0123456789.")
         lo, hi = max(0, a - REACH), min(len(text), b + REACH)
         before = [m for m in TERM.finditer(text, lo, a) if m.start() > lo or lo == 0]
         after = [m for m in TERM.finditer(text, b, hi) if m.end() < hi or hi == len(text)]
@@ -132,13 +154,14 @@ def find_base(docs: DataFrame) -> DataFrame:
 
     def make():
         def scan(cols):
-            out = [[] for _ in range(9)]
+            out = [[] for _ in range(10)]
             for doc_id, key, text in zip(*cols, strict=True):
                 spans = base_spans(text or "")
                 kinds = [s[0] for s in spans]
+                secrets = secret_spans(text, spans) if text and DIGIT.search(text) else []
                 row = (doc_id, key, *(kinds.count(k) for k in KINDS),
                        hashlib.sha256(joined(spans).encode()).hexdigest(), [joined([s]) for s in spans],
-                       contexts(text, spans) if spans else [])
+                       [joined([s]) for s in secrets], contexts(text, spans + secrets) if spans or secrets else [])
                 for c, v in zip(out, row, strict=True):
                     c.append(v)
             return out
@@ -221,8 +244,8 @@ def disclosing(found: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def find_spans(docs: DataFrame) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text): counts, digest of the base spans,
-    all spans as text, and ``key`` (equal rows share one)."""
+    """One row per row of ``docs`` (doc_id, text): counts (``n_found``: of all spans), digest of
+    the base spans, all spans as text, and ``key`` (equal rows share one)."""
     found = materialize(find_base(docs), "pii-found")
     flagged = disclosing(found, docs)
     near = found.where(F.size("near") > 0).select("key", F.explode("near").alias("x")).select("key", "x.*")
@@ -232,11 +255,13 @@ def find_spans(docs: DataFrame) -> DataFrame:
     order = F.transform("more", lambda x: F.struct(F.when(x["kind"] == "term", 0).otherwise(1).alias("o"), x["start"].alias("s"),
                                                    F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string")).alias("t")))
     more = more.select("key", F.transform(F.array_sort(order), lambda x: x["t"]).alias("more"))
-    rows = found.select("doc_id", "key", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "base")
+    rows = found.select("doc_id", "key", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "base", "secrets")
+    n_terms, n_secret = F.coalesce(F.size("more"), F.lit(0)).cast("long"), F.size("secrets").cast("long")
     return rows.join(more, "key", "left").select(
         "doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256",
-        F.array_join(F.concat("base", F.coalesce("more", F.array().cast("array<string>"))), ",").alias("spans"),
-        F.coalesce(F.size("more"), F.lit(0)).cast("long").alias("n_terms"), "key")
+        F.array_join(F.concat("base", "secrets", F.coalesce("more", F.array().cast("array<string>"))), ",").alias("spans"),
+        n_terms.alias("n_terms"), n_secret.alias("n_secret"),
+        (F.col("n_email") + F.col("n_ip") + F.col("n_card") + F.col("n_phone") + n_secret + n_terms).alias("n_found"), "key")
 
 
 def mask(text: str | None, spans: str | None) -> str | None:

@@ -245,3 +245,16 @@ def test_idle_worker_frees_what_it_keeps(monkeypatch):
         assert kept
     time.sleep(0.6)
     assert not kept and not common.KEPT
+
+
+def test_credentials_are_protected(spark):
+    key = "04dbebab91ab85687d33eeaaf9ac699e1188f962"
+    clean = ["Donaudampfschifffahrtsgesellschaft12", "a" * 30 + "1234", "12345678901234567890123", "abcdefghij_klmnopqrst", "see 2024/05/06/07/08/09/10/11",
+             f"{key}@host.example.org", None, "", "ab12" * 10]
+    rows = [(i, t) for i, t in enumerate(clean)] + [(100, f'token = "{key}" and x@y.org'), (101, f"{key.upper()}, {key}!"), (102, "é" * 9 + key)]
+    out = {r.doc_id: r for r in pii.find_spans(docs(spark, rows)).collect()}
+    assert all(out[i].n_secret == 0 for i in range(len(clean)))
+    assert [out[i].n_secret for i in (100, 101, 102)] == [1, 2, 1] and out[100].spans.split(",") == ["email:55:62", "secret:9:49"]
+    assert out[102].spans == "secret:9:49" and [out[i].n_found for i in (100, 101, 102)] == [2, 2, 1]
+    text = {r.doc_id: r.text for r in pii.sanitise(docs(spark, rows)).collect()}
+    assert text[100] == 'token = "[SECRET]" and [EMAIL]' and text[101] == "[SECRET], [SECRET]!" and text[0] == clean[0]
