@@ -66,8 +66,12 @@ PARTS, PART_US, T0_US = 4, 8 * 24 * LV.HOUR_US, 1_704_067_200_000_000
 
 
 # ------------------------------------------------------------------ L1: the live chain
-_BAD_P = F.when(F.col("id") % 97 == 3, F.lit(None).cast("double")).when(F.col("id") % 97 == 5, F.lit(float("nan"))) \
-    .when(F.col("id") % 97 == 7, F.col("p") + 1.0).otherwise(F.col("p"))
+def _bad_p():
+    k = F.col("id") % 97
+    return (F.when(k == 3, F.lit(None).cast("double")).when(k == 5, F.lit(float("nan")))
+            .when(k == 7, F.col("p") + 1.0).otherwise(F.col("p")))
+
+
 _LIVE = f"""(SELECT *, CASE WHEN id % 97 = 3 OR id % 97 = 5 THEN 'probability must be numeric'
     WHEN id % 97 = 7 AND p + 1.0::DOUBLE > 1 THEN 'probability must lie in [0, 1]' END AS reject_reason,
   CASE WHEN id % 97 = 7 THEN p + 1.0::DOUBLE ELSE p END AS live_p FROM {TX})"""
@@ -76,7 +80,7 @@ _LIVE = f"""(SELECT *, CASE WHEN id % 97 = 3 OR id % 97 = 5 THEN 'probability mu
 def _chain(spark, sf_dir):
     """The record chain over ``events`` with some unusable scores."""
     ledger = LV.Ledger(spark, _run_dir(spark, "l01"))
-    LV.start(_tx_stream(spark, f"{sf_dir}/events.parquet", _BAD_P), LV.record_chain(ledger), f"{ledger.root}/checkpoint")
+    LV.start(_tx_stream(spark, f"{sf_dir}/events.parquet", _bad_p()), LV.record_chain(ledger), f"{ledger.root}/checkpoint")
     return ledger
 
 
@@ -111,7 +115,10 @@ def l01_live_quarantine(spark, sf_dir):
 
 # ------------------------------------------------------------------ L8: windows that close
 # A tenth of the events arrives three days late, the others within the hour.
-_LATENESS = F.when(F.col("event_id") % 10 == 0, F.lit(72 * LV.HOUR_US)).otherwise(F.col("event_id") % 60 * F.lit(60_000_000))
+def _lateness():
+    return F.when(F.col("event_id") % 10 == 0, F.lit(72 * LV.HOUR_US)).otherwise(F.col("event_id") % 60 * F.lit(60_000_000))
+
+
 _ARRIVALS = f"""
 WITH e AS (SELECT *, epoch_us(date_trunc('day', ts)) + 86400000000 AS closes_us, epoch_us(ts) AS us,
     least({PARTS - 1}, (epoch_us(ts) + CASE WHEN id % 10 = 0 THEN {72 * LV.HOUR_US} ELSE id % 60 * 60000000 END - {T0_US}) // {PART_US}) AS part
@@ -128,7 +135,7 @@ def _windows(spark, sf_dir):
         ledgers.append(LV.Ledger(spark, f"{root}/tables"))
         LV.start(stream, LV.closing_windows(ledgers[-1]), f"{root}/checkpoint")
 
-    _arrive(spark, sf_dir, "l08", _LATENESS, drain)
+    _arrive(spark, sf_dir, "l08", _lateness(), drain)
     return ledgers[-1]
 
 
