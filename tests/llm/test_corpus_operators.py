@@ -105,6 +105,67 @@ def test_large_group_of_near_copies_is_one_class(spark):
     assert {got[i].class_id for i in range(300)} == {0} and all(got[1000 + i].class_size == 1 for i in range(100))
 
 
+def test_no_link_is_lost_among_texts_that_share_a_long_passage(spark):
+    """Buckets of hundreds of texts just under the threshold hide pairs above it."""
+    rng = random.Random(21)
+    shared = prose(rng, 400)
+    own = [prose(rng, 48) for _ in range(300)]
+    rows = [(i, f"{o} {shared}") for i, o in enumerate(own)]
+    rows += [(1000 + i, f"{edited(rng, own[i], 0.1)} {shared}") for i in range(80)]
+    sim = weighted_jaccard([t for _, t in rows])
+    assert min(sim(i, 300 + i) for i in range(80)) > 0.9
+    got = {r.doc_id: r.class_id for r in dup.find_classes(docs(spark, rows)).collect()}
+    want = {frozenset(x) for x in _classes(len(rows), sim)}
+    by_class = collections.defaultdict(set)
+    for k, (i, _) in enumerate(rows):
+        by_class[got[i]].add(k)
+    assert all(got[i] == got[1000 + i] for i in range(80))
+    assert {frozenset(x) for x in by_class.values()} == want
+
+
+def _classes(n, sim):
+    parent = list(range(n))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in range(n):
+        for j in range(i):
+            if sim(i, j) >= dup.SIMILARITY:
+                parent[root(i)] = root(j)
+    out = collections.defaultdict(set)
+    for i in range(n):
+        out[root(i)].add(i)
+    return out.values()
+
+
+def test_shingles_outside_the_leader_keep_every_similar_pair():
+    """Any two texts that are similar, and not both similar to a third, lightest one, meet
+    in a shingle that it lacks."""
+    rng = np.random.default_rng(5)
+    met = 0
+    for _ in range(12000):
+        core = rng.choice(400, 60, replace=False)
+        texts = []
+        for _ in range(3):
+            ids = np.unique(np.concatenate([core[rng.random(60) < rng.uniform(0.8, 1)], rng.choice(30, rng.integers(0, 12)) + 400]))
+            ids = ids.astype(np.uint32)
+            weights = rng.choice([1.0, 1.05, 1.7], len(ids), p=[0.6, 0.3, 0.1]).astype(np.float16)
+            texts.append((float(weights.astype(float).sum()), ids, weights))
+        lead, x, y = sorted(texts, key=lambda t: t[0])
+        if dup.compare(x, y)[0] < dup.SIMILARITY:
+            continue
+        seen = [dup.compare(t, lead) for t in (x, y)]
+        if all(s >= dup.SIMILARITY for s, _, _ in seen):
+            continue
+        keys = [set(dup.outside(t, lead, s >= dup.SIMILARITY - 1e-6, both, common).tolist()) for t, (s, both, common) in zip((x, y), seen, strict=True)]
+        assert keys[0] & keys[1]
+        met += 1
+    assert met > 100
+
+
 def test_drop_near_duplicates_keeps_rows_whole(spark):
     rng = random.Random(4)
     base = prose(rng, 200)
