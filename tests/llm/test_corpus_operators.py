@@ -143,7 +143,7 @@ def _classes(n, sim):
 
 def test_shingles_outside_the_leader_keep_every_similar_pair():
     """Any two texts that are similar, and not both similar to a third, lightest one, meet
-    in a shingle that it lacks."""
+    in a shingle that it lacks or weighs less."""
     rng = np.random.default_rng(5)
     met = 0
     for _ in range(12000):
@@ -160,7 +160,7 @@ def test_shingles_outside_the_leader_keep_every_similar_pair():
         seen = [dup.compare(t, lead) for t in (x, y)]
         if all(s >= dup.SIMILARITY for s, _, _ in seen):
             continue
-        keys = [set(dup.outside(t, lead, s >= dup.SIMILARITY - 1e-6, both, common).tolist()) for t, (s, both, common) in zip((x, y), seen, strict=True)]
+        keys = [set(dup.outside(t, lead, s >= dup.SIMILARITY - 1e-6, both, beyond).tolist()) for t, (s, both, beyond) in zip((x, y), seen, strict=True)]
         assert keys[0] & keys[1]
         met += 1
     assert met > 100
