@@ -18,16 +18,18 @@ How the work is spread:
   sampled (an exact bound: no link is lost by it).
 * In each bucket of a band one member, the one whose buckets are largest (the least
   edited copy of a group), is compared with all others. That joins most groups.
-* Buckets that still hold several classes go on. With at most ``FEW``
-  members outside the largest class, these are compared with all. Else all members are
-  compared with the lightest one, L. Two members that are not both similar to L reach ``SIMILARITY``
-  only with a shingle in common that L lacks or weighs less (the rest of what they share weighs
-  too little), so they meet again in a bucket of (L, shingle). A member unlike L is posted with the
-  fewest of its shingles outside L that suffice, one like L with all (few). So it goes on
-  for ``LEVELS`` levels (each takes one member out of a bucket, so a group of unlike texts
-  would need as many levels as it has texts).
+* Buckets that still hold several classes go on. Those with at most ``FEW`` members outside the
+  largest class, or ``WHOLE`` members in all, are finished: their members outside the largest class
+  are compared with all others, block by block in the tasks, and only links leave a task.
+* In a larger one all members are compared with the lightest one, L. Two members that are not
+  both similar to L reach ``SIMILARITY`` only with a shingle in common that L lacks or weighs
+  less (the rest of what they share weighs too little), so they meet again in a bucket of
+  (L, shingle). A member unlike L is posted with the fewest of its shingles outside L that
+  suffice, one like L with all (few). So it goes on for ``LEVELS`` levels; what is undecided
+  in the last one is finished by blocks, too, so no link is lost (a bucket of n unlike texts that
+  the levels do not part costs n * n comparisons, and n / ``BLOCK`` copies of its rows).
 * No pairs within a bucket are emitted, and a bucket is never gathered in a task: leaders
-  are aggregates, members join them, and Spark splits skewed joins.
+  are aggregates, members join them or are dealt in blocks, and Spark splits skewed joins.
 * Components by alternating large-star and small-star steps on the links.
 
 Defined results: null and empty texts have no shingles and are equal texts of one class;
@@ -51,10 +53,12 @@ from .common import docs_of, free_worker, materialize, mix64, shingle_hashes, sl
 SHINGLE, SIMILARITY, BANDS, ROWS, DAMP = 5, 0.8, 16, 4, 0.1
 #: Characters per chunk of documents, and shingles per bucket of hashes (about).
 CHUNK, BUCKET = 4_000_000, 1_000_000
-#: Members outside the largest class of a bucket that are compared with all of it at once.
-FEW = 32
-#: Levels of buckets; larger undecided buckets of the last one are left, and a link that
-#: shows only in them is missed.
+#: Members outside the largest class of a bucket, or in all of it, that are compared with all
+#: of it at once.
+FEW, WHOLE = 32, 2000
+#: Members, and total weight (no less than the shingles), of a block of a bucket.
+BLOCK, BLOCK_WEIGHT = 500, 500_000
+#: Levels of buckets, before those still undecided are compared whole.
 LEVELS = 3
 #: Steps of the component search before it fails (it needs a few).
 STEPS = 60
@@ -383,9 +387,10 @@ def links_of(texts: DataFrame) -> DataFrame:
     held = texts.select("node", "total", "bands")
     for level in range(LEVELS):
         rows = materialize(undecided(held, components(links)), "neardup-rows")
-        links = links.union(materialize(verify(few_pairs(rows.where(f"others <= {FEW}")), texts), "neardup-links"))
-        rows = rows.where(f"others > {FEW}")
-        if level + 1 == LEVELS or rows.isEmpty():
+        at_once = F.lit(level + 1 == LEVELS) | (F.col("others") <= FEW) | (F.col("size") <= WHOLE)
+        links = links.union(materialize(block_links(rows.where(at_once), texts), "neardup-links"))
+        rows = rows.where(~at_once)
+        if rows.isEmpty():
             break
         leaders = rows.groupBy("band").agg(F.min(F.struct("total", "node")).alias("x")).select("band", F.col("x.node").alias("leader"))
         seen = materialize(verify(led_pairs(rows, leaders), texts, onward=True), "neardup-seen")
@@ -398,22 +403,85 @@ def led_pairs(rows: DataFrame, leaders: DataFrame) -> DataFrame:
     return rows.join(leaders, "band").where("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
 
 
-def few_pairs(rows: DataFrame) -> DataFrame:
-    """Each member of a bucket with the members outside its largest class, of other classes:
-    FEW pairs a member at most."""
-    outer = rows.where("root <> top").select("band", F.col("node").alias("other"), F.col("root").alias("other_root"))
-    pairs = rows.join(outer, "band").where("root <> other_root")
-    return pairs.select(F.greatest("node", "other").alias("a"), F.least("node", "other").alias("b")).distinct()
+def block_links(rows: DataFrame, texts: DataFrame) -> DataFrame:
+    """(a, b, similarity) of the similar members of each bucket that are of different classes. The
+    members outside the largest class ask (block i of the bucket) all members (block j): a
+    task holds one pair of blocks, and a member is copied once per block that it meets."""
+    keys = ["band", "i", "j"]
+
+    def blocks(n, weight):
+        return F.ceil(F.greatest(F.col(n) / BLOCK, F.col(weight) / BLOCK_WEIGHT, F.lit(1.0)))
+
+    dealt = rows.withColumns({"outer": F.col("root") != F.col("top"), "n_i": blocks("others", "other_weight"), "n_j": blocks("size", "weight")})
+    dealt = dealt.withColumns({"my_i": F.pmod(F.xxhash64("node"), F.col("n_i")), "my_j": F.pmod(F.xxhash64("node"), F.col("n_j"))})
+    dealt = dealt.withColumn("at", F.explode(F.expr("""concat(
+        transform(sequence(0L, n_i - 1), k -> struct(k AS i, my_j AS j, false AS asks)),
+        if(outer, transform(sequence(0L, n_j - 1), k -> struct(my_i AS i, k AS j, true AS asks)), array()))""")))
+    dealt = dealt.select("node", "band", "at.*", "root", "outer").join(texts.select("node", "total", "shingles", "weights"), "node")
+    dealt = dealt.select(*keys, "asks", "node", "root", "outer", "total", "shingles", "weights")
+
+    def run(batches):
+        key, asking, members = None, [], []
+
+        def done():
+            cols = list(zip(*similar_across(asking, members), strict=True)) or [[]] * 3
+            kinds = pa.binary(), pa.binary(), pa.float64()
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["a", "b", "similarity"])
+
+        for batch in slices(batches, 100):
+            for *at, asks, node, root, outer, total, shingles, weights in zip(*(batch.column(c).to_pylist() for c in range(10)), strict=True):
+                if at != key:
+                    if asking and members:
+                        yield done()
+                    key, asking, members = at, [], []
+                row = (node, root, outer, total, np.frombuffer(shingles, np.uint32), np.frombuffer(weights, np.float16))
+                (asking if asks else members).append(row)
+        if asking and members:
+            yield done()
+
+    return dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a binary, b binary, similarity double")
+
+
+def similar_across(asking: list[tuple], members: list[tuple]) -> list[tuple]:
+    """(a, b, similarity) of the similar pairs of the two lists of (node, root, outer, total,
+    shingles, weights) with different roots; of two outer ones, which meet twice, once."""
+    members = sorted(members, key=lambda m: m[3])
+    totals, ends = np.array([m[3] for m in members]), np.cumsum([len(m[4]) for m in members])
+    starts = np.append(0, ends[:-1])
+    known, place = np.unique(np.concatenate([m[4] for m in members]), return_inverse=True)
+    weights = np.concatenate([m[5] for m in members]).astype(np.float64)
+    own, out = np.zeros(len(known)), []
+    for node, root, _, total, shingles, w in asking:
+        # a similar pair's totals differ by the factor SIMILARITY at most
+        lo, hi = np.searchsorted(totals, total * (SIMILARITY - 1e-5)), np.searchsorted(totals, total / (SIMILARITY - 1e-5), "right")
+        if lo == hi:
+            continue
+        at = np.minimum(np.searchsorted(known, shingles), len(known) - 1)
+        hit = known[at] == shingles
+        own[at[hit]] = w[hit]
+        shared = np.minimum(own[place[starts[lo]:ends[hi - 1]]], weights[starts[lo]:ends[hi - 1]])
+        both = np.add.reduceat(shared, starts[lo:hi] - starts[lo])
+        own[at[hit]] = 0
+        s = both / np.maximum(total + totals[lo:hi] - both, 1e-12)
+        for k in np.flatnonzero(s >= SIMILARITY - 1e-6):
+            other, other_root, outer = members[lo + k][:3]
+            if other_root != root and (not outer or node < other):
+                out.append((node, other, float(s[k])))
+    return out
 
 
 def undecided(held: DataFrame, roots: DataFrame) -> DataFrame:
     """(band, node, total, root) of the buckets that hold more than one class, with the
-    largest class ``top`` and the number of ``others`` outside it."""
+    largest class ``top``, and the number and weight of all members and of the ``others`` outside
+    it. Of buckets of the same members there is one."""
     rows = held.join(roots, "node", "left").select("node", "total", F.coalesce("root", "node").alias("root"), F.explode("bands").alias("band"))
-    sizes = rows.groupBy("band", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("band").agg(
-        F.max(F.struct("n", "root")).alias("x"), F.sum("n").alias("size"))
-    mixed = sizes.where("size > x.n").select("band", F.col("x.root").alias("top"), F.expr("size - x.n").alias("others"))
-    return rows.join(mixed, "band").select("band", "node", "total", "root", "top", "others")
+    sizes = rows.groupBy("band", "root").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("total").alias("w"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("sign")).groupBy("band").agg(
+        F.max(F.struct("n", "root", "w")).alias("x"), F.sum("n").alias("size"), F.sum("w").alias("weight"), F.sum("sign").alias("sign"))
+    mixed = sizes.where("size > x.n").groupBy("sign", "size", F.col("x.root").alias("top")).agg(
+        F.min(F.struct("band", "weight", F.expr("size - x.n").alias("others"), F.expr("weight - x.w").alias("other_weight"))).alias("y"))
+    mixed = mixed.select("size", "top", "y.*")
+    return rows.join(mixed, "band").select("band", "node", "total", "root", "top", "size", "weight", "others", "other_weight")
 
 
 def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -141,6 +141,47 @@ def _classes(n, sim):
     return out.values()
 
 
+def crowd():
+    """(node, total, shingles, weights, bands) of 41 texts with most shingles in common, two of them
+    alike, in one bucket with light texts that keep the levels from parting them."""
+    ids = np.arange(1, 2000, dtype=np.uint32)
+    ids = ids[np.argsort(dup.mix64(ids), kind="stable")].tolist()  # in the order of postings
+    shared, rest = ids[:19], iter(ids[19:])
+    pair = [next(rest) for _ in range(5)]
+    sets = {b"z0": [next(rest)]}
+    sets |= {b"y%d" % i: [s, next(rest), next(rest)] for i, s in enumerate(shared[:6])}
+    sets |= {b"m%02d" % k: shared + (pair if k in (3, 17) else [next(rest) for _ in range(5)]) + [next(rest)] for k in range(41)}
+    return [(bytearray(k), float(len(x)), bytearray(np.sort(np.array(x, np.uint32)).tobytes()), bytearray(np.ones(len(x), np.float16).tobytes()), [1])
+            for k, x in sets.items()]
+
+
+@pytest.mark.parametrize("sizes", [{}, {"WHOLE": 0}, {"WHOLE": 0, "BLOCK": 7, "BLOCK_WEIGHT": 100}])
+def test_link_in_a_bucket_that_the_levels_do_not_part(spark, monkeypatch, sizes):
+    for name, value in sizes.items():
+        monkeypatch.setattr(dup, name, value, raising=False)
+    texts = spark.createDataFrame(crowd(), dup.TEXTS).localCheckpoint()
+    got = {(bytes(r.a), bytes(r.b)): r.similarity for r in dup.links_of(texts).collect()}
+    assert got == {(b"m17", b"m03"): pytest.approx(24 / 26)}
+
+
+def test_blocks_find_the_similar_pairs_of_a_bucket(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    monkeypatch.setattr(dup, "BLOCK", 6)
+    core, rows = rng.choice(500, 60, replace=False), []
+    for i in range(50):
+        ids = np.unique(np.concatenate([core[rng.random(60) < rng.uniform(0.8, 1)], rng.choice(30, rng.integers(0, 12)) + 500])).astype(np.uint32)
+        weights = rng.choice([1.0, 1.05, 1.7], len(ids), p=[0.6, 0.3, 0.1]).astype(np.float16)
+        rows.append((b"%02d" % i, float(weights.astype(float).sum()), ids, weights))
+    root = {r[0]: rows[i - i % 3][0] if i < 24 else rows[i][0] for i, r in enumerate(rows)}
+    want = {frozenset((x[0], y[0])) for x in rows for y in rows if root[x[0]] != root[y[0]] and dup.compare(x[1:], y[1:])[0] >= dup.SIMILARITY}
+    texts = spark.createDataFrame([(bytearray(k), t, bytearray(x.tobytes()), bytearray(w.tobytes()), [1, 2]) for k, t, x, w in rows], dup.TEXTS)
+    roots = spark.createDataFrame([(bytearray(k), bytearray(v)) for k, v in root.items()], "node binary, root binary")
+    bucket = dup.undecided(texts.select("node", "total", "bands"), roots).localCheckpoint()
+    assert bucket.count() == 50  # two buckets of the same members are one
+    got = [frozenset((bytes(r.a), bytes(r.b))) for r in dup.block_links(bucket, texts).collect()]
+    assert len(want) > 50 and set(got) == want and len(got) == len(want)
+
+
 def test_shingles_outside_the_leader_keep_every_similar_pair():
     """Any two texts that are similar, and not both similar to a third, lightest one, meet
     in a shingle that it lacks or weighs less."""
