@@ -56,7 +56,7 @@ def _arrive(spark, sf_dir, name: str, delay_us, drain) -> str:
     arrives = F.unix_micros(F.col("ts").cast("timestamp")) + delay_us
     part = F.least(F.lit(PARTS - 1), F.floor((arrives - F.lit(T0_US)) / F.lit(PART_US)))
     for k in range(PARTS):
-        ev.where(part == k).coalesce(1).write.mode("append").parquet(f"{root}/in")
+        ev.where(part == k).write.mode("append").parquet(f"{root}/in")
         drain(_tx_stream(spark, f"{root}/in"), root)
     return root
 

@@ -205,45 +205,50 @@ def current_states(ledger: Ledger) -> DataFrame:
 UNIT = 1_000_000
 
 
-def event_velocity(stream: DataFrame, windows: dict[str, int], delay: str = "2 hours", ts: str = "ts_event") -> DataFrame:
+#: Groups of entities that share a state: a call costs as much for one entity as for thousands.
+#: Part of a stream's checkpoint: a running stream keeps its number.
+BUCKETS = 256
+
+
+def event_velocity(stream: DataFrame, windows: dict[str, int], delay: str = "2 hours", ts: str = "ts_event",
+                   buckets: int = BUCKETS) -> DataFrame:
     """Per event, ``{name}_count`` and ``{name}_sum`` over the events of its entity in
     [t - W, t] (W in seconds, peers included), emitted once, as soon as the watermark says that
     every event up to t has arrived; so events may arrive in any order within ``delay``.
 
-    The state of an entity is its events of the longest window before the watermark and those
-    after it (16 and 24 bytes each); a timer calls it when the next event is due or its history
-    has passed out of every window. A row without an id is a heartbeat: it moves the watermark
-    and is no event. A NULL entity is an entity. Rows behind the watermark are dropped by
-    Spark; rows without a time have no place in any window and are dropped, too."""
+    Entities are dealt to ``buckets`` by hash. The state of a bucket is its events of the
+    longest window before the watermark and those after it (32 and 40 bytes each); a timer
+    calls it when the next event is due or its history has passed out of every window. A row
+    without an id is a heartbeat: it moves the watermark and is no event. A NULL entity is an
+    entity. Rows behind the watermark are dropped by Spark; rows without a time have no place in
+    any window and are dropped, too."""
     names, spans = list(windows), [int(w) * UNIT for w in windows.values()]
     longest = max(spans)
     schema = "entity long, id long, " + ", ".join(f"{n}_count long, {n}_units long" for n in names)
     amount = (F.col("Amount").cast("decimal(30,6)") * UNIT).cast("long")
+    zero, entity = F.lit(0).cast("long"), F.col("entity").cast("long")
     rows = stream.where(F.col(ts).isNotNull()).withWatermark(ts, delay).select(
-        "entity", "id", F.unix_micros(ts).alias("t"), F.coalesce(amount, F.lit(0).cast("long")).alias("a"), F.col(ts))
+        F.pmod(F.xxhash64(entity), F.lit(buckets)).cast("int").alias("bucket"), F.unix_micros(ts).alias("t"),
+        F.coalesce(amount, zero).alias("a"), F.coalesce(entity, zero).alias("e"), entity.isNull().cast("long").alias("none"),
+        F.coalesce(F.col("id").cast("long"), zero).alias("id"), F.col("id").isNotNull().alias("event"), F.col(ts))
 
     def arrays(blob: bytes | None, n: int) -> np.ndarray:
         return np.frombuffer(blob or b"", np.int64).reshape(n, -1)
 
     def update(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        past, due = (arrays(b, n) for b, n in zip(state.get if state.exists else (None, None), (2, 3), strict=True))
+        past, due = (arrays(b, n) for b, n in zip(state.get if state.exists else (None, None), (4, 5), strict=True))
         if not state.hasTimedOut:
-            fresh = [f.loc[f["id"].notna(), ["t", "a", "id"]].to_numpy(np.int64).T for f in frames]
+            fresh = [f.loc[f["event"], ["t", "a", "e", "none", "id"]].to_numpy(np.int64).T for f in frames]
             due = np.concatenate([due, *fresh], axis=1)
         mark = state.getCurrentWatermarkMs() * 1000
         ready = due[0] <= mark
         if ready.any():
             now = due[:, ready]
-            now = now[:, np.argsort(now[0], kind="stable")]
-            past = np.concatenate([past, now[:2]], axis=1)
-            past = past[:, np.argsort(past[0], kind="stable")]
-            until = np.searchsorted(past[0], now[0], side="right")
-            total = np.concatenate([[0], np.cumsum(past[1])])
-            out = {"entity": pd.array([key[0]] * now.shape[1], "Int64"), "id": now[2]}
-            for n, span in zip(names, spans, strict=True):
-                since = np.searchsorted(past[0], now[0] - span, side="left")
-                out[f"{n}_count"], out[f"{n}_units"] = until - since, total[until] - total[since]
-            yield pd.DataFrame(out)
+            past = np.concatenate([past, now[:4]], axis=1)
+            own = np.append(np.zeros(past.shape[1] - now.shape[1], np.int64), np.arange(1, now.shape[1] + 1))
+            order = np.lexsort((past[0], past[2], past[3]))
+            past, own = past[:, order], own[order]
+            yield pd.DataFrame(_frames(past, own, now[4], names, spans))
             due = due[:, ~ready]
         past = past[:, past[0] >= mark - longest]  # later events are after the mark
         if not past.shape[1] and not due.shape[1]:
@@ -254,10 +259,30 @@ def event_velocity(stream: DataFrame, windows: dict[str, int], delay: str = "2 h
         call = int(due[0].min()) if due.shape[1] else int(past[0].max()) + longest
         state.setTimeoutTimestamp(max(call // 1000 + 1, mark // 1000 + 1))
 
-    return rows.groupBy("entity").applyInPandasWithState(
+    return rows.groupBy("bucket").applyInPandasWithState(
         update, schema, "past binary, due binary", "append", GroupStateTimeout.EventTimeTimeout)
 
 
+def _frames(past: np.ndarray, own: np.ndarray, ids: np.ndarray, names: list[str], spans: list[int]) -> dict:
+    """Frames of the rows with a number ``own`` (place + 1 in ``ids``) among the rows (t, a, entity,
+    none) of many entities, sorted by entity and time."""
+    edge = (past[2:, 1:] != past[2:, :-1]).any(axis=0)
+    group = np.append(0, np.cumsum(edge))
+    # places of (entity, time) by the times' ranks: no overflow, however far the times are apart
+    times = np.unique(past[0])
+    stride = len(times) + 1
+    place = group * stride + np.searchsorted(times, past[0])
+    asks = np.flatnonzero(own)
+    at, start = past[0][asks], group[asks] * stride
+    until = np.searchsorted(place, start + np.searchsorted(times, at, side="right"))
+    total = np.append(0, np.cumsum(past[1]))
+    out = {"entity": pd.arrays.IntegerArray(past[2][asks].copy(), past[3][asks] == 1), "id": ids[own[asks] - 1]}
+    for n, span in zip(names, spans, strict=True):
+        since = np.searchsorted(place, start + np.searchsorted(times, at - span))
+        out[f"{n}_count"], out[f"{n}_units"] = until - since, total[until] - total[since]
+    return out
+
+
 def keep_rows(ledger: Ledger, table: str):
     """Writer that adds a batch's rows to a table."""
 

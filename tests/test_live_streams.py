@@ -178,3 +178,19 @@ def test_file_stream_reads_one_file_or_a_folder(spark, root):
     one = SQ.file_stream(spark, f"{root}/t", spark.createDataFrame([], TX).schema)
     assert SQ.run_available(spark, one, "t").count() == 1
     assert scratch_path(spark, "x")
+
+
+def test_event_velocity_calls_states_of_many_entities_at_once(spark, root):
+    """Many entities share a state, also a NULL one and one with the number that stands for it."""
+    windows = {"a": 600}
+    rows = [(i, [None, 0, -7, *range(1, 600)][i % 602], T0 + timedelta(seconds=i), 1.0 + i % 5, 0.5) for i in range(1800)]
+    heartbeat = [(None, None, T0 + timedelta(days=3), None, None)]
+    for part in (rows, heartbeat):
+        ledger = LV.Ledger(spark, f"{root}/tables")
+        stream = arrive(spark, root, part, TX).withColumn("ts_event", F.col("ts").cast("timestamp"))
+        features = LV.event_velocity(stream, windows, delay="2 hours", buckets=4)
+        LV.start(features, LV.keep_rows(ledger, "features"), f"{root}/checkpoint")
+    assert {r.id: (r.a_count, r.a_units) for r in ledger.read("features").collect()} == brute_velocity(rows, windows)
+    state = spark.read.format("statestore").load(f"{root}/checkpoint")
+    assert state.count() <= 4  # one state a bucket, not one an entity
+    assert {r.entity for r in ledger.read("features").collect()} == {r[1] for r in rows}
