@@ -508,3 +508,14 @@ def test_pipeline(spark, tmp_path):
 def test_registered(name):
     import __spark_entry__ as entry
     assert name in entry.queries() and "pipeline" in entry.queries()
+
+
+# ------------------------------------------------------------------ memory of workers
+def test_steps_hand_their_memory_back_at_their_end(monkeypatch):
+    from riskframe.llm import common
+
+    calls = []
+    monkeypatch.setattr(common, "trim", lambda: calls.append(1))
+    got = common.trimmed(lambda batches: (b + 1 for b in batches))(iter([1, 2, 3]))
+    assert next(got) == 2 and not calls  # not between batches
+    assert list(got) == [3, 4] and calls == [1]
