@@ -47,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import docs_of, free_worker, materialize, mix64, shingle_hashes, slices, table, word_hashes
+from .common import docs_of, free_worker, materialize, mix64, shingle_hashes, slices, table, trim, trimmed, word_hashes
 
 #: Parameters.
 SHINGLE, SIMILARITY, BANDS, ROWS, DAMP = 5, 0.8, 16, 4, 0.1
@@ -170,7 +170,7 @@ def chunk_parts(docs: DataFrame, bucket_bits: int) -> DataFrame:
         if n_docs:
             yield flush()
 
-    return docs_of(docs, "text").select(F.col("text").cast("string")).mapInArrow(run, PARTS)
+    return docs_of(docs, "text").select(F.col("text").cast("string")).mapInArrow(trimmed(run), PARTS)
 
 
 def bucket_bits(docs: DataFrame) -> int:
@@ -287,6 +287,8 @@ def sample_texts(parts: DataFrame, shared: DataFrame, n: int, bits: int) -> Data
                 for col, v in zip(out, row, strict=True):
                     col.append(v)
         kinds = [pa.binary(), pa.float64(), pa.binary(), pa.binary(), pa.list_(pa.int64())]
+        del hashes, dfs, every, df_of
+        trim()  # the chunk's arrays, before the next one's
         return pa.table([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names=["node", "total", "shingles", "weights", "bands"])
 
     bodies = parts.where("bucket < 0").select(F.col("chunk").alias("home"), "payload")
@@ -348,7 +350,7 @@ def verify(pairs: DataFrame, texts: DataFrame, onward: bool = False) -> DataFram
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=names)
 
     both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "fa", "fb")
-    return both.mapInArrow(check, schema)
+    return both.mapInArrow(trimmed(check), schema)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -439,7 +441,7 @@ def block_links(rows: DataFrame, texts: DataFrame) -> DataFrame:
         if asking and members:
             yield done()
 
-    return dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a binary, b binary, similarity double")
+    return dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(trimmed(run), "a binary, b binary, similarity double")
 
 
 def similar_across(asking: list[tuple], members: list[tuple]) -> list[tuple]:
