@@ -20,6 +20,8 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+from array import array
+from collections.abc import Set
 from itertools import islice
 
 import numpy as np
@@ -27,15 +29,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import KEPT, docs_of, map_rows, table
+from .common import KEPT, docs_of, map_rows, table, trim
 
 #: Pre-tokens above this many bytes take the set-wise contraction.
 LONG = 64
 #: Pre-tokens per recursive query, and bytes of them: bounds DuckDB's working set.
-CHUNK_WORDS, CHUNK_BYTES = 30_000, 500_000
+CHUNK_WORDS, CHUNK_BYTES = 15_000, 200_000
+#: Characters of text whose words are looked up at a time.
+GROUP_CHARS = 2_000_000
 #: Words remembered in a worker between batches and tasks; beyond that the ones met
 #: first, which hold the frequent ones, stay and the others are worked out again.
-CACHE, KEEP = 300_000, 180_000
+CACHE, KEEP = 200_000, 130_000
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -111,11 +115,16 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 
 def merge_table(ranks: dict[bytes, int]) -> pa.Table:
-    """(l, r, merged): every way to put a token together from two tokens."""
-    rows = [(ranks[t[:i]], ranks[t[i:]], k) for t, k in ranks.items() for i in range(1, len(t))
-            if t[:i] in ranks and t[i:] in ranks]
-    cols = list(zip(*rows, strict=True)) if rows else [(), (), ()]
-    return pa.table([pa.array(c, pa.int32()) for c in cols], names=["l", "r", "merged"])
+    """(l, r, merged): every way to put a token together from two tokens. Plain numbers
+    only: a tuple a row would leave tens of MB of holes in the worker's memory."""
+    rows = array("i")
+    for t, k in ranks.items():
+        for i in range(1, len(t)):
+            left, right = ranks.get(t[:i]), ranks.get(t[i:])
+            if left is not None and right is not None:
+                rows.extend((left, right, k))
+    cols = np.array(rows, np.int32).reshape(-1, 3)
+    return pa.table([pa.array(np.ascontiguousarray(c)) for c in cols.T], names=["l", "r", "merged"])
 
 
 def inverted_tokens(ranks: dict[bytes, int]) -> pa.Table:
@@ -143,6 +152,8 @@ class Codec:
             self.con.register("given", t)
             self.con.execute(f"CREATE TABLE {name} AS SELECT * FROM given")
             self.con.unregister("given")
+        del vocabulary, t
+        trim()  # what the tables were made of, before the texts
         self.cache: dict[str, bytes] = {}  # ids as text
         self.odd: dict[str, bytes] = {}  # decoded bytes, where they are not the word's own
         self.exact = regex.compile(pattern)
@@ -155,7 +166,7 @@ class Codec:
     def split(self, text: str) -> list[str]:
         return (self.exact if self.other.search(text) else self.plain).findall(text)
 
-    def words(self, words: set[str]) -> dict[str, bytes]:
+    def words(self, words: Set[str]) -> dict[str, bytes]:
         """The ids of each word as text."""
         if len(self.cache) + len(words) > CACHE:
             self.cache = dict(islice(self.cache.items(), KEEP))
@@ -214,12 +225,15 @@ class Codec:
         out: tuple[list, list, list] = ([], [], [])
         at = 0
         while at < len(texts):  # some MB of text at a time
-            end, size = at, 0
-            while end < len(texts) and (end == at or size < 2_000_000):
+            trim()  # the lists and tables of the group before
+            end, size, split = at, 0, []
+            met: dict[str, str] = {}  # equal words are one object, not one per place
+            while end < len(texts) and (end == at or size < GROUP_CHARS):
+                words = self.split(texts[end] or "")
+                split.append(list(map(met.setdefault, words, words)))
                 size += len(texts[end] or "")
                 end += 1
-            split = [self.split(t or "") for t in texts[at:end]]
-            known = self.words(set().union(*split))
+            known = self.words(met.keys())
             for words in split:
                 ids = b",".join(map(known.__getitem__, words))
                 out[0].append(ids.count(b",") + 1 if ids else 0)

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import docs_of, map_rows, materialize, mix64, table
+from .common import docs_of, map_rows, materialize, mix64, table, trimmed
 
 # The given kinds, in order, and their patterns. The patterns written
 # below give the same matches: an email's local part is the whole run before the @, and
@@ -224,7 +224,7 @@ def term_counts(docs: DataFrame, candidates: DataFrame) -> DataFrame:
                     counts.clear()
         yield out()
 
-    seen = docs_of(docs, "text").select(F.col("text").cast("string")).mapInArrow(count, "term string, df long")
+    seen = docs_of(docs, "text").select(F.col("text").cast("string")).mapInArrow(trimmed(count), "term string, df long")
     return seen.groupBy("term").agg(F.sum("df").alias("df")).join(candidates.select("term").distinct(), "term")
 
 
