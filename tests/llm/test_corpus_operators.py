@@ -291,6 +291,79 @@ def test_word_tree_equals_words():
     assert np.allclose(ev.totals(value), [sum(b + i * 1000.0 for i, b in enumerate(w)) for w in full])
 
 
+def test_language_model_reads_words_in_order(spark):
+    """A text whose neighbouring words the training texts have scores above the same words in
+    another order."""
+    rng = random.Random(12)
+    free = [i for i in range(20_000, 30_000) if lm.fold(i) != lm.HELD]
+    held = [i for i in range(30_000, 40_000) if lm.fold(i) == lm.HELD]
+    names = ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(60)]
+    after = {w: rng.sample(names, 3) for w in names}
+
+    def chain(n):
+        out = [rng.choice(names)]
+        while len(out) < n:
+            out.append(rng.choice(after[out[-1]]))
+        return out
+
+    rows, tests = [(i, " ".join(chain(80))) for i in free[:150]], [chain(60) for _ in range(20)]
+    mixed_up = [rng.sample(t, len(t)) for t in tests]
+    rows += list(zip(held, (" ".join(t) for t in tests))) + list(zip(held[100:], (" ".join(t) for t in mixed_up)))
+    rows.append((rows[0][0] + 1_000_000, rows[0][1]))
+    by = {r.doc_id: r for r in lm.score_documents(docs(spark, rows)).collect()}
+    for a, b in zip(held[:20], held[100:120], strict=True):
+        assert by[a].base_score == pytest.approx(by[b].base_score) and 1.3 * by[a].score > by[b].score
+    assert by[rows[0][0]].score == by[rows[-1][0]].score
+
+
+def test_counts_after_a_word_are_exact():
+    rng = random.Random(2)
+    words = sorted({b""} | {bytes(rng.choice(b"ab\x01!") for _ in range(rng.randint(1, 5))) for _ in range(80)})
+    at = sorted({(rng.randrange(6), rng.randrange(len(words))) for _ in range(250)})
+    before, follower = (np.array(x) for x in zip(*at))
+    counts = np.array([rng.randrange(4) for _ in at], float)
+    pairs = lm.Pairs(words, before, follower)
+    reach, ev = pairs.passing(pairs.ev.mass(counts)), pairs.ev
+    code = ["".join(f"{x:08b}" for x in words[w] + b" ") for w in follower]
+    for e in range(len(ev.at)):
+        j = ev.word[e]
+        for t in range(9):
+            prefix = code[j][:8 * ev.place[e] + t]
+            assert reach[t, e] == sum(c for c, b, x in zip(counts, before, code) if b == before[j] and x.startswith(prefix))
+    assert [words[follower[ev.word[e]]] for e in ev.owners()[ev.start]] == [words[min(follower[i] for i in range(len(at)) if before[i] == before[j]
+            and (words[follower[i]] + b" ")[0] == (words[follower[j]] + b" ")[0])] for j in range(len(at))]
+
+
+def test_probabilities_after_a_word_add_up():
+    """Each byte alone after one word: the probabilities and those of going on add up to 1."""
+    rng = np.random.default_rng(3)
+    tables = [rng.integers(0, 6, 1 << b).astype(np.int16) * 256 + rng.integers(100, 156, 1 << b).astype(np.int16) for b in lm.BITS]
+    words = sorted([b"", *(bytes([i]) for i in range(256) if i != 32)])
+    follower = np.arange(len(words))
+    weights, table = lm.first_weights(), lm.log10_table(np.tile(lm.squash(np.linspace(-8, 8, lm.BUCKETS)), lm.NODES))
+    pairs = lm.Pairs(words, np.zeros(len(words), int), follower)
+    sums = lm.Sums(words, follower, tables, weights)
+    value = np.zeros(len(pairs.ev.byte))
+    counts = rng.integers(0, 5, len(words)).astype(float)
+    second = lm.first_pair_weights()
+    for some, steps in sums.steps(follower[pairs.ev.word], pairs.ev.place, pairs.ev.byte, pairs.passing(pairs.ev.mass(counts))):
+        for node, bit, s, cell, x in steps:
+            value[some] += lm.log10_of(second[0][cell] * s + second[1][cell] * x, node, bit, table)
+    assert abs((10 ** value[pairs.ev.place == 0]).sum() - 1) < 1e-5
+
+
+def test_packed_pairs():
+    rng = np.random.default_rng(4)
+    x, big = rng.integers(0, 70_000, 500), np.array([0, 1 << 40, 5])
+    for words in ([b"", b"a", b"bc"], [b""], []):
+        a, w, b, c = lm.unpack(lm.pack(x, words, big, x[:0]), 1)
+        assert (a == x).all() and w == words and (b == big).all() and len(c) == 0
+    for limit in (70_000, 1 << 62):
+        keys, at = lm.distinct(x, limit)
+        assert (keys == np.unique(x)).all() and (keys[at] == x).all()
+    assert [len(y) for y in lm.distinct(x[:0], 10)] == [0, 0]
+
+
 # ------------------------------------------------------------------ weak labels
 def test_em_recovers_accuracies():
     rng = random.Random(8)
